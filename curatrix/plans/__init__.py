@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.plans import duplicates
+from curatrix.plans import audits, boxes, detections, duplicates, joins, selections, texts
 
-MODULES = [duplicates]
+MODULES = [duplicates, audits, joins, texts, selections, boxes, detections]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
+    return {name: fn for m in MODULES for name, fn in m.BOOK.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
+    return {name: sql for m in MODULES for name, sql in m.BOOK.oracles.items()}
