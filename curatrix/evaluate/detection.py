@@ -194,29 +194,30 @@ def average_precision(predictions: DataFrame, truth: DataFrame, levels: list[flo
     """``iou_level, ap`` of one class by the COCO protocol: 101 recall points of the running-maximum precision.
 
     Within an image the best ``most`` boxes, by falling score, each take the free ground
-    truth they overlap most (at least the level). The curve over all images is cut into
-    at most a few thousand distinct scores' worth of steps by a distributed sort: true
-    positives are summed up by rank, not in one window. A level without truth has null.
+    truth they overlap most (at least the level); only overlapping pairs enter the fold.
+    Detections are then counted by score, and true ones are summed up over falling scores
+    by a distributed sort, not in one window; equal scores are one step of the curve. A
+    level without truth has null.
     """
     from curatrix.operators.ranks import global_positions
 
     levels = levels or [round(0.5 + 0.05 * i, 2) for i in range(10)]
     top = predictions.withColumn("_r", F.row_number().over(Window.partitionBy("image_id").orderBy(F.desc("score"), "pred_index"))).where(F.col("_r") <= most)
-    gt = truth.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("gt_index", *CORNERS))).alias("g"))
-    boxes = top.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("_o"), "pred_index", *CORNERS, "score"))).alias("b"))
-    both = boxes.join(gt, "image_id", "left").withColumn("level", F.explode(F.array(*(F.lit(float(x)) for x in levels))))
-    start = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<struct<score:double,tp:int>>").alias("out"))
+    gt = truth.select("image_id", "gt_index", *(F.col(c).alias(f"g_{c}") for c in CORNERS))
+    near = top.join(gt, "image_id").withColumn("o", iou(_box(""), _box("g_"))).where(F.col("o") >= min(levels))
+    near = near.groupBy("image_id", "pred_index", "score").agg(F.collect_list(F.struct("o", (-F.col("gt_index")).cast("int").alias("i"))).alias("c"))
+    images = near.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "pred_index", "c"))).alias("b"))
+    images = images.withColumn("level", F.explode(F.array(*(F.lit(float(x)) for x in levels))))
+    start = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<double>").alias("hits"))
 
     def turn(acc: Column, p: Column) -> Column:
-        free = F.filter(F.coalesce("g", F.array()), lambda g: ~F.array_contains(acc["used"], g["gt_index"].cast("int")) & (iou(_box(p), _box(g)) >= F.col("level")))
-        ranked = F.transform(free, lambda g: F.struct(iou(_box(p), _box(g)).alias("o"), (-g["gt_index"]).cast("int").alias("i")))
-        best = F.array_max(ranked)
-        hit = F.struct(p["score"].cast("double").alias("score"), F.when(best.isNotNull(), 1).otherwise(0).alias("tp"))
-        used = F.when(best.isNotNull(), F.concat(acc["used"], F.array((-best["i"]).cast("int")))).otherwise(acc["used"])
-        return F.struct(used.alias("used"), F.concat(acc["out"], F.array(hit)).alias("out"))
-
-    scored = both.select("level", "image_id", F.posexplode(F.aggregate("b", start, turn)["out"]).alias("k", "d")).select("level", "image_id", "k", "d.score", "d.tp")
-    steps = scored.groupBy("level", "score").agg(F.sum("tp").cast("long").alias("t"), F.count(F.lit(1)).alias("n")).withColumn("down", -F.col("score"))
+        best = F.array_max(F.filter(p["c"], lambda x: (x["o"] >= F.col("level")) & ~F.array_contains(acc["used"], x["i"])))
+        return F.when(best.isNull(), acc).otherwise(F.struct(F.concat(acc["used"], F.array(best["i"])).alias("used"), F.concat(acc["hits"], F.array(p["down"])).alias("hits")))
+
+    hits = images.select("level", F.explode(F.aggregate("b", start, turn)["hits"]).alias("down")).groupBy("level", "down").agg(F.count(F.lit(1)).alias("t"))
+    every = F.explode(F.array(*(F.lit(float(x)) for x in levels))).alias("level")
+    sizes = top.groupBy((-F.col("score")).alias("down")).agg(F.count(F.lit(1)).alias("n")).select("*", every)
+    steps = sizes.join(hits, ["level", "down"], "left").select("level", "down", "n", F.coalesce("t", F.lit(0)).alias("t"))
     ranked = global_positions(global_positions(steps, ["level", "down"], "p0", "n"), ["level", "down"], "t0", "t")
     first = ranked.groupBy("level").agg(F.min("p0").alias("pf"), F.min("t0").alias("tf"))
     total = truth.agg(F.count(F.lit(1)).alias("truths"))

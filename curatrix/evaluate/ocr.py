@@ -34,7 +34,7 @@ def summary(scored: DataFrame, *by: str) -> DataFrame:
 
 def slice_accuracy(scored: DataFrame, notes: str, separator: str = ";") -> DataFrame:
     """Exact matches for each condition in the list of notes; a row counts for each of its conditions."""
-    parts = F.explode(F.array_distinct(F.filter(F.transform(F.split(F.col(notes), separator), F.trim), lambda x: x != "")))
+    parts = F.explode(F.array_distinct(F.filter(F.transform(F.split(F.col(notes), separator), lambda x: F.trim(x)), lambda x: x != "")))
     rows = scored.withColumn("condition", parts)
     return rows.groupBy("condition").agg(F.count(F.lit(1)).alias("row_count"), F.count_if("exact_match").alias("exact_count"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +90,7 @@ def sorted_concat(values: Column, separator: str = ";") -> Column:
 
 def list_items(text: Column, separator: str = ";") -> Column:
     """Array of the trimmed, non-blank items of a list in one string; null for null."""
-    return F.filter(F.transform(F.split(text, rf"\Q{separator}\E"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, re.escape(separator)), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def is_blank(text: Column) -> Column:

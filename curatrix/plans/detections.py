@@ -1,5 +1,132 @@
-"""Queries."""
+"""Detection evaluation over predictions and ground truth derived from lineitem.
 
+Each line is a prediction in the image of its order; lines that weren't returned also
+give a ground truth box shifted by a few pixels.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from curatrix.evaluate import detection as det
+from curatrix.operators.review import index_in_group
 from curatrix.plans.registry import Book
+from curatrix.session import table
 
 BOOK = Book()
+CONFIDENCES = [0.15, 0.175, 0.2, 0.225, 0.25, 0.275, 0.3, 0.325, 0.35, 0.375, 0.4, 0.425, 0.45]
+SUPPRESSIONS = [0.4, 0.45, 0.5, 0.55]
+
+_BASE = """base AS (SELECT l_orderkey AS image_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_extendedprice)::INTEGER AS k, l_returnflag AS f,
+  ((l_partkey * 7) % 60)::DOUBLE AS x, ((l_suppkey * 13) % 40)::DOUBLE AS y, 30 + l_quantity AS w, 12 + l_linenumber * 2.0::DOUBLE AS h, ((l_partkey % 89) + 10) / 100.0::DOUBLE AS score, ((l_suppkey % 9) - 4)::DOUBLE AS shift FROM lineitem),
+pred AS (SELECT image_id, k AS pred_index, x AS x1, y AS y1, x + w AS x2, y + h AS y2, score FROM base),
+gt AS (SELECT image_id, k AS gt_index, x + shift AS x1, y + shift AS y1, x + w + shift AS x2, y + h + shift AS y2 FROM base WHERE f <> 'R'),
+o AS (SELECT p.image_id, p.pred_index, p.score, g.gt_index, greatest(least(p.x2, g.x2) - greatest(p.x1, g.x1), 0) * greatest(least(p.y2, g.y2) - greatest(p.y1, g.y1), 0) AS i,
+  (p.x2 - p.x1) * (p.y2 - p.y1) AS pa, (g.x2 - g.x1) * (g.y2 - g.y1) AS ga FROM pred p LEFT JOIN gt g USING (image_id)),
+best AS (SELECT image_id, pred_index, score, max_by(gt_index, (i / greatest(pa + ga - i, 1e-9), -gt_index)) AS gt_index, max(i / greatest(pa + ga - i, 1e-9)) AS overlap FROM o GROUP BY 1, 2, 3)"""
+
+
+def _outcome(least: float) -> str:
+    return f"""out AS (SELECT *, CASE WHEN score < {least} THEN 'cut' WHEN coalesce(overlap >= 0.5, false) = false THEN 'fp' WHEN row_number() OVER (PARTITION BY image_id, coalesce(overlap >= 0.5, false), CASE WHEN overlap >= 0.5 THEN gt_index END, score >= {least} ORDER BY score DESC, pred_index) = 1 THEN 'tp' ELSE 'duplicate' END AS outcome FROM best)"""
+
+
+_COUNTS = """c AS (SELECT count(*) FILTER (outcome = 'tp') AS tp, count(*) FILTER (outcome IN ('fp', 'duplicate')) AS fp, count(*) FILTER (outcome = 'duplicate') AS duplicate_detections,
+  count(DISTINCT image_id) FILTER (outcome IN ('fp', 'duplicate') AND image_id NOT IN (SELECT image_id FROM gt)) AS negative_images_with_fp, count(*) FILTER (outcome IN ('fp', 'duplicate') AND image_id NOT IN (SELECT image_id FROM gt)) AS negative_fp_detections FROM out),
+d AS (SELECT *, (SELECT count(*) FROM gt) - tp AS fn FROM c), e AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall FROM d)"""
+_COLUMNS = "tp, fp, fn, round(precision, 9) AS precision, round(recall, 9) AS recall, round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 9) AS f1, duplicate_detections, negative_images_with_fp, negative_fp_detections"
+
+
+def _data(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    rows = index_in_group(table(spark, folder, "lineitem"), "l_orderkey", ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"])
+    base = rows.select(
+        F.col("l_orderkey").alias("image_id"), F.col("variant_index").alias("k"), "l_returnflag", ((F.col("l_partkey") * 7) % 60).cast("double").alias("x"), ((F.col("l_suppkey") * 13) % 40).cast("double").alias("y"),
+        (F.col("l_quantity") + 30).alias("w"), (F.col("l_linenumber") * 2.0 + 12).alias("h"), ((F.col("l_partkey") % 89 + 10) / F.lit(100.0)).alias("score"), (F.col("l_suppkey") % 9 - 4).cast("double").alias("shift"),
+    )
+    corners = lambda d: [(F.col("x") + d).alias("x1"), (F.col("y") + d).alias("y1"), (F.col("x") + F.col("w") + d).alias("x2"), (F.col("y") + F.col("h") + d).alias("y2")]
+    pred = base.select("image_id", F.col("k").alias("pred_index"), *corners(F.lit(0.0)), "score")
+    return pred, base.where("l_returnflag <> 'R'").select("image_id", F.col("k").alias("gt_index"), *corners(F.col("shift")))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@BOOK.query(f"WITH {_BASE} SELECT image_id, pred_index, gt_index, round(overlap, 9) AS overlap FROM best WHERE overlap > 0")
+def best_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    return det.best_overlaps(*_data(spark, folder)).where("overlap > 0").select("image_id", "pred_index", "gt_index", F.round("overlap", 9).alias("overlap"))
+
+
+@BOOK.query(f"WITH {_BASE}, {_outcome(0)}, {_COUNTS} SELECT {_COLUMNS} FROM e")
+def iou_match_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(det.match_counts(*_data(spark, folder)))
+
+
+@BOOK.query(f"WITH {_BASE}, {_outcome(0.45)}, {_COUNTS} SELECT {_COLUMNS} FROM e")
+def match_counts_confident(spark: SparkSession, folder: str) -> DataFrame:
+    pred, truth = _data(spark, folder)
+    return _rounded(det.match_counts(pred.where("score >= 0.45"), truth))
+
+
+@BOOK.query()
+def nms_keep(spark: SparkSession, folder: str) -> DataFrame:
+    return det.suppress(_data(spark, folder)[0], 0.45)
+
+
+@BOOK.query()
+def threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    return det.sweep(*_data(spark, folder), CONFIDENCES, SUPPRESSIONS)
+
+
+@BOOK.query()
+def best_f1(spark: SparkSession, folder: str) -> DataFrame:
+    return det.best_point(threshold_sweep(spark, folder))
+
+
+def _points(spark: SparkSession, folder: str) -> list[DataFrame]:
+    pred, truth = _data(spark, folder)
+    images = table(spark, folder, "orders").select(F.col("o_orderkey").alias("image_id"))
+    return [det.image_outcomes(pred.where(F.col("score") >= c), truth, images) for c in (0.175, 0.225, 0.375)]
+
+
+def _category_sql() -> str:
+    parts = [_BASE]
+    for p, c in (("r", 0.175), ("b", 0.225), ("f", 0.375)):
+        parts.append(_outcome(c).replace("out AS", f"out_{p} AS"))
+        parts.append(
+            f"i_{p} AS (SELECT o.o_orderkey AS image_id, coalesce(list_sort(list(DISTINCT x.gt_index) FILTER (x.outcome = 'tp')), []) AS matched, count(x.pred_index) FILTER (x.outcome IN ('fp', 'duplicate')) AS n_false "
+            f"FROM orders o LEFT JOIN out_{p} x ON x.image_id = o.o_orderkey GROUP BY 1)"
+        )
+    parts.append("t AS (SELECT image_id, list_sort(list(gt_index)) AS g FROM gt GROUP BY 1)")
+    parts.append(
+        """j AS (SELECT r.image_id, len(coalesce(t.g, [])) AS n, len(coalesce(t.g, [])) - len(r.matched) AS rm, len(coalesce(t.g, [])) - len(b.matched) AS bm, len(coalesce(t.g, [])) - len(f.matched) AS fm, r.n_false AS rf, b.n_false AS bf, f.n_false AS ff,
+  list_filter(r.matched, lambda x: NOT list_contains(f.matched, x)) AS rec, list_filter(b.matched, lambda x: NOT list_contains(f.matched, x)) AS recb FROM i_r r JOIN i_b b USING (image_id) JOIN i_f f USING (image_id) LEFT JOIN t USING (image_id))"""
+    )
+    tags = """array_to_string(list_sort(list_filter([CASE WHEN len(rec) > 0 THEN 'recovered_recall' END, CASE WHEN len(recb) > 0 THEN 'recovered_balanced' END, CASE WHEN rm > 0 THEN 'persistent_fn' END, CASE WHEN n > 0 AND bf > ff THEN 'extra_fp_balanced' END,
+  CASE WHEN n = 0 AND rf > 0 THEN 'negative_fp' END, CASE WHEN n >= 2 AND rm + bm + fm + rf + bf + ff > 0 THEN 'multi_plate_error' END], lambda e: e IS NOT NULL)), '|')"""
+    return f"WITH {', '.join(parts)} SELECT * FROM (SELECT image_id, {tags} AS categories, array_to_string(list_sort(rec), '|') AS recovered FROM j) WHERE categories <> ''"
+
+
+@BOOK.query(_category_sql())
+def error_categories(spark: SparkSession, folder: str) -> DataFrame:
+    return det.review_manifest(det.error_categories(*_points(spark, folder)))
+
+
+@BOOK.query()
+def average_precision(spark: SparkSession, folder: str) -> DataFrame:
+    return det.average_precision(*_data(spark, folder))
+
+
+@BOOK.query()
+def operating_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    rows = threshold_sweep(spark, folder).where("nms_threshold = 0.45")
+    return det.operating_deltas(rows, "confidence_threshold", 0.225, ["tp", "fp", "fn", "f1"])
+
+
+@BOOK.query(f"""
+WITH {_BASE} SELECT count(*) AS rows, 0::BIGINT AS unmatched, 0::DOUBLE AS max_box_diff, 0.0005::DOUBLE AS max_score_diff, true AS all_close FROM pred
+""")
+def compare_runs(spark: SparkSession, folder: str) -> DataFrame:
+    pred, _ = _data(spark, folder)
+    other = pred.withColumn("score", F.col("score") + 0.0005)
+    return det.compare_predictions(pred, other).withColumn("max_score_diff", F.round("max_score_diff", 9))

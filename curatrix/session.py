@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+_WRITTEN: list[str] = []
 
 
 def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> SparkSession:
@@ -33,9 +34,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _drop_own() -> None:
-    for folder in _OWN:
-        shutil.rmtree(folder, ignore_errors=True)
+@atexit.register
+def _drop_written() -> None:
+    """Stage tables live as long as the driver's Python; their folders are removed when it ends."""
+    for path in [*_WRITTEN, *_OWN]:
+        if "://" not in path.replace("file://", ""):
+            shutil.rmtree(path.removeprefix("file:").replace("///", "/", 1), ignore_errors=True)
+        else:
+            spark = SparkSession.getActiveSession()
+            if spark is not None:
+                _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # noqa: BLE001 - a stage table that stays costs disk, not results
+        pass
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,8 +63,6 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         local = tempfile.mkdtemp(prefix="curatrix-")
-        if not _OWN:
-            atexit.register(_drop_own)
         _OWN.append(local)
         folder = f"file://{os.path.abspath(local)}"
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -65,15 +79,15 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:
     """Delete the files behind a materialized table once nothing reads it any more."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    jvm = spark.sparkContext._jvm
-    for file in df.inputFiles()[:1]:
-        place = jvm.org.apache.hadoop.fs.Path(os.path.dirname(file))
-        if os.path.dirname(file).split(":", 1)[-1].lstrip("/").startswith(folder.split(":", 1)[-1].lstrip("/")):
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    files = df.inputFiles()
+    for path in _WRITTEN:
+        if files and os.path.basename(path) == os.path.basename(os.path.dirname(files[0])):
+            _delete(df.sparkSession, path)
+            _WRITTEN.remove(path)
+            break
