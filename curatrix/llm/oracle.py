@@ -6,7 +6,7 @@ from fractions import Fraction
 
 from curatrix.llm.names import IMAGE_EXTENSIONS, PLACEHOLDERS, SPLIT_SPELLINGS
 from curatrix.llm.queries import RATE, SEED
-from curatrix.llm.sample import HALF, PRIME, round_keys
+from curatrix.llm.sample import HALF, OWN_NUMBER, PRIME, round_keys
 
 
 def _list(words: list[str]) -> str:
@@ -37,11 +37,15 @@ def _split(x: str) -> str:
 def _feistel(source: str) -> str:
     """CTEs r0 .. rN over ``source(key)``, and ``chosen(key)``."""
     top, rest = divmod(int(Fraction(str(RATE)) * HALF * HALF), HALF)
-    lines = [f"r0 AS (SELECT key, ('0x' || substr(sha256(key), 1, 8))::BIGINT AS h, ('0x' || substr(sha256(key), 9, 8))::BIGINT AS l FROM {source})"]
+    own = f"regexp_matches(key, '{OWN_NUMBER}')"
+    lines = [
+        f"d0 AS (SELECT key, CASE WHEN {own} THEN right(key, 16) ELSE sha256(key) END AS d, CASE WHEN {own} THEN ('0x' || substr(sha256(regexp_extract(key, '{OWN_NUMBER}', 1)), 1, 7))::BIGINT ELSE 0 END AS t FROM {source})",
+        "r0 AS (SELECT key, t, ('0x' || substr(d, 1, 8))::BIGINT AS h, ('0x' || substr(d, 9, 8))::BIGINT AS l FROM d0)",
+    ]
     keys = round_keys(SEED)
     for i, (a, b, c) in enumerate(keys):
-        lines.append(f"m{i} AS (SELECT key, h, l, (l * {a} + {c}) % {PRIME} AS m FROM r{i})")
-        lines.append(f"r{i + 1} AS (SELECT key, l AS h, xor(h, (xor(m, m >> 15) * {b}) % {PRIME}) AS l FROM m{i})")
+        lines.append(f"m{i} AS (SELECT key, t, h, l, (l * {a} + {c} + t) % {PRIME} AS m FROM r{i})")
+        lines.append(f"r{i + 1} AS (SELECT key, t, l AS h, xor(h, (xor(m, m >> 15) * {b}) % {PRIME}) AS l FROM m{i})")
     lines.append(f"chosen AS (SELECT key FROM r{len(keys)} WHERE h < {top} OR (h = {top} AND l < {rest}))")
     return ",\n".join(lines)
 
@@ -77,7 +81,7 @@ units AS (SELECT grp, min(other) AS unit FROM reach GROUP BY grp),
 recs AS (SELECT canonical_id, {_group("source_dataset", "source_group")} AS grp, {_split("avax_split")} AS split
   FROM baseline_split_manifest WHERE lower({_trim("split_status")}) = 'included'),
 placed AS (SELECT r.*, coalesce(t.unit, r.grp) AS unit FROM recs r LEFT JOIN units t USING (grp) WHERE r.grp IS NOT NULL),
-torn AS (SELECT unit, count(DISTINCT grp) FILTER (split IS NOT NULL) AS groups, count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'val') AS val_rows,
+torn AS (SELECT unit, count(DISTINCT grp) AS groups, count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'val') AS val_rows,
   count(*) FILTER (split = 'test') AS test_rows FROM placed GROUP BY unit HAVING count(DISTINCT split) > 1)
 """
 
@@ -107,9 +111,9 @@ _P7 = r"""WITH t AS (SELECT doc_id, coalesce(nullif(regexp_extract(lower(trim(la
 c AS (SELECT doc_id, lang_key, len(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS words, length(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g')) AS letters,
   length(regexp_replace(text, '[ \t\n\x0B\f\r]+', '', 'g')) AS filled, len(regexp_extract_all(text, '[^ \t\n\x0B\f\r][^\n]*')) AS lines,
   len(regexp_extract_all(text, '[.!?;:…]["''”’»)\]]*[ \t\r]*(?:\n|\z)')) AS ended FROM t)
-SELECT doc_id, lang_key, words, CASE WHEN words > 0 THEN round(letters / words, 4) ELSE 0 END AS mean_word_length,
-  CASE WHEN filled > 0 THEN round((filled - letters) / filled, 4) ELSE 0 END AS symbol_ratio,
-  CASE WHEN lines > 0 THEN least(1, round(ended / lines, 4)) ELSE 0 END AS ended_lines FROM c"""
+SELECT doc_id, lang_key, words, CASE WHEN words > 0 THEN floor(letters * 100 / words) / 100 ELSE 0 END AS mean_word_length,
+  CASE WHEN filled > 0 THEN floor((filled - letters) * 10000 / filled) / 10000 ELSE 0 END AS symbol_ratio,
+  CASE WHEN lines > 0 THEN least(1, floor(ended * 10000 / lines) / 10000) ELSE 0 END AS ended_lines FROM c"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,8 +1,8 @@
 """Problem 1: a sample that is the same in every run and only grows as records are added.
 
-An identifier is mapped to a number of the fixed domain 0 .. 2^64 - 1, the number is
-permuted by a keyed Feistel network, and the record is selected if the permuted number
-lies under ``rate * 2^64``. The decision depends on the identifier alone: no count, no
+An identifier is a number of the fixed domain 0 .. 2^64 - 1 (its own 16 hex digits) within
+its dataset's prefix. The number is permuted by a Feistel network keyed by seed and
+prefix, and the record is selected if the permuted number lies under ``rate * 2^64``. The decision depends on the identifier alone: no count, no
 order and no other record matters, so it holds in any partitioning and for later rows.
 """
 
@@ -39,16 +39,17 @@ def _halves(x: Column) -> tuple[Column, Column]:
     return F.shiftrightunsigned(x, 32), x.bitwiseAND(_long(HALF - 1))
 
 
-def feistel(number: Column, seed: int, finish=None) -> Column:
+def feistel(number: Column, tweak: Column, seed: int, finish=None) -> Column:
     """The permuted number, a 64-bit integer whose sign bit is its top bit; ``finish`` may turn it into something else.
 
     Each round swaps the halves and adds a function of one to the other, so no two
-    inputs meet. The rounds are a fold, which keeps the expression small.
+    numbers of one tweak (below 2^28) meet. The rounds are a fold, which keeps the
+    expression small.
     """
 
     def turn(x: Column, key: Column) -> Column:
         high, low = _halves(x)
-        mixed = (low * key["a"] + key["c"]) % _long(PRIME)
+        mixed = (low * key["a"] + key["c"] + tweak) % _long(PRIME)
         mixed = (mixed.bitwiseXOR(F.shiftright(mixed, 15)) * key["b"]) % _long(PRIME)
         return F.shiftleft(low, 32).bitwiseOR(high.bitwiseXOR(mixed))
 
@@ -56,23 +57,32 @@ def feistel(number: Column, seed: int, finish=None) -> Column:
     return F.aggregate(keys, number, turn, finish) if finish else F.aggregate(keys, number, turn)
 
 
-def feistel_int(number: int, seed: int) -> int:
+def feistel_int(number: int, tweak: int, seed: int) -> int:
     """The same permutation of one number, for tests."""
     high, low = divmod(number, HALF)
     for a, b, c in round_keys(seed):
-        mixed = (low * a + c) % PRIME
+        mixed = (low * a + c + tweak) % PRIME
         mixed = (mixed ^ (mixed >> 15)) * b % PRIME
         high, low = low, high ^ mixed
     return high * HALF + low
 
 
-def numeric(key: Column) -> Column:
-    """The number of an identifier: the first 64 bits of its SHA-256.
+OWN_NUMBER = "^([^_]+)__([0-9a-f]{16})$"
 
-    Canonical ids carry 64 random bits of their own behind a dataset prefix; ids of any
-    other form, or of two datasets with the same digits, need numbers of the same domain.
+
+def numeric(key: Column) -> tuple[Column, Column]:
+    """(number, tweak) of an identifier.
+
+    A canonical id ``prefix__`` + 16 hex digits is that number under the tweak of its
+    prefix, so distinct ids of a dataset never share one. Any other text (a group's
+    name, a foreign id) has the first 64 bits of its SHA-256 under the tweak 0; two of
+    them share a number, and with it their fate, with probability 2^-64 a pair.
     """
-    return F.conv(F.substring(F.sha2(key, 256), 1, 16), 16, -10).cast("bigint")
+    own = key.rlike(OWN_NUMBER)
+    digits = F.when(own, F.substring(key, -16, 16)).otherwise(F.substring(F.sha2(key, 256), 1, 16))
+    prefix = F.substring(F.sha2(F.regexp_extract(key, OWN_NUMBER, 1), 256), 1, 7)
+    tweak = F.when(own, F.conv(prefix, 16, 10).cast("bigint")).otherwise(_long(0))
+    return F.conv(digits, 16, -10).cast("bigint"), tweak
 
 
 def under_rate(key: Column, rate: float, seed: int) -> Column:
@@ -86,7 +96,7 @@ def under_rate(key: Column, rate: float, seed: int) -> Column:
         high, low = _halves(x)
         return (high < _long(top)) | ((high == _long(top)) & (low < _long(rest)))
 
-    return F.coalesce(feistel(numeric(key), seed, under), F.lit(False))
+    return F.coalesce(feistel(*numeric(key), seed, under), F.lit(False))
 
 
 def stable_sample(df: DataFrame, rate: float, seed: int = 7, unit: str = "record") -> DataFrame:

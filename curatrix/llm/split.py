@@ -62,7 +62,7 @@ def torn_units(manifest: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFr
 
     Everything is aggregated to groups before the join with the links' components.
     """
-    rows = _records(manifest).where("grp is not null and split is not null")
+    rows = _records(manifest).where("grp is not null")
     groups = rows.groupBy("grp").agg(*(F.count_if(F.col("split") == s).alias(s) for s in SPLITS))
     groups = groups.join(group_units(links), "grp", "left").withColumn("unit", F.coalesce("unit", "grp"))
     units = groups.groupBy("unit").agg(F.count(F.lit(1)).alias("groups"), *(F.sum(s).alias(s) for s in SPLITS))
@@ -73,7 +73,7 @@ def torn_units(manifest: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFr
 def torn_relations(manifest: DataFrame, links: DataFrame) -> DataFrame:
     """The relations that ``avax_split`` tears apart: ``unit, groups, train_rows, val_rows, test_rows``.
 
-    Only included rows with a group and a known split count. Needs the manifest's
+    Only included rows with a group count; a split that is none of the three is none. Needs the manifest's
     ``canonical_id, source_dataset, source_group, avax_split, split_status,
     real_synthetic, is_negative`` and the links' six columns; further columns are
     ignored. Empty tables give an empty result.
