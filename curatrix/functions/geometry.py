@@ -13,6 +13,14 @@ Box = tuple[Column, Column, Column, Column]
 BUCKET_EDGES = (0.0, 1e-4, 1e-3, 1e-2, 5e-2)
 
 
+def _if_all(value: Column, *needed: Column) -> Column:
+    """``value`` where nothing is null; least() and greatest() alone would pass over nulls."""
+    known = needed[0].isNotNull()
+    for c in needed[1:]:
+        known = known & c.isNotNull()
+    return F.when(known, value)
+
+
 def xyxy_to_centre(x0: Column, y0: Column, x1: Column, y1: Column, width: Column | float = 1.0, height: Column | float = 1.0) -> Box:
     """Corners in pixels (or in units, with the default size 1) to the normalised centre form."""
     w, h = (F.lit(v) if not isinstance(v, Column) else v for v in (width, height))
@@ -33,12 +41,12 @@ def centre_to_pixels(cx: Column, cy: Column, w: Column, h: Column, width: Column
 
 
 def clip01(x: Column) -> Column:
-    return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
+    return _if_all(F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)), x)
 
 
 def overshoot(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """How far the box reaches beyond the unit square, 0 if it doesn't."""
-    return F.greatest(F.lit(0.0), -x0, -y0, x1 - 1, y1 - 1)
+    return _if_all(F.greatest(F.lit(0.0), -x0, -y0, x1 - 1, y1 - 1), x0, y0, x1, y1)
 
 
 def overshoot_bucket(amount: Column) -> Column:
@@ -110,11 +118,11 @@ def suspicion_total(points: Column) -> Column:
 
 
 def iou(a: Box, b: Box) -> Column:
-    """Intersection over union of two boxes of corners; the union counts as 1e-9 at least."""
+    """Intersection over union of two boxes of corners; the union counts as 1e-9 at least; null if any corner is."""
     side = lambda lo1, hi1, lo2, hi2: F.greatest(F.least(hi1, hi2) - F.greatest(lo1, lo2), F.lit(0.0))
     both = side(a[0], a[2], b[0], b[2]) * side(a[1], a[3], b[1], b[3])
     area = lambda x: (x[2] - x[0]) * (x[3] - x[1])
-    return both / F.greatest(area(a) + area(b) - both, F.lit(1e-9))
+    return _if_all(both / F.greatest(area(a) + area(b) - both, F.lit(1e-9)), *a, *b)
 
 
 def padded_crop(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height: Column, share: float = 0.08) -> Box:
@@ -122,7 +130,7 @@ def padded_crop(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, h
     px, py = (F.bround((hi - lo) * F.lit(share)) for lo, hi in ((x0, x1), (y0, y1)))
     zero = F.lit(0)
     return tuple(
-        v.cast("int")
+        _if_all(v, x0, y0, x1, y1, width, height).cast("int")
         for v in (F.greatest(zero, x0 - px), F.greatest(zero, y0 - py), F.least(width, x1 + px), F.least(height, y1 + py))
     )
 
@@ -149,7 +157,7 @@ def rotate_back(box: Box, width: Column, height: Column, degrees: Column) -> Box
 
 def letterbox_scale(width: Column, height: Column, side: float) -> Column:
     """Scale that fits the image into a square, placed at its top left."""
-    return F.least(F.lit(side) / height, F.lit(side) / width)
+    return _if_all(F.least(F.lit(side) / height, F.lit(side) / width), width, height)
 
 
 def letterbox_size(width: Column, height: Column, side: float) -> tuple[Column, Column]:
@@ -159,7 +167,7 @@ def letterbox_size(width: Column, height: Column, side: float) -> tuple[Column,
 
 
 def close_to(a: Column, b: Column, relative: float = 1e-9, absolute: float = 1e-6) -> Column:
-    return F.abs(a - b) <= F.greatest(F.lit(relative) * F.greatest(F.abs(a), F.abs(b)), F.lit(absolute))
+    return _if_all(F.abs(a - b) <= F.greatest(F.lit(relative) * F.greatest(F.abs(a), F.abs(b)), F.lit(absolute)), a, b)
 
 
 def aspect_difference(a: Column, b: Column) -> Column:

@@ -22,9 +22,9 @@ _BASE = """base AS (SELECT l_orderkey AS image_id, row_number() OVER (PARTITION
   ((l_partkey * 7) % 60)::DOUBLE AS x, ((l_suppkey * 13) % 40)::DOUBLE AS y, 30 + l_quantity AS w, 12 + l_linenumber * 2.0::DOUBLE AS h, ((l_partkey % 89) + 10) / 100.0::DOUBLE AS score, ((l_suppkey % 9) - 4)::DOUBLE AS shift FROM lineitem),
 pred AS (SELECT image_id, k AS pred_index, x AS x1, y AS y1, x + w AS x2, y + h AS y2, score FROM base),
 gt AS (SELECT image_id, k AS gt_index, x + shift AS x1, y + shift AS y1, x + w + shift AS x2, y + h + shift AS y2 FROM base WHERE f <> 'R'),
-o AS (SELECT p.image_id, p.pred_index, p.score, g.gt_index, greatest(least(p.x2, g.x2) - greatest(p.x1, g.x1), 0) * greatest(least(p.y2, g.y2) - greatest(p.y1, g.y1), 0) AS i,
+o AS (SELECT p.image_id, p.pred_index, p.score, g.gt_index, CASE WHEN g.gt_index IS NOT NULL THEN greatest(least(p.x2, g.x2) - greatest(p.x1, g.x1), 0) * greatest(least(p.y2, g.y2) - greatest(p.y1, g.y1), 0) END AS i,
   (p.x2 - p.x1) * (p.y2 - p.y1) AS pa, (g.x2 - g.x1) * (g.y2 - g.y1) AS ga FROM pred p LEFT JOIN gt g USING (image_id)),
-best AS (SELECT image_id, pred_index, score, max_by(gt_index, (i / greatest(pa + ga - i, 1e-9), -gt_index)) AS gt_index, max(i / greatest(pa + ga - i, 1e-9)) AS overlap FROM o GROUP BY 1, 2, 3)"""
+best AS (SELECT image_id, pred_index, score, max_by(gt_index, (i / greatest(pa + ga - i, 1e-9), -gt_index)) AS gt_index, max(CASE WHEN i IS NOT NULL THEN i / greatest(pa + ga - i, 1e-9) END) AS overlap FROM o GROUP BY 1, 2, 3)"""
 
 
 def _outcome(least: float) -> str:
