@@ -120,9 +120,13 @@ def rake(counts: np.ndarray, carries: np.ndarray, shares: np.ndarray, rounds: in
     return np.maximum(weight / max(weight.max(initial=0.0), 1e-300), 1e-9)
 
 
+def _no_rows(**types: str) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series(dtype=t) for c, t in types.items()})
+
+
 def _rake_batch(key, cells: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     if cells.empty:
-        return pd.DataFrame({"batch": [], "profile": [], "weight": []})
+        return _no_rows(batch="int", profile="object", weight="float")
     names = (asks["field"] + "=" + asks["value"]).tolist()
     has = np.array([[n in set(p) for n in names] for p in cells["profile"]], dtype=bool).reshape(len(cells), len(names))
     weight = rake(cells["n"].to_numpy(), has, asks["share"].to_numpy(dtype=float))
@@ -160,9 +164,8 @@ def _repair_batch(pool: pd.DataFrame, asks: pd.DataFrame, size: int) -> tuple[li
 
 
 def _draw_batch(key, pool: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-    cols = {"batch": "int", "image": "object", "profile": "object", "draw_order": "int", "repaired": "bool"}
     if pool.empty or asks.empty:
-        return pd.DataFrame({c: pd.Series(dtype=t) for c, t in cols.items()})
+        return _no_rows(batch="int", image="object", profile="object", draw_order="int", repaired="bool")
     pool = pool.sort_values(["sort_key", "image"], kind="stable").reset_index(drop=True)
     rows, brought = _repair_batch(pool, asks, int(asks["size"].max()))
     out = pool.loc[rows, ["batch", "image", "profile"]].copy()
