@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from curatrix.functions.hashing import let
+
 # Extensions of image files, and words that stand for a missing group.
 IMAGE_EXTENSIONS = ["avif", "bmp", "gif", "heic", "jpeg", "jpg", "png", "tif", "tiff", "webp"]
 PLACEHOLDERS = ["", "-", "--", "n/a", "na", "nan", "none", "null", "unknown", "–", "—"]
@@ -36,20 +38,18 @@ def group_key(dataset: Column, group: Column) -> Column:
     folders, a frame mark ``#t=...`` and an export suffix ``.rf.`` + hash + extension
     make no difference.
     """
-    whole = F.lower(trimmed(group))
-    bare = F.regexp_replace(whole, r"^.*[/\\]", "")
-    bare = trimmed(F.regexp_replace(F.regexp_replace(bare, r"#t=.*$", ""), r"\.rf\.[0-9a-z]+\.[a-z0-9]+$", ""))
-    missing = whole.isin(PLACEHOLDERS) | bare.isin(PLACEHOLDERS)
-    return F.when(~missing, F.concat_ws("|", F.when(word_key(dataset).isNotNull(), word_key(dataset)), bare)).cast("string")
+
+    def named(whole: Column) -> Column:
+        bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(whole, r"^.*[/\\]", ""), r"#t=.*$", ""), r"\.rf\.[0-9a-z]+\.[a-z0-9]+$", "")
+        return let(trimmed(bare), lambda b: F.when(~(whole.isin(PLACEHOLDERS) | b.isin(PLACEHOLDERS)), b))
+
+    return F.concat(word_key(dataset), F.lit("|"), let(F.lower(trimmed(group)), named))
 
 
 def split_key(split: Column) -> Column:
     """train, val or test; null for any other text."""
-    bare = F.lower(trimmed(split))
-    out = F.lit(None).cast("string")
-    for name, spellings in SPLIT_SPELLINGS.items():
-        out = F.when(bare.isin(spellings), F.lit(name)).otherwise(out)
-    return out
+    names = F.create_map(*(F.lit(x) for name, spellings in SPLIT_SPELLINGS.items() for s in spellings for x in (s, name)))
+    return F.try_element_at(names, F.lower(trimmed(split)))
 
 
 def is_included(status: Column) -> Column:

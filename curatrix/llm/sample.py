@@ -14,6 +14,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.functions.hashing import let
 from curatrix.llm.names import group_key, id_key
 
 HALF = 1 << 32
@@ -47,14 +48,18 @@ def feistel(number: Column, tweak: Column, seed: int, finish=None) -> Column:
     expression small.
     """
 
-    def turn(x: Column, key: Column) -> Column:
-        high, low = _halves(x)
-        mixed = (low * key["a"] + key["c"] + tweak) % _long(PRIME)
-        mixed = (mixed.bitwiseXOR(F.shiftright(mixed, 15)) * key["b"]) % _long(PRIME)
-        return F.shiftleft(low, 32).bitwiseOR(high.bitwiseXOR(mixed))
-
     keys = F.array(*(F.struct(_long(a).alias("a"), _long(b).alias("b"), _long(c).alias("c")) for a, b, c in round_keys(seed)))
-    return F.aggregate(keys, number, turn, finish) if finish else F.aggregate(keys, number, turn)
+
+    def body(start: Column) -> Column:
+        def turn(x: Column, key: Column) -> Column:
+            high, low = _halves(x)
+            mixed = (low * key["a"] + key["c"] + start["tweak"]) % _long(PRIME)
+            mixed = (mixed.bitwiseXOR(F.shiftright(mixed, 15)) * key["b"]) % _long(PRIME)
+            return F.shiftleft(low, 32).bitwiseOR(high.bitwiseXOR(mixed))
+
+        return F.aggregate(keys, start["number"], turn, finish) if finish else F.aggregate(keys, start["number"], turn)
+
+    return let(F.struct(number.alias("number"), tweak.alias("tweak")), body)
 
 
 def feistel_int(number: int, tweak: int, seed: int) -> int:
@@ -96,7 +101,7 @@ def under_rate(key: Column, rate: float, seed: int) -> Column:
         high, low = _halves(x)
         return (high < _long(top)) | ((high == _long(top)) & (low < _long(rest)))
 
-    return F.coalesce(feistel(*numeric(key), seed, under), F.lit(False))
+    return F.coalesce(let(key, lambda k: feistel(*numeric(k), seed, under)), F.lit(False))
 
 
 def stable_sample(df: DataFrame, rate: float, seed: int = 7, unit: str = "record") -> DataFrame:
