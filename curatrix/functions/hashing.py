@@ -17,19 +17,20 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it inside a fold or filter."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def pack_bits(values: Column, above: Column) -> Column:
     """64 numbers as a 64-bit integer, most significant bit first; a bit is set if its number is above ``above``."""
-    return F.aggregate(
-        values,
-        F.lit(0).cast("bigint"),
-        lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.when(x > above, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))),
-    )
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    return let(above, lambda m: F.aggregate(values, zero, lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.when(x > m, one).otherwise(zero))))
 
 
 def median_without_first(values: Column) -> Column:
     """Median of all numbers of an array but the first, the odd one out of a cosine transform."""
-    rest = F.array_sort(F.slice(values, 2, F.size(values) - 1))
-    return F.element_at(rest, ((F.size(rest) + 1) / 2).cast("int"))
+    return let(F.array_sort(F.slice(values, 2, F.size(values) - 1)), lambda rest: F.element_at(rest, ((F.size(rest) + 1) / 2).cast("int")))
 
 
 def stable_id(prefix: Column, identity: Column) -> Column:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from curatrix.session import forget, materialize
 
 
-def _stamp(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("h")).first()
-    return int(row["n"]), int(row["h"])
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges as a table, with their number and a sum of hashes that the writing job takes along."""
+    seen = Observation()
+    total = F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))
+    table = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("h")), "edges")
+    return table, (int(seen.get["n"]), int(seen.get["h"]))
 
 
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 60) -> DataFrame:
@@ -26,16 +29,14 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ma
     """
     ends = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a <> b")  # drops nulls as well
     now = ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now = materialize(now, "edges")
-    seen = _stamp(now)
+    now, seen = _written(now)
     for _ in range(max_rounds):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = materialize(small.union(down.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct(), "edges")
-        stamp = _stamp(after)
+        after, stamp = _written(small.union(down.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct())
         forget(now)
         now = after
         if stamp == seen:

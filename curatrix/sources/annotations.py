@@ -27,7 +27,7 @@ def read_voc(spark: SparkSession, path: str, mode: str = "collect") -> DataFrame
     A file that isn't XML has one row with ``errors`` = [unreadable].
     """
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").load(path)
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.decode("content", "UTF-8")
     rows = raw.select("path", stem(F.col("path")).alias("stem"), F.from_xml(text, VOC_SCHEMA, {"mode": "PERMISSIVE"}).alias("a"))
     rows = rows.select("path", "stem", "a.filename", "a.size.width", "a.size.height", F.col("a").isNull().alias("_bad"), F.posexplode_outer("a.object").alias("_i", "o"))
     box = tuple(F.col(f"o.bndbox.{c}") for c in ("xmin", "ymin", "xmax", "ymax"))
@@ -78,8 +78,11 @@ def read_yolo(spark: SparkSession, path: str, mode: str = "collect", slack: floa
     line number. ``errors``: ``tokens`` (not five), ``not_a_number``, and the rules of a
     normalised box. Modes as for ``read_voc``.
     """
-    files = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").text(path)
-    files = files.select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=True)
+    # a scan passes over files of no bytes; they are known to its file index only
+    every = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
+    same = lambda c: F.regexp_replace(c, "^file:/+", "/").alias("path")
+    files = every.select(same("path")).join(files.select(same("_metadata.file_path"), "value"), "path", "left").na.fill("", ["value"])
     lines = files.select("path", F.posexplode_outer(F.filter(F.transform(F.split("value", r"\r?\n"), lambda v, i: F.struct((i + 1).alias("n"), F.trim(v).alias("v"))), lambda x: x["v"] != "")).alias("_i", "l"))
     parts = F.split(F.col("l.v"), r"\s+")
     rows = lines.select("path", stem(F.col("path")).alias("stem"), F.col("l.n").alias("line_number"), parts.alias("p"))

@@ -18,8 +18,9 @@ IMAGE_SUFFIXES = [".bmp", ".jpeg", ".jpg", ".png", ".webp"]
 def list_files(spark: SparkSession, folder: str, suffixes: list[str] | None = None, recursive: bool = False, content: bool = False) -> DataFrame:
     """``path, stem, suffix, length, modificationTime`` (and ``content``) of the files of a folder.
 
-    Without ``content`` the bytes are not read. Suffixes are compared in lower case. A
-    folder without files gives an empty table.
+    Without ``content`` the bytes are not read. Suffixes are compared in lower case.
+    Files of no bytes are not listed (Spark's scans pass over them). A folder without
+    files gives an empty table.
     """
     reader = spark.read.format("binaryFile")
     if recursive:
