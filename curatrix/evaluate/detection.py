@@ -145,7 +145,15 @@ def best_point(rows: DataFrame) -> DataFrame:
 
 def image_outcomes(predictions: DataFrame, truth: DataFrame, images: DataFrame, least: float = IOU_MATCH) -> DataFrame:
     """For every image: sorted arrays ``matched`` and ``missed`` (gt_index) and ``false_pred`` (pred_index)."""
-    rows = outcomes(predictions, truth, [], least)
+    return collect_outcomes(outcomes(predictions, truth, [], least), truth, images)
+
+
+def collect_outcomes(rows: DataFrame, truth: DataFrame, images: DataFrame) -> DataFrame:
+    """``image_outcomes`` of rows with their outcome.
+
+    Only better boxes of an image decide whether a box is true or a duplicate, so the
+    outcomes at a higher confidence are those at a lower one, cut by score.
+    """
     hits = rows.groupBy("image_id").agg(
         F.array_sort(F.collect_set(F.when(F.col("outcome") == "tp", F.col("gt_index")))).alias("matched"),
         F.array_sort(F.collect_set(F.when(F.col("outcome") != "tp", F.col("pred_index")))).alias("false_pred"),

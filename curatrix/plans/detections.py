@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from curatrix.evaluate import detection as det
 from curatrix.operators.review import index_in_group
 from curatrix.plans.registry import Book
-from curatrix.session import table
+from curatrix.session import materialize, table
 
 BOOK = Book()
 CONFIDENCES = [0.15, 0.175, 0.2, 0.225, 0.25, 0.275, 0.3, 0.325, 0.35, 0.375, 0.4, 0.425, 0.45]
@@ -86,7 +86,8 @@ def best_f1(spark: SparkSession, folder: str) -> DataFrame:
 def _points(spark: SparkSession, folder: str) -> list[DataFrame]:
     pred, truth = _data(spark, folder)
     images = table(spark, folder, "orders").select(F.col("o_orderkey").alias("image_id"))
-    return [det.image_outcomes(pred.where(F.col("score") >= c), truth, images) for c in (0.175, 0.225, 0.375)]
+    rows = materialize(det.outcomes(pred.where("score >= 0.175"), truth), "outcomes")
+    return [det.collect_outcomes(rows.where(F.col("score") >= c), truth, images) for c in (0.175, 0.225, 0.375)]
 
 
 def _category_sql() -> str:

@@ -97,3 +97,37 @@ def read_yolo(spark: SparkSession, path: str, mode: str = "collect", slack: floa
         .otherwise(box_errors(box, "cxcywh", slack=slack, corner_slack=corner_slack))
     )
     return _by_mode(rows.withColumn("errors", errors).withColumn("class_id", F.expr("try_cast(class_id as int)")).drop("p"), mode)
+
+
+def coco_differences(tables: dict[str, DataFrame], images: DataFrame, annotations: DataFrame, relative: float = 1e-9, absolute: float = 1e-6) -> DataFrame:
+    """A COCO document read back against the tables it was written from: ``file_name, problem``, empty if they agree.
+
+    Problems: ``missing`` or ``unexpected`` image, ``id``, ``size``, ``box_count``,
+    ``box`` (a corner, size or area beyond the tolerance, boxes of an image compared in
+    sorted order) and ``category``. The boxes of one image are bounded.
+    """
+    from pyspark.sql import Window
+
+    from curatrix.functions.geometry import close_to
+
+    want = images.select("file_name", *(F.col(c).alias(f"w_{c}") for c in ("id", "width", "height"))).withColumn("w", F.lit(True))
+    have = tables["images"].select("file_name", *(F.col(c).alias(f"h_{c}") for c in ("id", "width", "height"))).withColumn("h", F.lit(True))
+    both = want.join(have, "file_name", "full_outer")
+    size = (F.col("w_width") != F.col("h_width")) | (F.col("w_height") != F.col("h_height"))
+    problem = F.when(F.col("h").isNull(), "missing").when(F.col("w").isNull(), "unexpected").when(F.col("w_id") != F.col("h_id"), "id").when(size, "size")
+    out = both.select("file_name", problem.alias("problem")).where("problem is not null")
+
+    def placed(rows: DataFrame, names: DataFrame, box: list, prefix: str) -> DataFrame:
+        named = rows.join(names.select(F.col("id").alias("image_id"), "file_name"), "image_id")
+        flat = named.select("file_name", *(b.alias(f"{prefix}{k}") for k, b in enumerate(box)), F.col("area").alias(f"{prefix}4"), F.col("category_id").alias(f"{prefix}5"))
+        order = Window.partitionBy("file_name").orderBy(*(F.bround(f"{prefix}{k}", 4) for k in range(4)))
+        return flat.withColumn("at", F.row_number().over(order))
+
+    a = placed(annotations, images, [F.col("bbox")[k] for k in range(4)], "a")
+    b = placed(tables["annotations"], tables["images"], [F.col(c) for c in "xywh"], "b")
+    near = close_to(F.col("a0"), F.col("b0"), relative, absolute)
+    for k in range(1, 5):
+        near = near & close_to(F.col(f"a{k}"), F.col(f"b{k}"), relative, absolute)
+    problem = F.when(F.col("a0").isNull() | F.col("b0").isNull(), "box_count").when(~near, "box").when(F.col("a5") != F.col("b5"), "category")
+    boxes = a.join(b, ["file_name", "at"], "full_outer").select("file_name", problem.alias("problem")).where("problem is not null")
+    return out.unionByName(boxes).distinct()

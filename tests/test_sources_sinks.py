@@ -106,6 +106,9 @@ def test_coco_round_trip(spark, tmp_path):
     tables = ann.read_coco(spark, str(tmp_path / "train.json"))
     back = ann.coco_boxes(tables).orderBy("id").collect()
     assert [(r["file_name"], round(r["x"], 6), round(r["w"], 6), r["errors"], r["name"]) for r in back] == [("b.jpg", 0.0, 100.0, [], "license_plate"), ("b.jpg", 90.0, 20.0, [], "license_plate")]
+    assert ann.coco_differences(tables, images, annotations).count() == 0
+    moved = tables | {"annotations": tables["annotations"].withColumn("x", F.col("x") + F.when(F.col("id") == 2, 0.01).otherwise(0.0)), "images": tables["images"].where("id > 1").withColumn("width", F.lit(7))}
+    assert {tuple(r) for r in ann.coco_differences(moved, images, annotations).collect()} == {("a.jpg", "missing"), ("b.jpg", "size"), ("b.jpg", "box")}
     labels = {r["canonical_id"]: r["text"] for r in out.yolo_labels(samples, boxes.withColumn("class_id", F.lit(0)), "canonical_id").collect()}
     assert labels == {"a": "", "b": "0 0.25000000 0.50000000 0.50000000 1.00000000\n0 0.50000000 0.50000000 0.10000000 0.20000000\n"}
 
