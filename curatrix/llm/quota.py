@@ -85,15 +85,16 @@ def carried_values(images: DataFrame, asks: DataFrame) -> DataFrame:
     return category.unionByName(classes).join(asks.select("batch", "field", "key", "value"), ["batch", "field", "key"]).select("batch", "image", "field", "value").distinct()
 
 
-def supply_report(images: DataFrame, targets: DataFrame) -> DataFrame:
+def supply_report(images: DataFrame, targets: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """Each target with ``ask`` and ``supply``, the distinct accepted images of its batch that carry the value.
 
     Columns ``negative_batch, target_field, target_value, ask, supply``. A target
     nobody carries has supply 0; without targets the result is empty. Columns other
-    than those of the two tables that are named here are ignored.
+    than those of the two tables that are named here are ignored. ``carried`` may hold
+    ``carried_values`` of the same tables if they are at hand.
     """
     asks = ask_table(targets)
-    have = carried_values(images, asks).groupBy("batch", "field", "value").agg(F.count(F.lit(1)).alias("supply"))
+    have = (carried_values(images, asks) if carried is None else carried).groupBy("batch", "field", "value").agg(F.count(F.lit(1)).alias("supply"))
     return asks.join(have, ["batch", "field", "value"], "left").select(
         F.col("batch").alias("negative_batch"), F.col("field").alias("target_field"), F.col("value").alias("target_value"), "ask", F.coalesce("supply", F.lit(0)).cast("long").alias("supply")
     )
@@ -106,16 +107,19 @@ def rake(counts: np.ndarray, carries: np.ndarray, shares: np.ndarray, rounds: in
     carriers of one target to its share and all others to the rest.
     """
     mass = counts.astype(float)
+    masks = [carries[:, t] for t in range(len(shares))]
+    before = float("inf")
     for _ in range(rounds):
         worst = 0.0
-        for t in range(len(shares)):
-            total, own = mass.sum(), mass[carries[:, t]].sum()
-            if own <= 0 or own >= total or not 0 < shares[t] < 1:
+        for own_cells, share in zip(masks, shares.tolist()):
+            total, own = float(mass.sum()), float(mass[own_cells].sum())
+            if own <= 0 or own >= total or not 0 < share < 1:
                 continue
-            worst = max(worst, abs(own / total - shares[t]))
-            mass = np.where(carries[:, t], mass * (shares[t] * total / own), mass * ((1 - shares[t]) * total / (total - own)))
-        if worst < close:
+            worst = max(worst, abs(own / total - share))
+            mass *= np.where(own_cells, share * total / own, (1 - share) * total / (total - own))
+        if worst < close or before - worst < close * worst:  # met, or as near as these cells allow
             break
+        before = worst
     weight = mass / np.maximum(counts, 1)
     return np.maximum(weight / max(weight.max(initial=0.0), 1e-300), 1e-9)
 
@@ -127,16 +131,15 @@ def _no_rows(**types: str) -> pd.DataFrame:
 def _rake_batch(key, cells: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     if cells.empty:
         return _no_rows(batch="int", profile="object", weight="float")
-    names = (asks["field"] + "=" + asks["value"]).tolist()
-    has = np.array([[n in set(p) for n in names] for p in cells["profile"]], dtype=bool).reshape(len(cells), len(names))
+    names = [f"{f}={v}" for f, v in zip(asks["field"], asks["value"])]
+    has = np.array([[n in p for n in names] for p in map(set, cells["profile"])], dtype=bool).reshape(len(cells), len(names))
     weight = rake(cells["n"].to_numpy(), has, asks["share"].to_numpy(dtype=float))
     return pd.DataFrame({"batch": cells["batch"], "profile": cells["profile"], "weight": weight})
 
 
-def _repair_batch(pool: pd.DataFrame, asks: pd.DataFrame, size: int) -> tuple[list[int], set[int]]:
-    """Row numbers of the sample, and those that a minimum brought in. The pool is in the order of its keys."""
-    has = [set(p) for p in pool["profile"]]
-    chosen = list(range(min(size, len(pool))))
+def _repair_batch(has: list[set[str]], asks: pd.DataFrame, size: int) -> tuple[list[int], set[int]]:
+    """Numbers of the sampled images, and those that a minimum brought in, of what each image carries in the order of the keys."""
+    chosen = list(range(min(size, len(has))))
     least = {f"{f}={v}": int(m) for f, v, m in zip(asks["field"], asks["value"], asks["floor"])}
     supply = {n: sum(n in h for h in has) for n in least}
     least = {n: min(m, supply[n]) for n, m in least.items()}
@@ -144,7 +147,7 @@ def _repair_batch(pool: pd.DataFrame, asks: pd.DataFrame, size: int) -> tuple[li
     brought: set[int] = set()
     taken = set(chosen)
     for n in sorted(least, key=lambda n: (supply[n], n)):
-        for i in range(len(pool)):
+        for i in range(len(has)):
             if count[n] >= least[n]:
                 break
             if i in taken or n not in has[i]:
@@ -166,15 +169,15 @@ def _repair_batch(pool: pd.DataFrame, asks: pd.DataFrame, size: int) -> tuple[li
 def _draw_batch(key, pool: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     if pool.empty or asks.empty:
         return _no_rows(batch="int", image="object", profile="object", draw_order="int", repaired="bool")
-    pool = pool.sort_values(["sort_key", "image"], kind="stable").reset_index(drop=True)
-    rows, brought = _repair_batch(pool, asks, int(asks["size"].max()))
-    out = pool.loc[rows, ["batch", "image", "profile"]].copy()
-    out["draw_order"] = range(1, len(out) + 1)
-    out["repaired"] = [i in brought for i in rows]
-    return out
+    batch, order = pool["batch"].iat[0], sorted(zip(pool["sort_key"], pool["image"], pool["profile"]), key=lambda x: x[:2])
+    rows, brought = _repair_batch([set(p) for _, _, p in order], asks, int(asks["size"].max()))
+    kept = [order[i] for i in rows]
+    return pd.DataFrame({
+        "batch": [batch] * len(kept), "image": [x[1] for x in kept], "profile": [x[2] for x in kept], "draw_order": range(1, len(kept) + 1), "repaired": [i in brought for i in rows],
+    })
 
 
-def target_sample(images: DataFrame, targets: DataFrame, seed: str = "quota", salt_rows: int = 50_000) -> DataFrame:
+def target_sample(images: DataFrame, targets: DataFrame, seed: str = "quota", salt_rows: int = 50_000, carried: DataFrame | None = None) -> DataFrame:
     """Columns ``negative_batch, image, profile, draw_order, repaired``: the sample of each batch.
 
     ``profile`` has the target values an image carries as ``field=value``. Images of a
@@ -189,7 +192,7 @@ def target_sample(images: DataFrame, targets: DataFrame, seed: str = "quota", sa
     so a batch that holds a third of all rows is not gathered in one task.
     """
     asks = materialize(ask_table(targets), "asks")
-    carried = carried_values(images, asks)
+    carried = carried_values(images, asks) if carried is None else carried
     accepted = images.where(_plain(F.col("ReviewStatus")) == ACCEPTED).select(
         F.col("NegativeBatch").alias("batch"), id_key(F.regexp_replace(F.col("ImageID"), r"\s+", "")).alias("image")
     ).where("batch is not null and image is not null").distinct()
@@ -220,11 +223,11 @@ def target_sample(images: DataFrame, targets: DataFrame, seed: str = "quota", sa
     return drawn.withColumnRenamed("batch", "negative_batch")
 
 
-def sample_report(sample: DataFrame, images: DataFrame, targets: DataFrame) -> DataFrame:
+def sample_report(sample: DataFrame, images: DataFrame, targets: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """Each target with ask, supply, sampled images, their share, the gap to the ask and whether supply can meet it."""
     sampled = sample.select("negative_batch", F.explode("profile").alias("tag")).groupBy("negative_batch", "tag").agg(F.count(F.lit(1)).alias("sampled"))
     sizes = sample.groupBy("negative_batch").agg(F.count(F.lit(1)).alias("sample_rows"))
-    rows = supply_report(images, targets).withColumn("tag", F.concat_ws("=", "target_field", "target_value"))
+    rows = supply_report(images, targets, carried).withColumn("tag", F.concat_ws("=", "target_field", "target_value"))
     rows = rows.join(sampled, ["negative_batch", "tag"], "left").join(sizes, "negative_batch", "left")
     got = F.coalesce("sampled", F.lit(0)).cast("long")
     return rows.select(
