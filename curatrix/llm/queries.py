@@ -52,7 +52,8 @@ def p3_sample(spark: SparkSession, folder: str) -> DataFrame:
 def p3_report(spark: SparkSession, folder: str) -> DataFrame:
     images, targets = _t(spark, folder, "accepted_negatives_batch2_metadata", "negative_targets")
     carried = materialize(quota.carried_values(images, quota.ask_table(targets)), "carried")
-    return quota.sample_report(materialize(quota.target_sample(images, targets, carried=carried), "sample"), images, targets, carried)
+    cells = quota.raked_cells(images, targets, carried)
+    return quota.sample_report(materialize(quota.target_sample(images, targets, cells=cells), "sample"), images, targets, carried, cells)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:

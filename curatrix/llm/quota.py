@@ -1,8 +1,8 @@
 """Problem 3: a sample of each batch that meets target shares of several fields.
 
-Weights are raked to all target shares by iterative proportional fitting over the cells
-of images with the same target values; images are drawn by weighted exponential keys;
-minimum counts that the draw misses are repaired; a report says what can't be met.
+Weights are raked to all target shares over the cells of images with the same target
+values; images are drawn by weighted exponential keys; minimum counts that the draw misses
+are repaired; a report says what can't be met.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from curatrix.session import materialize
 
 FIELDS = ("CandidateCategory", "MatchedClasses")
 ACCEPTED = "accepted_negative"
+CLOSE = 1e-4  # a weighted share this near its target meets it
 
 
 def _plain(text: Column) -> Column:
@@ -100,28 +101,44 @@ def supply_report(images: DataFrame, targets: DataFrame, carried: DataFrame | No
     )
 
 
-def rake(counts: np.ndarray, carries: np.ndarray, shares: np.ndarray, rounds: int = 60, close: float = 1e-4) -> np.ndarray:
+def rake(counts: np.ndarray, carries: np.ndarray, shares: np.ndarray, rounds: int | None = None, close: float = CLOSE) -> np.ndarray:
     """Weight of an image of each cell so that each target's weighted share is its target, as far as supply allows.
 
-    ``carries[c, t]`` tells whether cell c carries target t. Each step scales the
-    carriers of one target to its share and all others to the rest.
+    ``carries[c, t]`` tells whether cell c carries target t. The weights are the limit of
+    proportional fitting, the ones nearest to the counts that meet all shares; where none
+    do, the sum of the squared gaps is least. Both are the minimum of one strictly convex
+    function, found by damped Newton steps until its slope is gone; there is no limit of
+    steps unless ``rounds`` sets one. Targets that no image or every image carries, and
+    shares of 0 or 1, move no weight.
     """
-    mass = counts.astype(float)
-    masks = [carries[:, t] for t in range(len(shares))]
-    before = float("inf")
-    for _ in range(rounds):
-        worst = 0.0
-        for own_cells, share in zip(masks, shares.tolist()):
-            total, own = float(mass.sum()), float(mass[own_cells].sum())
-            if own <= 0 or own >= total or not 0 < share < 1:
-                continue
-            worst = max(worst, abs(own / total - share))
-            mass *= np.where(own_cells, share * total / own, (1 - share) * total / (total - own))
-        if worst < close or before - worst < close * worst:  # met, or as near as these cells allow
+    own = counts @ carries
+    free = (own > 0) & (own < counts.sum()) & (shares > 0) & (shares < 1)
+    has, want, ridge = carries[:, free].astype(float), shares[free], close / 100  # the ridge keeps the minimum finite where shares are out of reach
+    pull, base = np.zeros(len(want)), np.log(np.maximum(counts, 1e-300))
+
+    def at(pull: np.ndarray) -> tuple[np.ndarray, float]:
+        logs = base + has @ pull
+        top = logs.max(initial=-np.inf)
+        mass = np.exp(logs - top)
+        return mass / mass.sum(), float(top + np.log(mass.sum()) - pull @ want + ridge / 2 * (pull @ pull))
+
+    part, value = at(pull) if len(counts) else (base, 0.0)
+    done = 0
+    while len(want) and (rounds is None or done < rounds):
+        done += 1
+        reach = part @ has
+        slope = reach - want + ridge * pull
+        if np.abs(slope).max() < close / 1000:
+            break
+        step = np.linalg.solve((has.T * part) @ has - np.outer(reach, reach) + ridge * np.eye(len(want)), -slope)
+        length, fall = 1.0, slope @ step
+        while (new := at(pull + length * step))[1] > value + 1e-4 * length * fall and length > 1e-12:
+            length /= 2
+        if not new[1] < value:  # lowest as far as doubles can tell
             break
-        before = worst
-    weight = mass / np.maximum(counts, 1)
-    return np.maximum(weight / max(weight.max(initial=0.0), 1e-300), 1e-9)
+        pull, (part, value) = pull + length * step, new
+    logs = has @ pull
+    return np.maximum(np.exp(logs - logs.max(initial=-np.inf)), 1e-9)
 
 
 def _no_rows(**types: str) -> pd.DataFrame:
@@ -130,11 +147,13 @@ def _no_rows(**types: str) -> pd.DataFrame:
 
 def _rake_batch(key, cells: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     if cells.empty:
-        return _no_rows(batch="int", profile="object", weight="float")
-    names = [f"{f}={v}" for f, v in zip(asks["field"], asks["value"])]
-    has = np.array([[n in p for n in names] for p in map(set, cells["profile"])], dtype=bool).reshape(len(cells), len(names))
-    weight = rake(cells["n"].to_numpy(), has, asks["share"].to_numpy(dtype=float))
-    return pd.DataFrame({"batch": cells["batch"], "profile": cells["profile"], "weight": weight})
+        return _no_rows(batch="int", profile="object", n="int64", weight="float")
+    wanted = sorted((f"{f}={v}", float(s)) for f, v, s in zip(asks["field"], asks["value"], asks["share"]))
+    rows = sorted(zip(map(tuple, cells["profile"]), cells["n"]))  # sums do not depend on the order of rows
+    has = np.array([[n in p for n, _ in wanted] for p in (set(p) for p, _ in rows)], dtype=bool).reshape(len(rows), len(wanted))
+    counts = np.array([n for _, n in rows])
+    weight = rake(counts, has, np.array([s for _, s in wanted], dtype=float))
+    return pd.DataFrame({"batch": [cells["batch"].iat[0]] * len(rows), "profile": [list(p) for p, _ in rows], "n": counts, "weight": weight})
 
 
 def _repair_batch(has: list[set[str]], asks: pd.DataFrame, size: int) -> tuple[list[int], set[int]]:
@@ -177,7 +196,25 @@ def _draw_batch(key, pool: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def target_sample(images: DataFrame, targets: DataFrame, seed: str = "quota", salt_rows: int = 50_000, carried: DataFrame | None = None) -> DataFrame:
+def raked_cells(images: DataFrame, targets: DataFrame, carried: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(accepted images of the batches with targets: ``batch, image, profile, size``; cells: ``batch, profile, n, weight``), both written."""
+    asks = materialize(ask_table(targets), "asks")
+    carried = carried_values(images, asks) if carried is None else carried
+    accepted = images.where(_plain(F.col("ReviewStatus")) == ACCEPTED).select(
+        F.col("NegativeBatch").alias("batch"), id_key(F.regexp_replace(F.col("ImageID"), r"\s+", "")).alias("image")
+    ).where("batch is not null and image is not null").distinct()
+    tags = carried.groupBy("batch", "image").agg(F.array_sort(F.collect_set(F.concat_ws("=", "field", "value"))).alias("profile"))
+    sizes = asks.groupBy("batch").agg(F.max("size").alias("size"))
+    tagged = accepted.join(tags, ["batch", "image"], "left").withColumn("profile", F.coalesce("profile", F.array().cast("array<string>")))
+    tagged = materialize(tagged.join(sizes, "batch"), "tagged")
+    cells = tagged.groupBy("batch", "profile").agg(F.count(F.lit(1)).alias("n"))
+    weights = cells.groupBy("batch").cogroup(asks.groupBy("batch")).applyInPandas(_rake_batch, "batch int, profile array<string>, n long, weight double")
+    return tagged, materialize(weights, "weights")
+
+
+def target_sample(
+    images: DataFrame, targets: DataFrame, seed: str = "quota", salt_rows: int = 50_000, carried: DataFrame | None = None, cells: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """Columns ``negative_batch, image, profile, draw_order, repaired``: the sample of each batch.
 
     ``profile`` has the target values an image carries as ``field=value``. Images of a
@@ -189,21 +226,13 @@ def target_sample(images: DataFrame, targets: DataFrame, seed: str = "quota", sa
     targets can combine), and the repair sees the best ``sample_size`` images and, for
     each target, the best ``min_count`` carriers; both are bounded whatever the size of
     the batch. These best images come from salted windows of about ``salt_rows`` rows,
-    so a batch that holds a third of all rows is not gathered in one task.
+    so a batch that holds a third of all rows is not gathered in one task. ``cells``
+    may hold ``raked_cells`` of the same tables if they are at hand.
     """
     asks = materialize(ask_table(targets), "asks")
-    carried = carried_values(images, asks) if carried is None else carried
-    accepted = images.where(_plain(F.col("ReviewStatus")) == ACCEPTED).select(
-        F.col("NegativeBatch").alias("batch"), id_key(F.regexp_replace(F.col("ImageID"), r"\s+", "")).alias("image")
-    ).where("batch is not null and image is not null").distinct()
-    tags = carried.groupBy("batch", "image").agg(F.array_sort(F.collect_set(F.concat_ws("=", "field", "value"))).alias("profile"))
-    sizes = asks.groupBy("batch").agg(F.max("size").alias("size"))
-    tagged = accepted.join(tags, ["batch", "image"], "left").withColumn("profile", F.coalesce("profile", F.array().cast("array<string>")))
-    tagged = materialize(tagged.join(sizes, "batch"), "tagged")
-    cells = tagged.groupBy("batch", "profile").agg(F.count(F.lit(1)).alias("n"))
-    weights = cells.groupBy("batch").cogroup(asks.groupBy("batch")).applyInPandas(_rake_batch, "batch int, profile array<string>, weight double")
+    tagged, weights = raked_cells(images, targets, carried) if cells is None else cells
     even = (F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed), "batch", "image"), 256), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
-    keyed = tagged.join(weights, ["batch", "profile"]).withColumn("sort_key", -F.ln(even) / F.col("weight"))
+    keyed = tagged.join(weights.drop("n"), ["batch", "profile"]).withColumn("sort_key", -F.ln(even) / F.col("weight"))
     largest = tagged.groupBy("batch").count().agg(F.max("count")).first()[0] or 0
     salts = max(1, -(-largest // salt_rows))
     keyed = materialize(keyed.withColumn("salt", F.pmod(F.xxhash64("image"), F.lit(salts)).cast("int")).drop("weight"), "keyed")
@@ -223,16 +252,29 @@ def target_sample(images: DataFrame, targets: DataFrame, seed: str = "quota", sa
     return drawn.withColumnRenamed("batch", "negative_batch")
 
 
-def sample_report(sample: DataFrame, images: DataFrame, targets: DataFrame, carried: DataFrame | None = None) -> DataFrame:
-    """Each target with ask, supply, sampled images, their share, the gap to the ask and whether supply can meet it."""
+def sample_report(
+    sample: DataFrame, images: DataFrame, targets: DataFrame, carried: DataFrame | None = None, cells: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
+    """Each target with ask, supply, sampled images, their share, the gap to the ask, whether supply can meet it, and the raked share.
+
+    ``raked_share`` is the target's share of the weights and ``share_met`` whether it is the
+    target share (a share of 0 asks nothing): where it is false, the shares of the batch
+    cannot be met together, even if ``can_be_met`` holds for each alone.
+    """
     sampled = sample.select("negative_batch", F.explode("profile").alias("tag")).groupBy("negative_batch", "tag").agg(F.count(F.lit(1)).alias("sampled"))
     sizes = sample.groupBy("negative_batch").agg(F.count(F.lit(1)).alias("sample_rows"))
+    weights = (raked_cells(images, targets, carried) if cells is None else cells)[1].withColumn("mass", F.col("n") * F.col("weight"))
+    masses = weights.groupBy("batch").agg(F.sum("mass").alias("batch_mass"))
+    raked = weights.select("batch", F.explode("profile").alias("tag"), "mass").groupBy("batch", "tag").agg(F.sum("mass").alias("mass")).join(masses, "batch")
+    raked = raked.select(F.col("batch").alias("negative_batch"), "tag", (F.col("mass") / F.col("batch_mass")).alias("raked"))
+    wanted = ask_table(targets).select(F.col("batch").alias("negative_batch"), F.concat_ws("=", "field", "value").alias("tag"), F.col("share").alias("wanted"))
     rows = supply_report(images, targets, carried).withColumn("tag", F.concat_ws("=", "target_field", "target_value"))
-    rows = rows.join(sampled, ["negative_batch", "tag"], "left").join(sizes, "negative_batch", "left")
-    got = F.coalesce("sampled", F.lit(0)).cast("long")
+    rows = rows.join(wanted, ["negative_batch", "tag"]).join(sampled, ["negative_batch", "tag"], "left").join(raked, ["negative_batch", "tag"], "left").join(sizes, "negative_batch", "left")
+    got, reach = F.coalesce("sampled", F.lit(0)).cast("long"), F.coalesce("raked", F.lit(0.0))
     return rows.select(
         "negative_batch", "target_field", "target_value", "ask", "supply", got.alias("sampled"),
         F.round(F.coalesce(F.try_divide(got, F.col("sample_rows")), F.lit(0.0)), 6).alias("share"),
         F.greatest(F.col("ask") - got, F.lit(0)).alias("gap"),
         (F.col("supply") >= F.col("ask")).alias("can_be_met"),
+        F.round(reach, 6).alias("raked_share"), ((F.col("wanted") <= 0) | (F.abs(reach - F.col("wanted")) < CLOSE)).alias("share_met"),
     )

@@ -43,6 +43,32 @@ def test_rake_meets_margins():
     assert np.allclose(mass @ carries / mass.sum(), shares, atol=1e-3)
 
 
+def test_rake_goes_on_by_default_until_the_shares_are_met():
+    cells = [[4], [1, 7], [2, 6], [2, 8], [3], [0, 9], [], [0, 4], [3, 5], [1], [0], [2]]  # the worst gap rises in the second round of proportional fitting
+    counts = np.array([12, 3, 2, 6, 2, 4, 2, 2, 5, 2, 1, 4])
+    shares = np.array([0.128205, 0.153846, 0.25641, 0.179487, 0.282051, 0.128205, 0.076923, 0.025641, 0.153846, 0.076923])
+    carries = np.array([[t in c for t in range(10)] for c in cells])
+    mass = quota.rake(counts, carries, shares) * counts
+    assert np.allclose(mass @ carries / mass.sum(), shares, atol=1e-4)
+
+
+def test_rake_shares_out_of_reach():
+    counts, carries = np.array([10, 10, 10]), np.array([[True, False, False], [False, True, False], [False, False, True]])
+    mass = quota.rake(counts, carries, np.array([0.5, 0.4, 0.4])) * counts  # 0.3 too much, so each gives way by 0.1 whatever the order
+    assert np.allclose(mass / mass.sum(), [0.4, 0.3, 0.3], atol=1e-3)
+    assert np.allclose(quota.rake(counts, carries, np.array([0.0, 1.0, 0.0])), 1)
+
+
+def test_report_names_shares_that_cannot_be_met_together(spark):
+    rows = [(f"{c}{n}", b, c, "", "accepted_negative", "q", "q") for b in (1, 2) for c in ("aaaaaa", "bbbbbb") for n in range(30)]
+    images = spark.createDataFrame(rows, IMAGES)
+    t = [(b, "CandidateCategory", c, s, 0, 10) for b, s in ((1, 0.5), (2, 0.8)) for c in ("aaaaaa", "bbbbbb")]
+    targets = spark.createDataFrame([*t, (3, "CandidateCategory", "aaaaaa", 0.5, 0, 10)], TARGETS)
+    report = {(x["negative_batch"], x["target_value"]): x for x in quota.sample_report(quota.target_sample(images, targets), images, targets).collect()}
+    assert {k for k, x in report.items() if not x["share_met"]} == {(2, "aaaaaa"), (2, "bbbbbb"), (3, "aaaaaa")}
+    assert report[2, "aaaaaa"]["can_be_met"] and report[2, "aaaaaa"]["raked_share"] == pytest.approx(0.5)
+
+
 def test_sample_meets_shares_minimums_and_skew(spark):
     r = random.Random(9)
     cats = ["aaaaaa"] * 80 + ["bbbbbb"] * 15 + ["cccccc"] * 5
