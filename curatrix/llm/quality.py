@@ -3,7 +3,8 @@
 Statistics of each document are ranked within its language by a range-partitioned sort
 with partition offsets (exact, without a window over a language); the ranks give
 empirical tail probabilities, and the sum of their negative logarithms is the outlier
-score. A document whose score reaches that of the boundary of prose is checked exactly.
+score. The score reports how unusual a document is; it cannot separate prose from the
+rest, so the share of running sentences alone decides what is not prose.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from curatrix.session import materialize
 # statistic: which tail is unlike prose
 STATISTICS = {"words": "both", "mean_word_length": "both", "symbol_ratio": "high", "ended_lines": "low", "common_share": "low", "sentence_share": "low"}
 PRECISION = 10_000  # statistics are ranked in steps of 1 / PRECISION
-BOUNDARY = 0.62  # of the non-blank characters in running sentences; documents up to it are checked
 PROSE = 0.38  # less than this is not prose: junk has less than a third by definition, prose clearly more than half
 
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
@@ -156,13 +156,11 @@ def text_statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
 
 
 def tail_scores(statistics: DataFrame, most_broadcast: int = 300_000) -> DataFrame:
-    """The statistics with ``score``, the sum of -ln of the tail probabilities, and ``limit``, the score of the boundary of prose.
+    """The statistics with ``score``, the sum of -ln of the tail probabilities.
 
     Within a language, the tail of a value is the share of documents with a value at
     least as far out (ties included), low, high or twice the smaller of both as
-    ``STATISTICS`` has it. ``limit`` is -ln of the share of documents whose
-    ``sentence_share`` is at most ``BOUNDARY``: as no tail adds less than 0, every
-    document up to the boundary scores at least that. It is infinite where there is none.
+    ``STATISTICS`` has it.
 
     Documents are first counted by language, statistic and value; these counts (at most
     ``PRECISION`` + 1 values of each ratio) are sorted by range and added up with
@@ -183,17 +181,12 @@ def tail_scores(statistics: DataFrame, most_broadcast: int = 300_000) -> DataFra
     for i, c in enumerate(names):
         tail = {"low": low, "high": high, "both": F.least(F.lit(1.0), 2 * F.least(low, high))}[STATISTICS[c]]
         side = F.when(F.col("stat") == i, tail).otherwise(side)
-    tails = counts.join(F.broadcast(ends), ["lang_key", "stat"]).select(*keys, "n", "all", (-F.ln(side)).alias("weight"))
-    share = names.index("sentence_share")
-    at_most = F.sum(F.when(F.col("value") <= round(BOUNDARY * PRECISION), F.col("n")).otherwise(0))
-    limits = tails.where(F.col("stat") == share).groupBy("lang_key").agg(at_most.alias("k"), F.max("all").alias("all"))
-    limits = limits.select("lang_key", F.when(F.col("k") > 0, -F.ln(F.col("k") / F.col("all"))).otherwise(F.lit(float("inf"))).alias("limit"))
+    tails = counts.join(F.broadcast(ends), ["lang_key", "stat"]).select(*keys, (-F.ln(side)).alias("weight"))
     small = counts.count() <= most_broadcast
-    lookup = tails.select(*keys, "weight")
-    scores = long.join(F.broadcast(lookup) if small else lookup, keys).groupBy("__row").agg(F.sum("weight").alias("score"))
-    return table.join(scores, "__row").join(F.broadcast(limits), "lang_key").drop("__row")  # one row a language
+    scores = long.join(F.broadcast(tails) if small else tails, keys).groupBy("__row").agg(F.sum("weight").alias("score"))
+    return table.join(scores, "__row").drop("__row")
 
 
-def not_prose(scored: DataFrame) -> DataFrame:
-    """Documents that are not natural prose: outliers by score whose running sentences are too small a share."""
-    return scored.where((F.col("score") >= F.col("limit") - 1e-9) & (F.col("sentence_share") < PROSE))
+def not_prose(statistics: DataFrame) -> DataFrame:
+    """Documents that are not natural prose: their running sentences are too small a share. Needs ``sentence_share`` only."""
+    return statistics.where(F.col("sentence_share") < PROSE)

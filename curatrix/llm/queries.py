@@ -107,7 +107,7 @@ def p7_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.not_prose(p7_scores(spark, folder)).select("doc_id")
+    return quality.not_prose(p7_statistics(spark, folder)).select("doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

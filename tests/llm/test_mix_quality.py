@@ -76,6 +76,8 @@ def test_scores_and_decision(spark):
     rows = {x["doc_id"]: x for x in scored.collect()}
     assert len(rows) == 160
     assert {x["doc_id"] for x in quality.not_prose(scored).collect()} == {d for d, _, _ in docs if d >= 1000}
+    assert {x["doc_id"] for x in quality.not_prose(stats).collect()} == {d for d, _, _ in docs if d >= 1000}  # needs no score
+    assert "limit" not in scored.columns
     names = list(quality.STATISTICS)
     for lang in {x["lang_key"] for x in rows.values()}:  # brute-force tails
         own = [x for x in rows.values() if x["lang_key"] == lang]
