@@ -23,13 +23,15 @@ from curatrix.session import materialize
 # statistic: which tail is unlike prose
 STATISTICS = {"words": "both", "mean_word_length": "both", "symbol_ratio": "high", "ended_lines": "low", "common_share": "low", "sentence_share": "low"}
 PRECISION = 10_000  # statistics are ranked in steps of 1 / PRECISION
-PROSE = 0.38  # less than this is not prose: junk has less than a third by definition, prose clearly more than half
+PROSE = 5 / 12  # less than this is not prose: midway between the third that junk stays below and the half that prose exceeds
 
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 _MARK = re.compile(r"(?:^|(?<=\s))(?:[-*•·–+]+|\[[ xX]?\]|\(?\d{1,3}[.)])(?=\s)", re.M)
 _STRIP = " \t.,;:!?\"'()[]{}<>*_`~|-–—„“”‚‘’…/\\#=+&"
 _INNER_END = re.compile(r"[.!?…,;:]\s+\S")
 GAP, LEAST_COMMON, LEAST_KINDS, LEAST_TOKENS = 8, 3, 3, 7
+LEAST_WORDS, MOST_TOKENS = 6, 24  # of a sentence with few common words
+_CLOSERS = "\"'”’»)]*_"
 
 
 class _Common(dict):
@@ -47,25 +49,43 @@ class _Common(dict):
         return value
 
 
-def _units(text: str, common: _Common) -> Iterator[list[str]]:
-    """Tokens of each line, list item or block of wrapped lines.
+def _units(text: str, common: _Common) -> Iterator[tuple[list[str], bool]]:
+    """Tokens of each line, list item or block of wrapped lines, and whether it is a list item.
 
     A list marker begins a unit. Lines in a row are one unit if they look like wrapped
     prose: some line breaks off behind a common word, or ends within a sentence while
     another sentence ends inside a line. Otherwise each line is a unit of its own.
     """
-    for piece in _MARK.split(text):
+    for n, piece in enumerate(_MARK.split(text)):
+        item = n > 0
         for block in re.split(r"\n\s*\n", piece):
             lines = [x for x in block.split("\n") if x and not x.isspace()]
             if len(lines) > 1:
                 tokens = [x.split() for x in lines]
                 broken = sum(1 for t in tokens[:-1] if common[t[-1]])
                 if broken * 8 >= len(lines) or (broken and _INNER_END.search(block)):
-                    yield [x for t in tokens for x in t]
+                    yield [x for t in tokens for x in t], item
                 else:
-                    yield from tokens
+                    for t in tokens:
+                        yield t, item
+                        item = False
             elif lines:
-                yield lines[0].split()
+                yield lines[0].split(), item
+            if lines:
+                item = False
+
+
+def _sentences(tokens: list[str], words: list[str]) -> Iterator[tuple[int, int]]:
+    """Stretches up to ``. ! ? …`` of ``LEAST_WORDS`` to ``MOST_TOKENS`` tokens, mostly words, with a common one in ``GAP`` on average."""
+    a = 0
+    for b, token in enumerate(tokens, 1):
+        if not token.rstrip(_CLOSERS).endswith((".", "!", "?", "…")):
+            continue
+        if LEAST_WORDS <= b - a <= MOST_TOKENS and sum(map(bool, words[a:b])) * GAP >= b - a:
+            cores = [re.sub("['’-]", "", x.strip(_STRIP)) for x in tokens[a:b]]
+            if sum(x.isalpha() and (len(x) > 1 or bool(w)) for x, w in zip(cores, words[a:b])) >= max(LEAST_WORDS, 0.75 * (b - a)):
+                yield a, b
+        a = b
 
 
 def prose_shares(text: str | None, common: _Common) -> tuple[float, float]:
@@ -73,7 +93,8 @@ def prose_shares(text: str | None, common: _Common) -> tuple[float, float]:
 
     A running sentence is a stretch of a unit in which common words follow each other
     within ``GAP`` tokens, with at least ``LEAST_COMMON`` of them, ``LEAST_KINDS``
-    different ones and ``LEAST_TOKENS`` tokens.
+    different ones and ``LEAST_TOKENS`` tokens; or, outside list items, a whole sentence
+    up to its end that has fewer common words (``_sentences``).
     """
     if not text or text.isspace():
         return 0.0, 0.0
@@ -82,14 +103,15 @@ def prose_shares(text: str | None, common: _Common) -> tuple[float, float]:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
     total = seen = hits = inside = 0
-    for tokens in _units(text.lower(), common):
+    for tokens, item in _units(text.lower(), common):
         words = list(map(common.__getitem__, tokens))
         at = [i for i, w in enumerate(words) if w]
         total += sum(map(len, tokens))
         seen += len(tokens)
         hits += len(at)
-        if len(at) < LEAST_COMMON or len(tokens) < LEAST_TOKENS:
+        if not at or len(tokens) < LEAST_WORDS:
             continue
+        running = bytearray(len(tokens))
         i = 0
         while i < len(at):
             j = i
@@ -98,8 +120,12 @@ def prose_shares(text: str | None, common: _Common) -> tuple[float, float]:
             if j - i + 1 >= LEAST_COMMON:
                 a, b = max(0, at[i] - 4), min(len(tokens), at[j] + 5)
                 if b - a >= LEAST_TOKENS and len({words[x] for x in at[i : j + 1]}) >= LEAST_KINDS:
-                    inside += sum(map(len, tokens[a:b]))
+                    running[a:b] = b"\1" * (b - a)
             i = j + 1
+        if not item and 0 in running:
+            for a, b in _sentences(tokens, words):
+                running[a:b] = b"\1" * (b - a)
+        inside += sum(len(t) for t, r in zip(tokens, running) if r)
     return (hits / seen if seen else 0.0), (min(1.0, inside / total) if total else 0.0)
 
 

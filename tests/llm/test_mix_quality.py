@@ -64,6 +64,18 @@ def test_prose_shares():
         assert quality.prose_shares(text, common)[1] < 0.2
 
 
+def test_short_sentences_run_and_list_items_do_not():
+    common = quality._Common(frozenset("the a another of and was that she by had one this my out in".split()))
+    prose = "# Handover 303\n\nDuring the audit, the contact sheet measured every character.\n\nAnother rain-streaked windscreen fell below its limit.\n\nShe was told that one loading dock had counted my sequence."
+    assert quality.prose_shares(prose, common)[1] > 0.5
+    assert quality.prose_shares("The frozen checkpoint rejected one trailer.\nThe last batch drifted out of view!", common)[1] > 0.9
+    for text in (
+        "• score curve of the false alarm.\n• manifest of the night run operator.\n• tablet.", "13 x character.\nWL38DBA.\ndigit group of the folder.\nLN04HFP.\ntow bar of the street.",
+        "dirt patch crop mounting screw " * 30 + "the end.", "9f550da45981b3fb.jpg 8bf1165661290ada 65bc65eb3d688ebc " * 6 + "the reading of the day was late.", "1. contact sheet of the first test bench.\n2. tow bar of the old cable duct.",
+    ):
+        assert quality.prose_shares(text, common)[1] < 1 / 3
+
+
 def test_scores_and_decision(spark):
     r = random.Random(4)
     junk = ["a1 -> 7\nb2 -> 9\nc3 -> none", "%% ## !! ??", "- plate\n- gate\n- list of the day", None, "  ", "lorry gate " * 40]
