@@ -41,9 +41,17 @@ def confirmed_links(links: DataFrame) -> DataFrame:
     return rows.groupBy("u", "v").agg(latest.alias("last")).where(~F.col("last.col2")).select("u", "v")
 
 
-def group_units(links: DataFrame) -> DataFrame:
-    """Columns ``grp, unit`` for the groups that confirmed links join; all others are their own unit."""
-    return connected_components(confirmed_links(links)).toDF("grp", "unit")
+def group_units(links: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """Columns ``grp, unit`` for the groups that confirmed links, or the pairs ``u, v`` of ``more``, join; all others are their own unit."""
+    pairs = confirmed_links(links)
+    return connected_components(pairs if more is None else pairs.union(more)).toDF("grp", "unit")
+
+
+def shared_groups(rows: DataFrame) -> DataFrame:
+    """Columns ``u, v``: the smallest group of each record of ``rows(record, grp)`` with each other group that it names."""
+    rows = rows.where("record is not null and grp is not null").select("record", "grp")
+    several = rows.groupBy("record").agg(F.min("grp").alias("u"), F.max("grp").alias("last")).where("u <> last").select("record", "u")
+    return rows.join(several, "record").where("grp <> u").select("u", F.col("grp").alias("v")).distinct()
 
 
 def _records(manifest: DataFrame) -> DataFrame:
@@ -243,9 +251,9 @@ def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, see
 
     One row for each distinct canonical_id of the included rows; inputs as for
     ``torn_relations`` and ``targets(split_name, target_share)``. Ids that differ only
-    in case, blanks or an image extension count as one record and share a unit; the
-    smallest group of a record decides, and a record without a group is a unit of its
-    own. A null id is left out. The label profile of a unit is whether most of its
+    in case, blanks or an image extension count as one record and share a unit; a record
+    that names several groups ties them together, and a record without a group is a unit
+    of its own. A null id is left out. The label profile of a unit is whether most of its
     records are negative and whether most are synthetic.
 
     The driver gets one line for each bundle: at most ``exact_sizes`` exact sizes and
@@ -254,7 +262,7 @@ def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, see
     """
     rows = _records(manifest).where("record is not null")
     ids = rows.groupBy("id").agg(F.min("record").alias("record"), F.min("grp").alias("grp"), F.min("split").alias("split"), F.max("negative").alias("negative"), F.max("synthetic").alias("synthetic"))
-    comps = group_units(links)
+    comps = group_units(links, shared_groups(rows))
     one = Window.partitionBy("record")  # the spellings of one id
     ids = ids.withColumn("grp", F.min("grp").over(one)).withColumn("lead", F.min("id").over(one) == F.col("id"))
     ids = ids.join(comps, "grp", "left").withColumn("unit", F.coalesce("unit", "grp", F.concat(F.lit("id|"), F.col("record")))).drop("grp")

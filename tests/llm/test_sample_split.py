@@ -99,6 +99,15 @@ def test_assignment_keeps_units_and_shares(spark):
     assert split.assign_splits(m.where("false"), links, targets).count() == 0
 
 
+def test_groups_of_one_record_share_a_unit(spark):
+    rows = [(f"{g}{i}", "d", g, "train", "included", 1) for g in ("ga", "gb", "gc", "gd") for i in range(3)]
+    rows += [("twice", "d", "ga", "train", "included", 1), ("TWICE.jpg", "d", "gb", "train", "included", 2), ("twice", "d", "gc", "val", "included", 2), ("gd0", "d", "ga", "train", "excluded", 1), ("gd1", "d", "n/a", "train", "included", 1)]
+    targets = spark.createDataFrame([("train", 0.5), ("val", 0.5)], "split_name string, target_share double")
+    out = split.assign_splits(manifest(spark, rows), spark.createDataFrame([], LINKS), targets).collect()
+    assert {x["record_key"]: (x["unit"], x["unit_records"]) for x in out} == {**{f"{g}{i}": ("d|ga", 10) for g in ("ga", "gb", "gc") for i in range(3)}, "twice": ("d|ga", 10), **{f"gd{i}": ("d|gd", 3) for i in range(3)}}
+    assert len({x["assigned_split"] for x in out if x["unit"] == "d|ga"}) == 1
+
+
 def test_flow_finds_the_least_cost():
     net = split.Flow()
     net.edge("s", "a", 4, 0)
