@@ -240,13 +240,7 @@ def solve_quotas(bundles: list[tuple[int, str, int]], shares: dict[str, float],
     return out
 
 
-def _size_bin(size: Column, exact: int) -> Column:
-    """Sizes up to ``exact`` as they are; above, sixteen bins an octave (a unit still counts with its own size in reports)."""
-    wide = F.floor(F.pow(F.lit(2.0), F.floor(F.log2(size) * 16) / 16)).cast("long")
-    return F.when(size <= exact, size).otherwise(F.greatest(wide, F.lit(exact)))
-
-
-def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, seed: str = "split", exact_sizes: int = 4096) -> DataFrame:
+def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, seed: str = "split") -> DataFrame:
     """Columns ``canonical_id, record_key, unit, unit_records, assigned_split, present_split``.
 
     One row for each distinct canonical_id of the included rows; inputs as for
@@ -256,8 +250,9 @@ def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, see
     of its own. A null id is left out. The label profile of a unit is whether most of its
     records are negative and whether most are synthetic.
 
-    The driver gets one line for each bundle: at most ``exact_sizes`` exact sizes and
-    sixteen an octave above, times four profiles, whatever the number of records.
+    The driver gets one line for each bundle of equal size and profile. The sizes of all
+    units add up to the number of records, so n records have fewer than sqrt(2 n)
+    different sizes in each of the four profiles.
     Units are ranked within bundles by a distributed sort, not by a window.
     """
     rows = _records(manifest).where("record is not null")
@@ -269,22 +264,22 @@ def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, see
     ids = materialize(ids, "units")
     half = lambda c: (F.count_if(F.col("lead") & F.col(c)) * 2 > F.count_if("lead")).cast("int").cast("string")
     units = ids.groupBy("unit").agg(F.count_if("lead").alias("size"), F.concat(half("negative"), half("synthetic")).alias("label"))
-    units = units.withColumn("bin", _size_bin(F.col("size"), exact_sizes)).withColumn("key", F.sha2(F.concat(F.lit(seed), F.col("unit")), 256))
-    ranked = global_positions(units, ["bin", "label", "key", "unit"], "place")
-    bundles = ranked.groupBy("bin", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("records"), F.min("place").alias("start")).orderBy("bin", "label").collect()
+    units = units.withColumn("key", F.sha2(F.concat(F.lit(seed), F.col("unit")), 256))
+    ranked = global_positions(units, ["size", "label", "key", "unit"], "place")
+    bundles = ranked.groupBy("size", "label").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("start")).orderBy("size", "label").collect()
     shares = {r[0]: r[1] for r in targets.select("split_name", "target_share").where("split_name is not null and target_share > 0").collect()}
-    given = solve_quotas([(max(1, round(b["records"] / b["n"])), b["label"], b["n"]) for b in bundles], shares)
+    given = solve_quotas([(b["size"], b["label"], b["n"]) for b in bundles], shares)
     lines, names = [], list(shares)
     for b, g in zip(bundles, given):
         at = b["start"]
         for k in names:
             if g[k]:
-                lines.append((b["bin"], b["label"], at, at + g[k], k))
+                lines.append((b["size"], b["label"], at, at + g[k], k))
                 at += g[k]
-    plan = manifest.sparkSession.createDataFrame(lines, "bin long, label string, low long, high long, assigned_split string")
+    plan = manifest.sparkSession.createDataFrame(lines, "size long, label string, low long, high long, assigned_split string")
     ranges = F.broadcast(plan)  # one line for each bundle and split
-    done = ranked.join(ranges, (ranked["bin"] == plan["bin"]) & (ranked["label"] == plan["label"]) & (F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))
-    return ids.join(done.select("unit", "size", "assigned_split"), "unit").select(
+    done = ranked.join(ranges, (ranked["size"] == plan["size"]) & (ranked["label"] == plan["label"]) & (F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))
+    return ids.join(done.select("unit", ranked["size"], "assigned_split"), "unit").select(
         F.col("id").alias("canonical_id"), F.col("record").alias("record_key"), "unit", F.col("size").alias("unit_records"), "assigned_split", F.col("split").alias("present_split")
     )
 

@@ -108,6 +108,19 @@ def test_groups_of_one_record_share_a_unit(spark):
     assert len({x["assigned_split"] for x in out if x["unit"] == "d|ga"}) == 1
 
 
+def test_large_units_count_with_their_own_size(spark):
+    sizes = {"a": 5000, "b": 5150, "c": 4990, "d": 5160}  # a and c, b and d were once one bundle each, dealt by hash
+    rows = spark.range(sum(sizes.values())).withColumn("n", F.col("id"))
+    group, low = F.lit(None).cast("string"), 0
+    for g, n in sizes.items():
+        group, low = F.when((F.col("n") >= low) & (F.col("n") < low + n), g).otherwise(group), low + n
+    rows = rows.select(F.format_string("k__%016x", "n").alias("canonical_id"), F.lit("d").alias("source_dataset"), group.alias("source_group"), F.lit("train").alias("avax_split"), F.lit("included").alias("split_status"), F.lit("real").alias("real_synthetic"), F.lit(False).alias("is_negative"))
+    targets = spark.createDataFrame([("train", 0.5), ("val", 0.5)], "split_name string, target_share double")
+    for seed in ("split", "s1", "s2", "s3"):
+        report = split.split_report(split.materialize(split.assign_splits(rows, spark.createDataFrame([], LINKS), targets, seed=seed)), targets)
+        assert {x["records"] for x in report.collect()} == {10150}
+
+
 def test_flow_finds_the_least_cost():
     net = split.Flow()
     net.edge("s", "a", 4, 0)
