@@ -63,6 +63,29 @@ def _first_band(a, b, band, bands: int, radius: int):
     return band == at
 
 
+def _loads(a: DataFrame, index: DataFrame, bands: int, radius: int) -> DataFrame:
+    """``band, key, work``: probes times index rows of each bucket that has both.
+
+    Rows are counted by their own key first, and only the counts take the bit changes.
+    """
+    own = _spread(a, "a1", bands, 0, "band", "key").groupBy("band", "key").agg(F.count(F.lit(1)).alias("m"))
+    changed = F.explode(_keys(bands, radius)).alias("k")
+    probes = own.select("band", "key", "m", changed).where("band = k.band").select("band", F.col("key").bitwiseXOR(F.col("k.flip")).alias("key"), "m")
+    probes = probes.groupBy("band", "key").agg(F.sum("m").alias("m"))
+    return index.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).join(probes, ["band", "key"]).select("band", "key", (F.col("n") * F.col("m")).alias("work"))
+
+
+def _salted(probe: DataFrame, index: DataFrame, on: list[str], work: DataFrame, crowded: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``salt``: the index rows of a bucket with too much work in several parts, its probes copied to each part."""
+    salts = F.least(F.ceil(F.col("work") / crowded), F.lit(10_000)).cast("int")
+    parts = materialize(work.where(F.col("work") > crowded).select(*on, salts.alias("parts")), "salts")
+    if parts.isEmpty():
+        return (df.withColumn("salt", F.lit(0)) for df in (probe, index))
+    probe, index = (df.join(parts, on, "left").withColumn("parts", F.coalesce("parts", F.lit(1))) for df in (probe, index))
+    probe = probe.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return probe, index.withColumn("salt", F.pmod(F.xxhash64("b1", "b2") if "b2" in index.columns else F.xxhash64("b1"), F.col("parts")).cast("int")).drop("parts")
+
+
 def hamming_join(
     left: DataFrame,
     right: DataFrame,
@@ -70,8 +93,9 @@ def hamming_join(
     first_bits: int,
     second: str | None = None,
     second_bits: int = 0,
-    crowded: int = 20_000,
+    crowded: int = 4_000_000,
     bands: int | None = None,
+    halve: bool = False,
 ) -> DataFrame:
     """Pairs of distinct fingerprints within the given distances.
 
@@ -80,39 +104,56 @@ def hamming_join(
     rows count once. The result has ``first_l, second_l, first_r, second_r`` (without
     the second pair where none is named), one row for each pair of distinct rows with
     at most ``first_bits`` differing bits in the first and ``second_bits`` in the second.
+    ``halve`` keeps only pairs whose left row is not the larger, for a table with itself.
 
     Some band of the first value differs in at most ``first_bits // bands`` bits, so
     probing ``left`` with every such change finds every pair (an equi-join, no cross
-    join). The number of bands follows the size of ``right``. Buckets with more than
-    ``crowded`` rows are cut again by bands of the second value in the same way, so
-    one value that many rows share doesn't meet all of them. Equal fingerprints are
-    one row on each side; expanding to members is left to the caller.
+    join). The number of bands follows the size of ``right``. The comparisons of every
+    bucket are counted (probes times index rows). Buckets with more than ``crowded`` are
+    cut again by bands of the second value in the same way, so one value that many rows
+    share doesn't meet all of them; what is still too much is salted over several tasks.
+    The counted work, not the bytes, sets the number of partitions. Equal fingerprints
+    are one row on each side; expanding to members is left to the caller.
     """
     cols = [first] + ([second] if second else [])
     sides = [df.select(*cols).where(" and ".join(f"`{c}` is not null" for c in cols)).distinct() for df in (left, right)]
-    a = sides[0].toDF(*("a1", "a2")[: len(cols)])
-    b = materialize(sides[1].toDF(*("b1", "b2")[: len(cols)]), "near")
+    spread = left.sparkSession.sparkContext.defaultParallelism  # few bytes, but each row probes many buckets
+    sides = [df.repartition(spread) for df in sides]
+    a = materialize(sides[0].toDF(*("a1", "a2")[: len(cols)]), "near")
+    b = a.toDF(*("b1", "b2")[: len(cols)]) if left is right else materialize(sides[1].toDF(*("b1", "b2")[: len(cols)]), "near")
     bands = bands or best_bands(first_bits, b.count())
     radius = first_bits // bands
     probe, index = _spread(a, "a1", bands, radius, "band", "key"), _spread(b, "b1", bands, 0, "band", "key")
-    good = (hamming(F.col("a1"), F.col("b1")) <= first_bits) & _first_band(F.col("a1"), F.col("b1"), F.col("band"), bands, radius)
-    on = ["band", "key"]
+    good = hamming(F.col("a1"), F.col("b1")) <= first_bits
     if second:
         good &= hamming(F.col("a2"), F.col("b2")) <= second_bits
-        # at most bands * rows / crowded keys
-        hot = materialize(index.groupBy(*on).count().where(F.col("count") > crowded).select(*on), "hot")
-        if hot.count():
-            cut = best_bands(second_bits, crowded)
+    if halve:
+        good &= (F.col("a1") < F.col("b1")) | ((F.col("a1") == F.col("b1")) & (F.col("a2") <= F.col("b2") if second else F.lit(True)))
+    good &= _first_band(F.col("a1"), F.col("b1"), F.col("band"), bands, radius)
+    on, work = ["band", "key"], materialize(_loads(a, index, bands, radius), "loads")
+    total = work.agg(F.sum(F.least("work", F.lit(crowded)))).first()[0] or 0
+    if second:
+        hot = work.where(F.col("work") > crowded).select(*on)
+        if not hot.isEmpty():
+            cut = best_bands(second_bits, 20_000)
             deep = second_bits // cut
 
-            def deeper(df: DataFrame, value: str, reach: int) -> DataFrame:
+            def deeper(df: DataFrame, value: str, reach: int) -> tuple[DataFrame, DataFrame]:
                 marked = df.join(hot.withColumn("__hot", F.lit(True)), on, "left")
                 plain = marked.where("__hot is null").drop("__hot").withColumns({"sub": F.lit(-1), "subkey": F.lit(0).cast("bigint")})
-                return plain.unionByName(_spread(marked.where("__hot").drop("__hot"), value, cut, reach, "sub", "subkey"))
+                return plain, _spread(marked.where("__hot").drop("__hot"), value, cut, reach, "sub", "subkey")
 
-            probe, index = deeper(probe, "a2", deep), deeper(index, "b2", 0)
+            (plain_a, deep_a), (plain_b, deep_b) = deeper(probe, "a2", deep), deeper(index, "b2", 0)
             on = [*on, "sub", "subkey"]
+            count = lambda df, n: df.groupBy(*on).agg(F.count(F.lit(1)).alias(n))
+            work = materialize(count(deep_a, "m").join(count(deep_b, "n"), on).select(*on, (F.col("n") * F.col("m")).alias("work")), "loads")
+            total += work.agg(F.sum("work")).first()[0] or 0
+            probe, index = plain_a.unionByName(deep_a), plain_b.unionByName(deep_b)
             good &= (F.col("sub") < 0) | _first_band(F.col("a2"), F.col("b2"), F.col("sub"), cut, deep)
-    pairs = probe.join(index, on).where(good)
+    probe, index = _salted(probe, index, on, work, crowded)
+    on = [*on, "salt"]
+    least = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, min(20_000, -(-int(total) // (5 * crowded))))
+    pairs = probe.repartition(parts, *on).join(index.repartition(parts, *on).hint("shuffle_hash"), on).where(good)
     names = {"a1": f"{first}_l", "b1": f"{first}_r"} | ({"a2": f"{second}_l", "b2": f"{second}_r"} if second else {})
     return pairs.select(*(F.col(k).alias(v) for k, v in names.items()))

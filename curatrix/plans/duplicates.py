@@ -10,7 +10,7 @@ from curatrix.functions.hashing import hex64, median_without_first, pack_bits, r
 from curatrix.operators import dedup, review
 from curatrix.operators.near import hamming_join
 from curatrix.plans.registry import Book
-from curatrix.session import table
+from curatrix.session import materialize, table
 
 BOOK = Book()
 
@@ -79,14 +79,15 @@ def near_pairs(spark: SparkSession, folder: str) -> DataFrame:
         F.col("canonical_id").alias("id"), F.lower("pixel_sha256").alias("px"), hex64(F.col("phash")).alias("phash"), hex64(F.col("dhash")).alias("dhash"),
         F.col("leakage_source_group").alias("g"), F.col("allowed_split").alias("s"), F.when((F.col("width") > 0) & (F.col("height") > 0), F.col("width") / F.col("height")).alias("a"),
     ).where("phash is not null and dhash is not null").distinct()
-    pairs = hamming_join(rows, rows, "phash", 8, "dhash", 10)
+    rows = materialize(rows, "prints")
+    pairs = hamming_join(rows, rows, "phash", 8, "dhash", 10, halve=True)
     x, y = (rows.toDF(*(f"{c}_{k}" for c in rows.columns)) for k in "lr")
-    both = pairs.join(x, ["phash_l", "dhash_l"]).join(y, ["phash_r", "dhash_r"]).where("id_l < id_r")
+    both = pairs.join(x, ["phash_l", "dhash_l"]).join(y, ["phash_r", "dhash_r"]).where("id_l <> id_r")
     good = (aspect_difference(F.col("a_l"), F.col("a_r")) <= 0.15) & ~F.col("g_l").eqNullSafe(F.col("g_r")) & ~F.col("px_l").eqNullSafe(F.col("px_r"))
     only = F.coalesce((F.col("s_l") == "TRAIN_ONLY") & (F.col("s_r") == "TRAIN_ONLY"), F.lit(False))
     bits = lambda c: F.bit_count(F.col(f"{c}_l").bitwiseXOR(F.col(f"{c}_r"))).cast("int")
     return both.where(good & ~only).select(
-        F.col("id_l").alias("canonical_id_a"), F.col("id_r").alias("canonical_id_b"), bits("phash").alias("phash_distance"), bits("dhash").alias("dhash_distance")
+        F.least("id_l", "id_r").alias("canonical_id_a"), F.greatest("id_l", "id_r").alias("canonical_id_b"), bits("phash").alias("phash_distance"), bits("dhash").alias("dhash_distance")
     ).distinct()
 
 

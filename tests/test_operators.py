@@ -44,7 +44,7 @@ def test_components_against_union_find(spark):
     assert connected_components(df.where("false"), "a", "b").count() == 0
 
 
-@pytest.mark.parametrize("bands,crowded", [(None, 20_000), (3, 20_000), (9, 5)])
+@pytest.mark.parametrize("bands,crowded", [(None, 4_000_000), (3, 4_000_000), (9, 5), (3, 60)])
 def test_hamming_join_against_brute_force(spark, bands, crowded):
     r = random.Random(7)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
