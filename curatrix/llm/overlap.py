@@ -38,7 +38,7 @@ def _two_hashes(kind: str, key) -> list:
     return [F.xxhash64(F.lit(f"{kind}1"), key).alias("h1"), F.xxhash64(F.lit(f"{kind}2"), key).alias("h2")]
 
 
-def overlap_pairs(manifest: DataFrame, fingerprints: DataFrame, phash_bits: int = PHASH_BITS, dhash_bits: int = DHASH_BITS, aspect: float = ASPECT, crowded: int = 20_000) -> DataFrame:
+def overlap_pairs(manifest: DataFrame, fingerprints: DataFrame, phash_bits: int = PHASH_BITS, dhash_bits: int = DHASH_BITS, aspect: float = ASPECT, crowded: int = 4_000_000) -> DataFrame:
     """Columns ``eval_id, train_id, kind`` with kind ``id``, ``pixels`` or ``near``; a pair may have several kinds.
 
     Pairs of distinct ids as they stand, of included rows, one in train and the other

@@ -89,7 +89,7 @@ def test_sample_meets_shares_minimums_and_skew(spark):
     assert whole == again
 
 
-@pytest.mark.parametrize("crowded", [20_000, 3])
+@pytest.mark.parametrize("crowded", [4_000_000, 3])
 def test_overlap_against_brute_force(spark, crowded):
     r = random.Random(6)
     flip = lambda h, n: f"{int(h, 16) ^ sum(1 << b for b in r.sample(range(64), n)):016x}"
