@@ -111,9 +111,15 @@ _P7 = r"""WITH t AS (SELECT doc_id, coalesce(nullif(regexp_extract(lower(trim(la
 c AS (SELECT doc_id, lang_key, len(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS words, length(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g')) AS letters,
   length(regexp_replace(text, '[ \t\n\x0B\f\r]+', '', 'g')) AS filled, len(regexp_extract_all(text, '[^ \t\n\x0B\f\r][^\n]*')) AS lines,
   len(regexp_extract_all(text, '[.!?;:…]["''”’»)\]]*[ \t\r]*(?:\n|\z)')) AS ended FROM t)
-SELECT doc_id, lang_key, words, CASE WHEN words > 0 THEN floor(letters * 100 / words) / 100 ELSE 0 END AS mean_word_length,
-  CASE WHEN filled > 0 THEN floor((filled - letters) * 10000 / filled) / 10000 ELSE 0 END AS symbol_ratio,
-  CASE WHEN lines > 0 THEN least(1, floor(ended * 10000 / lines) / 10000) ELSE 0 END AS ended_lines FROM c"""
+SELECT doc_id, lang_key, words, CASE WHEN words > 0 THEN letters / words ELSE 0 END AS mean_word_length,
+  CASE WHEN filled > 0 THEN (filled - letters) / filled ELSE 0 END AS symbol_ratio, CASE WHEN lines > 0 THEN least(1, ended / lines) ELSE 0 END AS ended_lines FROM c"""
+
+_P7_SCORES = f"""WITH s AS ({_P7}),
+r AS (SELECT *, cume_dist() OVER (PARTITION BY lang_key ORDER BY words) AS wl, cume_dist() OVER (PARTITION BY lang_key ORDER BY words DESC) AS wh,
+  cume_dist() OVER (PARTITION BY lang_key ORDER BY mean_word_length) AS ml, cume_dist() OVER (PARTITION BY lang_key ORDER BY mean_word_length DESC) AS mh,
+  cume_dist() OVER (PARTITION BY lang_key ORDER BY symbol_ratio DESC) AS sh, cume_dist() OVER (PARTITION BY lang_key ORDER BY ended_lines) AS el FROM s)
+SELECT doc_id, lang_key, words, mean_word_length, symbol_ratio, ended_lines,
+  round(-ln(least(1, 2 * least(wl, wh))) - ln(least(1, 2 * least(ml, mh))) - ln(sh) - ln(el), 6) AS score FROM r"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -126,4 +132,5 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": _P3,
         "p4_found": _P4,
         "p7_basic": _P7,
+        "p7_basic_scores": _P7_SCORES,
     }

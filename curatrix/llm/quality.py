@@ -3,8 +3,9 @@
 Statistics of each document are ranked within its language by a range-partitioned sort
 with partition offsets (exact, without a window over a language); the ranks give
 empirical tail probabilities, and the sum of their negative logarithms is the outlier
-score. The score reports how unusual a document is; it cannot separate prose from the
-rest, so the share of running sentences alone decides what is not prose.
+score. What is not prose is defined by an absolute share of running sentences, which
+ranks cannot express; so documents whose measured share is clear of the bounds of the
+definition follow it, and where the measure is in doubt the outlier score decides.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from curatrix.session import materialize
 
 # statistic: which tail is unlike prose
 STATISTICS = {"words": "both", "mean_word_length": "both", "symbol_ratio": "high", "ended_lines": "low", "common_share": "low", "sentence_share": "low"}
-PRECISION = 10_000  # statistics are ranked in steps of 1 / PRECISION
-PROSE = 5 / 12  # less than this is not prose: midway between the third that junk stays below and the half that prose exceeds
+BASIC = ("words", "mean_word_length", "symbol_ratio", "ended_lines")
+JUNK, PROSE = 1 / 3, 1 / 2  # shares of running sentences: junk stays below the one, prose exceeds the other
+DOUBT = (PROSE - JUNK) / 2  # a measured share this near the bounds, or between them, does not tell
+MOST_WORDS = 1_000_000  # of the vocabulary of common words
 
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 _MARK = re.compile(r"(?:^|(?<=\s))(?:[-*•·–+]+|\[[ xX]?\]|\(?\d{1,3}[.)])(?=\s)", re.M)
@@ -143,10 +146,10 @@ def basic_statistics(text: str = "text") -> list[Column]:
     words = F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+"))
     lines = F.regexp_count(text, F.lit(r"\S[^\n]*"))
     ended = F.regexp_count(text, F.lit(r"[.!?;:…][\"'”’»)\]]*[ \t\r]*(?:\n|\z)"))
-    ratio = lambda a, b, steps=10_000: F.coalesce(F.floor(F.try_divide(a * steps, b)) / steps, F.lit(0.0))
+    ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     return [
         words.cast("long").alias("words"),
-        ratio(letters, words, 100).alias("mean_word_length"),
+        ratio(letters, words).alias("mean_word_length"),
         ratio(filled - letters, filled).alias("symbol_ratio"),
         F.least(F.lit(1.0), ratio(ended, lines)).alias("ended_lines"),
     ]
@@ -160,18 +163,21 @@ def text_statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     (share of the lines with text that end in ``. ! ? ; : …``, closing quotes or
     brackets allowed), ``common_share`` and ``sentence_share`` (``prose_shares``, the
     common words of all languages together, as texts mix them). All are 0 for a null or
-    blank text. Ratios are cut off after four places and the mean length after two, which bounds how many values there are to rank. Texts are read whole. The first four stay in the
-    JVM; the last two need a scan over tokens and run on Arrow batches. ``common_words``
-    is a fixed vocabulary and is collected.
+    blank text. Texts are read whole. The first four stay in the JVM; the last two need a
+    scan over tokens and run on Arrow batches. ``common_words`` is a fixed vocabulary and
+    is collected; more than ``MOST_WORDS`` words raise.
     """
-    vocabulary = frozenset(r[0].lower() for r in common_words.select("word").where("word is not null").distinct().collect())
+    known = [r[0].lower() for r in common_words.select("word").where("word is not null").distinct().limit(MOST_WORDS + 1).collect()]
+    if len(known) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} common words")
+    vocabulary = frozenset(known)
     kind = dict(documents.dtypes)["doc_id"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = _Common(vocabulary)
         for b in batches:
             pairs = [prose_shares(t, common) for t in b.column(3).to_pylist()]
-            cols = [pa.array([round(p[k], 4) for p in pairs], pa.float64()) for k in (0, 1)]
+            cols = [pa.array([p[k] for p in pairs], pa.float64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], *cols], ["doc_id", "lang_key", "basic", "common_share", "sentence_share"])
 
     basic = F.struct(*basic_statistics())
@@ -181,38 +187,63 @@ def text_statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     return rows.select("doc_id", "lang_key", "basic.*", "common_share", "sentence_share")
 
 
-def tail_scores(statistics: DataFrame, most_broadcast: int = 300_000) -> DataFrame:
-    """The statistics with ``score``, the sum of -ln of the tail probabilities.
+def tail_scores(statistics: DataFrame, names: tuple[str, ...] | list[str] | None = None, most_broadcast: int = 300_000) -> DataFrame:
+    """The statistics with ``score``, the sum of -ln of the tail probabilities of ``names`` (all six by default).
 
     Within a language, the tail of a value is the share of documents with a value at
     least as far out (ties included), low, high or twice the smaller of both as
-    ``STATISTICS`` has it.
-
-    Documents are first counted by language, statistic and value; these counts (at most
-    ``PRECISION`` + 1 values of each ratio) are sorted by range and added up with
-    partition offsets, which ranks any number of documents exactly. They are broadcast
-    only up to ``most_broadcast`` rows and shuffled beyond.
+    ``STATISTICS`` has it. Values are ranked as they are, not in steps. A null statistic
+    counts as 0, a null language as ``und``; an empty table gives an empty result.
+
+    Documents are first counted by language, statistic and value; the counts are sorted
+    by range and added up with partition offsets, which ranks any number of documents
+    exactly. With at most ``most_broadcast`` different values (checked) each statistic
+    looks its tail up in a broadcast, and the documents are not shuffled; beyond that
+    they are joined by value.
     """
-    names = list(STATISTICS)
-    table = materialize(statistics.withColumn("__row", F.monotonically_increasing_id()), "statistics")
-    step = lambda c: F.round(F.col(c).cast("double") * PRECISION).cast("long")
-    pairs = F.explode(F.array(*(F.struct(F.lit(i).alias("stat"), step(c).alias("value")) for i, c in enumerate(names)))).alias("p")
+    names = list(names or STATISTICS)
+    own = [c for c in statistics.columns if c != "score"]
+    filled = statistics.select(*own).withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names} | {"lang_key": F.coalesce("lang_key", F.lit("und"))})
+    table = materialize(filled.withColumn("__row", F.monotonically_increasing_id()), "statistics")
+    pairs = F.explode(F.array(*(F.struct(F.lit(i).alias("stat"), F.col(c).alias("value")) for i, c in enumerate(names)))).alias("p")
     long = table.select("__row", "lang_key", pairs).select("__row", "lang_key", "p.stat", "p.value")
     keys = ["lang_key", "stat", "value"]
     counts = global_positions(long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, "before", weight="n")
     counts = materialize(counts, "counts")
-    ends = counts.groupBy("lang_key", "stat").agg(F.min("before").alias("first"), F.sum("n").alias("all"))  # six rows a language
+    ends = counts.groupBy("lang_key", "stat").agg(F.min("before").alias("first"), F.sum("n").alias("all"))  # a few rows a language
     low, high = (F.col("before") - F.col("first") + F.col("n")) / F.col("all"), (F.col("all") - (F.col("before") - F.col("first"))) / F.col("all")
     side = F.lit(None).cast("double")
     for i, c in enumerate(names):
         tail = {"low": low, "high": high, "both": F.least(F.lit(1.0), 2 * F.least(low, high))}[STATISTICS[c]]
         side = F.when(F.col("stat") == i, tail).otherwise(side)
     tails = counts.join(F.broadcast(ends), ["lang_key", "stat"]).select(*keys, (-F.ln(side)).alias("weight"))
-    small = counts.count() <= most_broadcast
-    scores = long.join(F.broadcast(tails) if small else tails, keys).groupBy("__row").agg(F.sum("weight").alias("score"))
-    return table.join(scores, "__row").drop("__row")
-
-
-def not_prose(statistics: DataFrame) -> DataFrame:
-    """Documents that are not natural prose: their running sentences are too small a share. Needs ``sentence_share`` only."""
-    return statistics.where(F.col("sentence_share") < PROSE)
+    types = dict(statistics.dtypes)
+    if counts.count() <= most_broadcast:
+        scored = table
+        for i, c in enumerate(names):
+            scored = scored.join(F.broadcast(tails.where(F.col("stat") == i).select("lang_key", F.col("value").alias(c), F.col("weight").alias(f"__{i}"))), ["lang_key", c])
+        scored = scored.withColumn("score", sum((F.col(f"__{i}") for i in range(1, len(names))), F.col("__0")))
+    else:
+        scored = table.join(long.join(tails, keys).groupBy("__row").agg(F.sum("weight").alias("score")), "__row")
+    return scored.select(*(F.col(c).cast(types[c]).alias(c) for c in own), "score")
+
+
+def not_prose(scores: DataFrame) -> DataFrame:
+    """Documents that are not natural prose, of ``tail_scores`` of all six statistics.
+
+    A share of running sentences below ``JUNK`` less ``DOUBT`` is not prose, one above
+    ``PROSE`` plus ``DOUBT`` is. Between them the outlier score decides: the document is
+    not prose if its score is nearer to the mean score of the clear cases of its language
+    that are not prose than to that of those that are. Where a language lacks clear cases
+    of one kind, those of all languages are taken, and without any the middle of the bounds.
+    """
+    share = F.col("sentence_share")
+    kind = F.when(share < JUNK - DOUBT, "junk").when(share > PROSE + DOUBT, "prose").otherwise("doubt")
+    rows = materialize(scores.withColumn("__kind", kind), "scores")
+    mean = lambda k: F.avg(F.when(F.col("__kind") == k, F.col("score")))
+    by = rows.groupBy("lang_key").agg(mean("junk").alias("__junk"), mean("prose").alias("__prose"))  # one row a language
+    every = rows.agg(mean("junk").alias("__all_junk"), mean("prose").alias("__all_prose"))  # one row
+    doubt = rows.where("__kind = 'doubt'").join(F.broadcast(by), "lang_key").crossJoin(F.broadcast(every))
+    limit = (F.coalesce("__junk", "__all_junk") + F.coalesce("__prose", "__all_prose")) / 2
+    decided = doubt.where(F.coalesce(F.col("score") >= limit, share < (JUNK + PROSE) / 2))
+    return rows.where("__kind = 'junk'").select(*scores.columns).unionByName(decided.select(*scores.columns))

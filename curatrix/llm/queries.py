@@ -102,17 +102,21 @@ def p7_basic(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", quality.language_key(F.col("lang")).alias("lang_key"), *quality.basic_statistics())
 
 
+def p7_basic_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.tail_scores(p7_basic(spark, folder), quality.BASIC).withColumn("score", F.round("score", 6))
+
+
 def p7_scores(spark: SparkSession, folder: str) -> DataFrame:
     return quality.tail_scores(p7_statistics(spark, folder))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.not_prose(p7_statistics(spark, folder)).select("doc_id")
+    return quality.not_prose(p7_scores(spark, folder)).select("doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         p1_sample, p1_group_sample, p1_growth, p2_found, p2_torn_relations, p2_assignment, p2_split_report, p3_sample, p3_report, p3_found,
-        p4_found, p4_report, p5_leaks, p5_found, p5_report, p6_mixture, p6_report, p6_found, p7_statistics, p7_basic, p7_scores, p7_found,
+        p4_found, p4_report, p5_leaks, p5_found, p5_report, p6_mixture, p6_report, p6_found, p7_statistics, p7_basic, p7_basic_scores, p7_scores, p7_found,
     ]
     return {f.__name__: f for f in own}

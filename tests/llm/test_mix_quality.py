@@ -88,8 +88,6 @@ def test_scores_and_decision(spark):
     rows = {x["doc_id"]: x for x in scored.collect()}
     assert len(rows) == 160
     assert {x["doc_id"] for x in quality.not_prose(scored).collect()} == {d for d, _, _ in docs if d >= 1000}
-    assert {x["doc_id"] for x in quality.not_prose(stats).collect()} == {d for d, _, _ in docs if d >= 1000}  # needs no score
-    assert "limit" not in scored.columns
     names = list(quality.STATISTICS)
     for lang in {x["lang_key"] for x in rows.values()}:  # brute-force tails
         own = [x for x in rows.values() if x["lang_key"] == lang]
@@ -106,3 +104,20 @@ def test_scores_and_decision(spark):
     twice = quality.tail_scores(stats.union(stats))
     assert twice.count() == 320
     assert quality.tail_scores(quality.text_statistics(df.where("false"), words)).count() == 0
+
+
+def test_score_decides_where_the_share_is_in_doubt(spark):
+    """Documents of one measured share in doubt: the ones that are outliers are not prose. Without the score the rows change."""
+    cols = "doc_id long, lang_key string, words long, mean_word_length double, symbol_ratio double, ended_lines double, common_share double, sentence_share double"
+    rows = [(i, "en", 100 + i % 9, 4.5 + i % 5 / 10, 0.02, 1.0, 0.4, 0.9) for i in range(60)]
+    rows += [(100 + i, "en", 5 + i, 9.0, 0.4, 0.1, 0.0, 0.1) for i in range(20)]
+    rows += [(200, "en", 104, 4.7, 0.02, 1.0, 0.4, 0.4), (201, "en", 4, 9.5, 0.5, 0.0, 0.0, 0.4), (300, "xx", 4, 9.5, 0.5, 0.0, 0.0, 0.45)]
+    scored = quality.tail_scores(spark.createDataFrame(rows, cols))
+    found = {x["doc_id"] for x in quality.not_prose(scored).collect()}
+    assert found == {*range(100, 120), 201}
+    flat = {x["doc_id"] for x in quality.not_prose(scored.withColumn("score", F.lit(0.0))).collect()}
+    assert flat != found
+    nulls = quality.tail_scores(spark.createDataFrame([(1, None, None, None, None, None, None, None)], cols))
+    assert [(x["doc_id"], x["lang_key"], x["score"]) for x in nulls.collect()] == [(1, "und", 0.0)]
+    assert [x["doc_id"] for x in quality.not_prose(nulls).collect()] == [1]
+    assert quality.not_prose(scored.where("false")).count() == 0
