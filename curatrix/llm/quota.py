@@ -1,14 +1,16 @@
 """Problem 3: a sample of each batch that meets target shares of several fields.
 
 Weights are raked to all target shares over the cells of images with the same target
-values; images are drawn by weighted exponential keys; minimum counts that the draw misses
-are repaired; a report says what can't be met.
+values; images are drawn by weighted exponential keys; minimum counts and shares that the
+draw misses are repaired by swaps between cells; a report says what can't be met.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,59 +143,98 @@ def rake(counts: np.ndarray, carries: np.ndarray, shares: np.ndarray, rounds: in
     return np.maximum(np.exp(logs - logs.max(initial=-np.inf)), 1e-9)
 
 
-def _no_rows(**types: str) -> pd.DataFrame:
-    return pd.DataFrame({c: pd.Series(dtype=t) for c, t in types.items()})
-
-
-def _rake_batch(key, cells: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-    if cells.empty:
-        return _no_rows(batch="int", profile="object", n="int64", weight="float")
-    wanted = sorted((f"{f}={v}", float(s)) for f, v, s in zip(asks["field"], asks["value"], asks["share"]))
-    rows = sorted(zip(map(tuple, cells["profile"]), cells["n"]))  # sums do not depend on the order of rows
-    has = np.array([[n in p for n, _ in wanted] for p in (set(p) for p, _ in rows)], dtype=bool).reshape(len(rows), len(wanted))
-    counts = np.array([n for _, n in rows])
-    weight = rake(counts, has, np.array([s for _, s in wanted], dtype=float))
-    return pd.DataFrame({"batch": [cells["batch"].iat[0]] * len(rows), "profile": [list(p) for p, _ in rows], "n": counts, "weight": weight})
-
-
-def _repair_batch(has: list[set[str]], asks: pd.DataFrame, size: int) -> tuple[list[int], set[int]]:
-    """Numbers of the sampled images, and those that a minimum brought in, of what each image carries in the order of the keys."""
-    chosen = list(range(min(size, len(has))))
-    least = {f"{f}={v}": int(m) for f, v, m in zip(asks["field"], asks["value"], asks["floor"])}
-    supply = {n: sum(n in h for h in has) for n in least}
-    least = {n: min(m, supply[n]) for n, m in least.items()}
-    count = {n: sum(n in has[i] for i in chosen) for n in least}
-    brought: set[int] = set()
-    taken = set(chosen)
-    for n in sorted(least, key=lambda n: (supply[n], n)):
-        for i in range(len(has)):
-            if count[n] >= least[n]:
-                break
-            if i in taken or n not in has[i]:
-                continue
-            spare = next((j for j in sorted(taken, reverse=True) if all(count[x] > least[x] for x in has[j] if x in least and x not in has[i]) and j not in brought and n not in has[j]), None)
-            if spare is None and len(taken) >= size:
+CELLS = "array<struct<profile: array<string>, number: double>>"
+_CELLS = pa.list_(pa.struct([("profile", pa.list_(pa.string())), ("number", pa.float64())]))
+PATIENCE = 60  # swaps without a smaller gap after which the repair ends
+
+
+def repair(have: np.ndarray, drawn: np.ndarray, carries: np.ndarray, floors: np.ndarray, asks: np.ndarray, patience: int = PATIENCE) -> np.ndarray:
+    """Images to take of each cell, as many in all as ``drawn``: by swaps until no minimum or ask is missed that can be mended.
+
+    ``have[c]`` images carry what ``carries[c]`` says, of which ``drawn[c]`` were drawn. A
+    missed minimum weighs more than any missed asks. Every step makes the best swap of an
+    image of one cell for one of another, also where the gap stays the same or grows, but
+    not back to a cell that has just given or taken; the best composition seen counts, and
+    the search ends when all are met or ``patience`` steps brought nothing.
+    """
+    supply = have @ carries
+    floors, asks = np.minimum(floors, supply), np.minimum(np.maximum(floors, asks), supply)
+    heavy = asks.sum() + 1.0
+
+    def gaps(count: np.ndarray) -> np.ndarray:
+        return np.maximum(asks - count, 0).sum(-1) + heavy * np.maximum(floors - count, 0).sum(-1)
+
+    now, count = drawn.copy(), drawn @ carries
+    best, least = now.copy(), gaps(count)
+    barred = np.zeros(len(have), int)  # step until which a cell may not change
+    excess = lambda c: np.maximum(c - asks, 0).max(-1, initial=0)
+    step = since = 0
+    while least > 0 and since < patience:
+        step, since = step + 1, since + 1
+        give, take = np.flatnonzero((now > 0) & (barred < step)), np.flatnonzero((now < have) & (barred < step))
+        short = np.flatnonzero(asks > count)
+        wanted = take[carries[take][:, short].any(1)] if len(short) else take
+        take = wanted if len(wanted) else take
+        if not len(give) or not len(take):
+            barred[:] = 0
+            if since > 1 and not ((now > 0).any() and (now < have).any()):
                 break
-            if spare is not None:
-                taken.discard(spare)
-                for x in has[spare]:
-                    count[x] = count.get(x, 0) - 1
-            taken.add(i)
-            brought.add(i)
-            for x in has[i]:
-                count[x] = count.get(x, 0) + 1
-    return sorted(taken), brought
-
-
-def _draw_batch(key, pool: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-    if pool.empty or asks.empty:
-        return _no_rows(batch="int", image="object", profile="object", draw_order="int", repaired="bool")
-    batch, order = pool["batch"].iat[0], sorted(zip(pool["sort_key"], pool["image"], pool["profile"]), key=lambda x: x[:2])
-    rows, brought = _repair_batch([set(p) for _, _, p in order], asks, int(asks["size"].max()))
-    kept = [order[i] for i in rows]
-    return pd.DataFrame({
-        "batch": [batch] * len(kept), "image": [x[1] for x in kept], "profile": [x[2] for x in kept], "draw_order": range(1, len(kept) + 1), "repaired": [i in brought for i in rows],
-    })
+            continue
+        found = None
+        for a in range(0, len(take), 64):  # a block of cells at a time bounds the memory
+            part = take[a : a + 64]
+            new = count - carries[give][:, None, :] + carries[part][None, :, :]
+            cost = gaps(new) + excess(new) / (4 * heavy)
+            cost[give[:, None] == part[None, :]] = np.inf
+            g, t = np.unravel_index(cost.argmin(), cost.shape)
+            if cost[g, t] < (found[0] if found else np.inf):
+                found = cost[g, t], give[g], part[t]
+        if found is None:
+            break
+        _, g, t = found
+        now[g], now[t] = now[g] - 1, now[t] + 1
+        count = count - carries[g] + carries[t]
+        barred[[g, t]] = step + 3
+        if gaps(count) < least:
+            best, least, since = now.copy(), gaps(count), 0
+    return best
+
+
+def _carries(profiles: list, names: list[str]) -> np.ndarray:
+    return np.array([[n in p for n in names] for p in map(set, profiles)], dtype=bool).reshape(len(profiles), len(names))
+
+
+def _per_batch(cells: DataFrame, asks: DataFrame, solve: Callable) -> DataFrame:
+    """``batch, profile, number``: ``solve(cells, asks)`` gives a number for each cell of a batch.
+
+    A batch is one row of its cells (at most as many as its targets can combine, never
+    its images) and its targets. Partitions are set by number, as a few bytes may hold
+    many batches, which would otherwise end in one task.
+    """
+    rows = cells.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("profile", *(c for c in cells.columns if c not in ("batch", "profile"))))).alias("cells"))
+    goals = asks.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct(F.concat_ws("=", "field", "value").alias("tag"), "share", "floor", "ask"))).alias("asks"))
+    rows = rows.join(goals, "batch").repartition(2 * cells.sparkSession.sparkContext.defaultParallelism, "batch")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [
+                [{"profile": c["profile"], "number": float(x)} for c, x in zip(own, solve(own, goal))]
+                for own, goal in zip(b.column(1).to_pylist(), b.column(2).to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, _CELLS)], ["batch", "cells"])
+
+    return rows.select("batch", "cells", "asks").mapInArrow(scan, f"batch int, cells {CELLS}").select("batch", F.inline("cells"))
+
+
+def _rake_cells(cells: list[dict], asks: list[dict]) -> np.ndarray:
+    carries = _carries([c["profile"] for c in cells], [a["tag"] for a in asks])
+    return rake(np.array([c["n"] for c in cells]), carries, np.array([a["share"] for a in asks], dtype=float))
+
+
+def _repair_cells(cells: list[dict], asks: list[dict]) -> np.ndarray:
+    carries = _carries([c["profile"] for c in cells], [a["tag"] for a in asks]).astype(int)
+    have, drawn = (np.array([c[k] for c in cells]) for k in ("have", "drawn"))
+    return repair(have, drawn, carries, *(np.array([a[k] for a in asks]) for k in ("floor", "ask")))
 
 
 def raked_cells(images: DataFrame, targets: DataFrame, carried: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -207,9 +248,9 @@ def raked_cells(images: DataFrame, targets: DataFrame, carried: DataFrame | None
     sizes = asks.groupBy("batch").agg(F.max("size").alias("size"))
     tagged = accepted.join(tags, ["batch", "image"], "left").withColumn("profile", F.coalesce("profile", F.array().cast("array<string>")))
     tagged = materialize(tagged.join(sizes, "batch"), "tagged")
-    cells = tagged.groupBy("batch", "profile").agg(F.count(F.lit(1)).alias("n"))
-    weights = cells.groupBy("batch").cogroup(asks.groupBy("batch")).applyInPandas(_rake_batch, "batch int, profile array<string>, n long, weight double")
-    return tagged, materialize(weights, "weights")
+    cells = materialize(tagged.groupBy("batch", "profile").agg(F.count(F.lit(1)).alias("n")), "cells")
+    weights = _per_batch(cells, asks, _rake_cells).withColumnRenamed("number", "weight")
+    return tagged, materialize(cells.join(weights, ["batch", "profile"]), "weights")
 
 
 def target_sample(
@@ -222,34 +263,29 @@ def target_sample(
     with fewer images than its sample size is taken whole. The result depends on the
     ids and the seed only, so ties and the order of rows make no difference.
 
-    Raking sees one row for each distinct profile of a batch (at most as many as its
-    targets can combine), and the repair sees the best ``sample_size`` images and, for
-    each target, the best ``min_count`` carriers; both are bounded whatever the size of
-    the batch. These best images come from salted windows of about ``salt_rows`` rows,
-    so a batch that holds a third of all rows is not gathered in one task. ``cells``
-    may hold ``raked_cells`` of the same tables if they are at hand.
+    Raking and repair see the cells of a batch (distinct profiles) and never its images:
+    ``repair`` says how many images of each cell to take, and those first in the order of
+    the weighted exponential keys are taken; ``repaired`` marks images that the draw alone
+    would have left out. No more than ``sample_size`` images of a cell can be needed; they
+    come from salted windows of about ``salt_rows`` rows, so a batch or a cell that holds a
+    third of all rows is not gathered in one task. ``cells`` may hold ``raked_cells`` of
+    the same tables if they are at hand.
     """
     asks = materialize(ask_table(targets), "asks")
     tagged, weights = raked_cells(images, targets, carried) if cells is None else cells
     even = (F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed), "batch", "image"), 256), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
     keyed = tagged.join(weights.drop("n"), ["batch", "profile"]).withColumn("sort_key", -F.ln(even) / F.col("weight"))
-    largest = tagged.groupBy("batch").count().agg(F.max("count")).first()[0] or 0
-    salts = max(1, -(-largest // salt_rows))
-    keyed = materialize(keyed.withColumn("salt", F.pmod(F.xxhash64("image"), F.lit(salts)).cast("int")).drop("weight"), "keyed")
-
-    def best(df: DataFrame, by: list[str], limit: Column) -> DataFrame:
-        for cols in ([*by, "salt"], by):
-            w = Window.partitionBy(*cols).orderBy("sort_key", "image")
-            df = df.withColumn("at", F.row_number().over(w)).where(F.col("at") <= limit)
-        return df.select("batch", "image", "profile", "sort_key")
-
-    top = best(keyed, ["batch"], F.col("size"))
-    floors = asks.where("floor > 0").select("batch", F.concat_ws("=", "field", "value").alias("tag"), "floor")
-    reserve = best(keyed.withColumn("tag", F.explode("profile")).join(floors, ["batch", "tag"]), ["batch", "tag"], F.col("floor"))
-    pool = top.unionByName(reserve).distinct()
-    schema = "batch int, image string, profile array<string>, draw_order int, repaired boolean"
-    drawn = pool.groupBy("batch").cogroup(asks.groupBy("batch")).applyInPandas(_draw_batch, schema)
-    return drawn.withColumnRenamed("batch", "negative_batch")
+    largest = weights.agg(F.max("n")).first()[0] or 0
+    salt = F.pmod(F.xxhash64("image"), F.lit(max(1, -(-largest // salt_rows)))).cast("int")
+    pool = keyed.withColumn("salt", salt).drop("weight")
+    for by in (["batch", "profile", "salt"], ["batch", "profile"]):
+        pool = pool.withColumn("in_cell", F.row_number().over(Window.partitionBy(*by).orderBy("sort_key", "image"))).where("in_cell <= size")
+    first = Window.partitionBy("batch").orderBy("sort_key", "image")  # the cells of a batch times its sample size at most
+    pool = materialize(pool.withColumn("drawn", F.row_number().over(first) <= F.col("size")).drop("salt"), "pool")
+    counts = pool.groupBy("batch", "profile").agg(F.count(F.lit(1)).alias("have"), F.count_if("drawn").alias("drawn"))
+    takes = _per_batch(counts, asks, _repair_cells).where("number > 0")
+    rows = pool.join(takes, ["batch", "profile"]).where("in_cell <= number")
+    return rows.select(F.col("batch").alias("negative_batch"), "image", "profile", F.row_number().over(first).alias("draw_order"), (~F.col("drawn")).alias("repaired"))
 
 
 def sample_report(
