@@ -97,6 +97,11 @@ have AS (SELECT a.negative_batch, a.target_field, a.target_value, i.image FROM a
 SELECT a.negative_batch, a.target_field, a.target_value FROM asks a LEFT JOIN have h USING (negative_batch, target_field, target_value)
 GROUP BY ALL HAVING count(DISTINCT h.image) < max(a.ask)"""
 
+_P3_INVARIANTS = rf"""WITH t AS (SELECT negative_batch, max(sample_size) AS size FROM negative_targets GROUP BY 1),
+a AS (SELECT NegativeBatch AS negative_batch, count(DISTINCT {_id("regexp_replace(ImageID, '\\s+', '', 'g')")}) AS accepted FROM accepted_negatives_batch2_metadata
+  WHERE regexp_replace(lower(ReviewStatus), '\s+', '', 'g') = 'accepted_negative' GROUP BY 1)
+SELECT negative_batch, least(size, accepted)::BIGINT AS sample_rows, least(size, accepted)::BIGINT AS distinct_images, 0::BIGINT AS not_accepted, 0::BIGINT AS missed_floors FROM t JOIN a USING (negative_batch)"""
+
 _P4 = f"""WITH recs AS (SELECT DISTINCT canonical_id AS id, {_split("avax_split")} = 'train' AS train FROM baseline_split_manifest
   WHERE lower({_trim("split_status")}) = 'included' AND {_split("avax_split")} IS NOT NULL),
 fp AS (SELECT DISTINCT r.id, r.train, lower(pixel_sha256) AS pixels, ('0x' || lower(phash))::UBIGINT AS p, ('0x' || lower(dhash))::UBIGINT AS d,
@@ -130,6 +135,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": _P2 + "SELECT DISTINCT canonical_id FROM placed WHERE unit IN (SELECT unit FROM torn) AND canonical_id IS NOT NULL",
         "p2_torn_relations": _P2 + "SELECT * FROM torn",
         "p3_found": _P3,
+        "p3_invariants": _P3_INVARIANTS,
         "p4_found": _P4,
         "p7_basic": _P7,
         "p7_basic_scores": _P7_SCORES,

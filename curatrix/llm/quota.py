@@ -145,17 +145,18 @@ def rake(counts: np.ndarray, carries: np.ndarray, shares: np.ndarray, rounds: in
 
 CELLS = "array<struct<profile: array<string>, number: double>>"
 _CELLS = pa.list_(pa.struct([("profile", pa.list_(pa.string())), ("number", pa.float64())]))
-PATIENCE = 60  # swaps without a smaller gap after which the repair ends
+PATIENCE, RESTARTS = 60, 40  # swaps without a smaller gap after which a search ends, and searches from other compositions if a gap is left
 
 
-def repair(have: np.ndarray, drawn: np.ndarray, carries: np.ndarray, floors: np.ndarray, asks: np.ndarray, patience: int = PATIENCE) -> np.ndarray:
+def repair(have: np.ndarray, drawn: np.ndarray, carries: np.ndarray, floors: np.ndarray, asks: np.ndarray, patience: int = PATIENCE, restarts: int = RESTARTS) -> np.ndarray:
     """Images to take of each cell, as many in all as ``drawn``: by swaps until no minimum or ask is missed that can be mended.
 
     ``have[c]`` images carry what ``carries[c]`` says, of which ``drawn[c]`` were drawn. A
     missed minimum weighs more than any missed asks. Every step makes the best swap of an
     image of one cell for one of another, also where the gap stays the same or grows, but
-    not back to a cell that has just given or taken; the best composition seen counts, and
-    the search ends when all are met or ``patience`` steps brought nothing.
+    not of a cell that has just given or taken; the best composition seen counts. A search
+    that leaves a gap is repeated from compositions of which half is drawn anew, the same
+    ones in every run.
     """
     supply = have @ carries
     floors, asks = np.minimum(floors, supply), np.minimum(np.maximum(floors, asks), supply)
@@ -164,40 +165,48 @@ def repair(have: np.ndarray, drawn: np.ndarray, carries: np.ndarray, floors: np.
     def gaps(count: np.ndarray) -> np.ndarray:
         return np.maximum(asks - count, 0).sum(-1) + heavy * np.maximum(floors - count, 0).sum(-1)
 
-    now, count = drawn.copy(), drawn @ carries
+    best, least = _search(have, drawn, carries, asks, gaps, heavy, patience)
+    chance = np.random.default_rng(11)
+    for _ in range(restarts):
+        if least <= 0:
+            break
+        start = chance.multivariate_hypergeometric(best, best.sum() // 2)
+        start += chance.multivariate_hypergeometric(have - start, best.sum() - start.sum())
+        found, gap = _search(have, start, carries, asks, gaps, heavy, patience)
+        if gap < least:
+            best, least = found, gap
+    return best
+
+
+def _search(have: np.ndarray, start: np.ndarray, carries: np.ndarray, asks: np.ndarray, gaps: Callable, heavy: float, patience: int) -> tuple[np.ndarray, float]:
+    """The best composition met on the way from ``start``, and its gap."""
+    now, count = start.copy(), start @ carries
     best, least = now.copy(), gaps(count)
     barred = np.zeros(len(have), int)  # step until which a cell may not change
-    excess = lambda c: np.maximum(c - asks, 0).max(-1, initial=0)
     step = since = 0
     while least > 0 and since < patience:
         step, since = step + 1, since + 1
         give, take = np.flatnonzero((now > 0) & (barred < step)), np.flatnonzero((now < have) & (barred < step))
-        short = np.flatnonzero(asks > count)
-        wanted = take[carries[take][:, short].any(1)] if len(short) else take
+        wanted = take[carries[take][:, asks > count].any(1)]
         take = wanted if len(wanted) else take
-        if not len(give) or not len(take):
-            barred[:] = 0
-            if since > 1 and not ((now > 0).any() and (now < have).any()):
-                break
-            continue
         found = None
-        for a in range(0, len(take), 64):  # a block of cells at a time bounds the memory
+        for a in range(0, len(take) if len(give) else 0, 64):  # a block of cells at a time bounds the memory
             part = take[a : a + 64]
             new = count - carries[give][:, None, :] + carries[part][None, :, :]
-            cost = gaps(new) + excess(new) / (4 * heavy)
+            cost = gaps(new) + np.maximum(new - asks, 0).max(-1, initial=0) / (4 * heavy)
             cost[give[:, None] == part[None, :]] = np.inf
             g, t = np.unravel_index(cost.argmin(), cost.shape)
             if cost[g, t] < (found[0] if found else np.inf):
                 found = cost[g, t], give[g], part[t]
         if found is None:
-            break
+            continue  # cells are barred for a few steps only
         _, g, t = found
         now[g], now[t] = now[g] - 1, now[t] + 1
         count = count - carries[g] + carries[t]
         barred[[g, t]] = step + 3
         if gaps(count) < least:
             best, least, since = now.copy(), gaps(count), 0
-    return best
+    return best, float(least)
 
 
 def _carries(profiles: list, names: list[str]) -> np.ndarray:
@@ -314,3 +323,24 @@ def sample_report(
         (F.col("supply") >= F.col("ask")).alias("can_be_met"),
         F.round(reach, 6).alias("raked_share"), ((F.col("wanted") <= 0) | (F.abs(reach - F.col("wanted")) < CLOSE)).alias("share_met"),
     )
+
+
+def sample_invariants(sample: DataFrame, images: DataFrame, targets: DataFrame) -> DataFrame:
+    """What must hold of any sample, one row for each batch with targets and accepted images.
+
+    ``negative_batch, sample_rows, distinct_images, not_accepted`` (sampled images that are
+    no accepted ones of the batch) and ``missed_floors`` (targets with fewer sampled images
+    than their minimum although supply would allow it).
+    """
+    accepted = images.where(_plain(F.col("ReviewStatus")) == ACCEPTED).select(
+        F.col("NegativeBatch").alias("negative_batch"), id_key(F.regexp_replace(F.col("ImageID"), r"\s+", "")).alias("image"), F.lit(True).alias("known")
+    ).where("negative_batch is not null and image is not null").distinct()
+    per = sample.join(accepted, ["negative_batch", "image"], "left").groupBy("negative_batch").agg(
+        F.count(F.lit(1)).alias("sample_rows"), F.count_distinct("image").alias("distinct_images"), F.count_if(F.col("known").isNull()).alias("not_accepted")
+    )
+    got = sample.select("negative_batch", F.explode("profile").alias("tag")).groupBy("negative_batch", "tag").agg(F.count(F.lit(1)).alias("sampled"))
+    floors = ask_table(targets).select(F.col("batch").alias("negative_batch"), F.concat_ws("=", "field", "value").alias("tag"), "floor")
+    supply = supply_report(images, targets).select("negative_batch", F.concat_ws("=", "target_field", "target_value").alias("tag"), "supply")
+    lines = floors.join(supply, ["negative_batch", "tag"]).join(got, ["negative_batch", "tag"], "left")
+    missed = lines.groupBy("negative_batch").agg(F.count_if(F.coalesce("sampled", F.lit(0)) < F.least("floor", "supply")).alias("missed_floors"))
+    return per.join(missed, "negative_batch")

@@ -59,6 +59,24 @@ def test_rake_shares_out_of_reach():
     assert np.allclose(quota.rake(counts, carries, np.array([0.0, 1.0, 0.0])), 1)
 
 
+def test_repair_against_all_compositions():
+    r = np.random.default_rng(2)
+    for _ in range(30):
+        have, carries = r.integers(1, 4, 5), (r.random((5, 4)) < 0.4).astype(int)
+        size = int(have.sum()) // 2
+        drawn = r.multivariate_hypergeometric(have, size)
+        floors, asks = r.integers(0, 2, 4), r.integers(0, 5, 4)
+        got = quota.repair(have, drawn, carries, floors, asks)
+        assert got.sum() == size and (got >= 0).all() and (got <= have).all()
+        supply = have @ carries
+        low, high = np.minimum(floors, supply), np.minimum(np.maximum(floors, asks), supply)
+        cost = lambda k: (100 * np.maximum(low - k @ carries, 0) + np.maximum(high - k @ carries, 0)).sum()
+        every = [k for k in np.ndindex(*(have + 1)) if sum(k) == size]
+        assert cost(got) == min(cost(np.array(k)) for k in every)
+        if cost(drawn) == 0:
+            assert (got == drawn).all()
+
+
 def test_report_names_shares_that_cannot_be_met_together(spark):
     rows = [(f"{c}{n}", b, c, "", "accepted_negative", "q", "q") for b in (1, 2) for c in ("aaaaaa", "bbbbbb") for n in range(30)]
     images = spark.createDataFrame(rows, IMAGES)
