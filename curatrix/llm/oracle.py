@@ -85,6 +85,11 @@ torn AS (SELECT unit, count(DISTINCT grp) AS groups, count(*) FILTER (split = 't
   count(*) FILTER (split = 'test') AS test_rows FROM placed GROUP BY unit HAVING count(DISTINCT split) > 1)
 """
 
+_P2_INVARIANTS = f"""WITH n AS (SELECT count(DISTINCT {_id("canonical_id")}) AS n FROM baseline_split_manifest WHERE lower({_trim("split_status")}) = 'included'),
+q AS (SELECT split_name, target_share, n, n * target_share / (SELECT sum(target_share) FROM split_targets) AS exact FROM split_targets, n),
+f AS (SELECT *, floor(exact)::BIGINT AS whole, row_number() OVER (ORDER BY exact - floor(exact) DESC, split_name) AS k FROM q)
+SELECT split_name, target_share, whole + CASE WHEN k <= n - (SELECT sum(whole) FROM f) THEN 1 ELSE 0 END AS records, 0::BIGINT AS torn_units, 0::BIGINT AS torn_related FROM f"""
+
 _P3 = rf"""WITH asks AS (SELECT negative_batch, target_field, target_value, greatest(min_count, round(target_share * sample_size)::INTEGER) AS ask FROM negative_targets),
 imgs AS (SELECT NegativeBatch AS b, {_id("regexp_replace(ImageID, '\\s+', '', 'g')")} AS image, {_word("CandidateCategory")} AS category,
   regexp_split_to_array(coalesce(MatchedClasses, ''), '[;,|/]') AS classes
@@ -134,6 +139,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_growth": _P1_GROWTH,
         "p2_found": _P2 + "SELECT DISTINCT canonical_id FROM placed WHERE unit IN (SELECT unit FROM torn) AND canonical_id IS NOT NULL",
         "p2_torn_relations": _P2 + "SELECT * FROM torn",
+        "p2_invariants": _P2_INVARIANTS,
         "p3_found": _P3,
         "p3_invariants": _P3_INVARIANTS,
         "p4_found": _P4,

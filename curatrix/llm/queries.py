@@ -29,18 +29,26 @@ def p1_growth(spark: SparkSession, folder: str) -> DataFrame:
     return sample.growth_report(*_t(spark, folder, "baseline_split_manifest"), RATE, SEED)
 
 
+def _p2(spark: SparkSession, folder: str) -> DataFrame:
+    return split.assignment(*_t(spark, folder, "baseline_split_manifest", "group_links", "split_targets"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return split.torn_records(*_t(spark, folder, "baseline_split_manifest", "group_links"))
+    return split.torn_records(_p2(spark, folder))
 
 
 def p2_torn_relations(spark: SparkSession, folder: str) -> DataFrame:
-    return split.torn_relations(*_t(spark, folder, "baseline_split_manifest", "group_links"))
+    return split.torn_relations(split.placed_rows(*_t(spark, folder, "baseline_split_manifest", "group_links")))
 
 
 def p2_assignment(spark: SparkSession, folder: str) -> DataFrame:
     return split.assign_splits(*_t(spark, folder, "baseline_split_manifest", "group_links", "split_targets"))
 
 
+def p2_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    return split.split_invariants(_p2(spark, folder), table(spark, folder, "split_targets"))
+
+
 def p2_split_report(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_report(p2_assignment(spark, folder), table(spark, folder, "split_targets"))
 
@@ -121,7 +129,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_sample, p1_group_sample, p1_growth, p2_found, p2_torn_relations, p2_assignment, p2_split_report, p3_sample, p3_report, p3_invariants, p3_found,
+        p1_sample, p1_group_sample, p1_growth, p2_found, p2_torn_relations, p2_assignment, p2_invariants, p2_split_report, p3_sample, p3_report, p3_invariants, p3_found,
         p4_found, p4_report, p5_leaks, p5_found, p5_report, p6_mixture, p6_report, p6_found, p7_statistics, p7_basic, p7_basic_scores, p7_scores, p7_found,
     ]
     return {f.__name__: f for f in own}

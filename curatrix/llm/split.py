@@ -41,17 +41,9 @@ def confirmed_links(links: DataFrame) -> DataFrame:
     return rows.groupBy("u", "v").agg(latest.alias("last")).where(~F.col("last.col2")).select("u", "v")
 
 
-def group_units(links: DataFrame, more: DataFrame | None = None) -> DataFrame:
-    """Columns ``grp, unit`` for the groups that confirmed links, or the pairs ``u, v`` of ``more``, join; all others are their own unit."""
-    pairs = confirmed_links(links)
-    return connected_components(pairs if more is None else pairs.union(more)).toDF("grp", "unit")
-
-
-def shared_groups(rows: DataFrame) -> DataFrame:
-    """Columns ``u, v``: the smallest group of each record of ``rows(record, grp)`` with each other group that it names."""
-    rows = rows.where("record is not null and grp is not null").select("record", "grp")
-    several = rows.groupBy("record").agg(F.min("grp").alias("u"), F.max("grp").alias("last")).where("u <> last").select("record", "u")
-    return rows.join(several, "record").where("grp <> u").select("u", F.col("grp").alias("v")).distinct()
+def group_units(links: DataFrame) -> DataFrame:
+    """Columns ``grp, related`` for the groups that confirmed links join; all others relate to themselves only."""
+    return connected_components(confirmed_links(links)).toDF("grp", "related")
 
 
 def _records(manifest: DataFrame) -> DataFrame:
@@ -65,40 +57,57 @@ def _records(manifest: DataFrame) -> DataFrame:
     )
 
 
-def torn_units(manifest: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(groups with their unit, units that stand in more than one split with their records by split).
+def placed_rows(manifest: DataFrame, links: DataFrame) -> DataFrame:
+    """The distinct included rows with ``related`` (their group, or the groups that links join to it) and ``unit``; written.
 
-    Everything is aggregated to groups before the join with the links' components.
+    A unit is what may not be torn: related rows, and all rows of a record, so a record
+    that names several groups ties them together. A row without a group has a null
+    ``related`` and shares the unit of its record, else it is a unit of its own. ``n``
+    counts equal rows.
     """
-    rows = _records(manifest).where("grp is not null")
-    groups = rows.groupBy("grp").agg(*(F.count_if(F.col("split") == s).alias(s) for s in SPLITS))
-    groups = groups.join(group_units(links), "grp", "left").withColumn("unit", F.coalesce("unit", "grp"))
-    units = groups.groupBy("unit").agg(F.count(F.lit(1)).alias("groups"), *(F.sum(s).alias(s) for s in SPLITS))
-    torn = units.where(sum((F.col(s) > 0).cast("int") for s in SPLITS) > 1)
-    return groups.select("grp", "unit"), torn
-
-
-def torn_relations(manifest: DataFrame, links: DataFrame) -> DataFrame:
-    """The relations that ``avax_split`` tears apart: ``unit, groups, train_rows, val_rows, test_rows``.
-
-    Only included rows with a group count; a split that is none of the three is none. Needs the manifest's
-    ``canonical_id, source_dataset, source_group, avax_split, split_status,
-    real_synthetic, is_negative`` and the links' six columns; further columns are
-    ignored. Empty tables give an empty result.
+    rows = _records(manifest)
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.join(group_units(links), "grp", "left").withColumn("related", F.coalesce("related", "grp"))
+    rows = materialize(rows, "related")
+    named = rows.where("record is not null and related is not null").select("record", "related")
+    several = named.groupBy("record").agg(F.min("related").alias("u"), F.max("related").alias("v")).where("u <> v").select("record", "u")
+    ties = materialize(named.join(several, "record").where("related <> u").select("u", F.col("related").alias("v")).distinct(), "ties")
+    if ties.isEmpty():
+        rows = rows.withColumn("unit", F.col("related"))
+    else:
+        rows = rows.join(connected_components(ties).toDF("related", "unit"), "related", "left").withColumn("unit", F.coalesce("unit", "related"))
+    own = named.groupBy("record").agg(F.min("related").alias("first")).select("record", "first")
+    # rows without a group take the unit of a group that their record names elsewhere
+    lone = rows.where("related is null").drop("unit").join(own, "record", "left").withColumnRenamed("first", "__at")
+    lone = lone.join(rows.where("related is not null").select(F.col("related").alias("__at"), "unit").distinct(), "__at", "left").drop("__at")
+    lone = lone.withColumn("unit", F.coalesce("unit", F.concat(F.lit("id|"), F.col("record"))))
+    cols = ["id", "record", "grp", "split", "synthetic", "negative", "n", "related", "unit"]
+    return materialize(rows.where("related is not null").select(*cols).unionByName(lone.select(*cols)), "placed")
+
+
+def _torn(placed: DataFrame) -> DataFrame:
+    """Sets of related rows that stand in more than one split: ``related, groups`` and the rows in each split."""
+    by = placed.where("related is not null").groupBy("related", "grp").agg(*(F.coalesce(F.sum(F.when(F.col("split") == s, F.col("n"))), F.lit(0)).alias(s) for s in SPLITS))
+    sets = by.groupBy("related").agg(F.count(F.lit(1)).alias("groups"), *(F.sum(s).alias(s) for s in SPLITS))
+    return sets.where(sum((F.col(s) > 0).cast("int") for s in SPLITS) > 1)
+
+
+def torn_relations(placed: DataFrame) -> DataFrame:
+    """The relations that the present split tears apart: ``unit, groups, train_rows, val_rows, test_rows``.
+
+    Takes ``placed_rows`` or ``assignment``. Only rows with a group count; a split that is
+    none of the three is none. Empty tables give an empty result.
     """
-    _, torn = torn_units(manifest, links)
-    return torn.select("unit", "groups", *(F.col(s).cast("long").alias(f"{s}_rows") for s in SPLITS))
+    return _torn(placed).select(F.col("related").alias("unit"), "groups", *(F.col(s).cast("long").alias(f"{s}_rows") for s in SPLITS))
 
 
-def torn_records(manifest: DataFrame, links: DataFrame) -> DataFrame:
-    """Each distinct ``canonical_id`` whose related records stand in more than one split; inputs as for ``torn_relations``.
+def torn_records(placed: DataFrame) -> DataFrame:
+    """Each distinct ``canonical_id`` whose related records stand in more than one split; input as for ``torn_relations``.
 
     Ids count as they stand; a null id is no case.
     """
-    groups, torn = torn_units(manifest, links)
-    hit = groups.join(torn.select("unit"), "unit", "left_semi").select("grp")
-    rows = _records(manifest).where("grp is not null and id is not null").select("id", "grp")
-    return rows.join(hit, "grp", "left_semi").select(F.col("id").alias("canonical_id")).distinct()
+    rows = placed.where("related is not null and id is not null").select("id", "related")
+    return rows.join(_torn(placed).select("related"), "related", "left_semi").select(F.col("id").alias("canonical_id")).distinct()
 
 
 class Flow:
@@ -240,30 +249,24 @@ def solve_quotas(bundles: list[tuple[int, str, int]], shares: dict[str, float],
     return out
 
 
-def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, seed: str = "split") -> DataFrame:
-    """Columns ``canonical_id, record_key, unit, unit_records, assigned_split, present_split``.
+def assignment(manifest: DataFrame, links: DataFrame, targets: DataFrame, seed: str = "split") -> DataFrame:
+    """``placed_rows`` with ``unit_records`` and ``assigned_split``; rows without an id have no split.
 
-    One row for each distinct canonical_id of the included rows; inputs as for
-    ``torn_relations`` and ``targets(split_name, target_share)``. Ids that differ only
-    in case, blanks or an image extension count as one record and share a unit; a record
-    that names several groups ties them together, and a record without a group is a unit
-    of its own. A null id is left out. The label profile of a unit is whether most of its
-    records are negative and whether most are synthetic.
+    Needs the manifest's ``canonical_id, source_dataset, source_group, avax_split,
+    split_status, real_synthetic, is_negative``, the links' six columns and
+    ``targets(split_name, target_share)``; further columns are ignored. Ids that differ
+    only in case, blanks or an image extension count as one record. The label profile of
+    a unit is whether most of its records are negative and whether most are synthetic.
 
     The driver gets one line for each bundle of equal size and profile. The sizes of all
     units add up to the number of records, so n records have fewer than sqrt(2 n)
     different sizes in each of the four profiles.
     Units are ranked within bundles by a distributed sort, not by a window.
     """
-    rows = _records(manifest).where("record is not null")
-    ids = rows.groupBy("id").agg(F.min("record").alias("record"), F.min("grp").alias("grp"), F.min("split").alias("split"), F.max("negative").alias("negative"), F.max("synthetic").alias("synthetic"))
-    comps = group_units(links, shared_groups(rows))
-    one = Window.partitionBy("record")  # the spellings of one id
-    ids = ids.withColumn("grp", F.min("grp").over(one)).withColumn("lead", F.min("id").over(one) == F.col("id"))
-    ids = ids.join(comps, "grp", "left").withColumn("unit", F.coalesce("unit", "grp", F.concat(F.lit("id|"), F.col("record")))).drop("grp")
-    ids = materialize(ids, "units")
-    half = lambda c: (F.count_if(F.col("lead") & F.col(c)) * 2 > F.count_if("lead")).cast("int").cast("string")
-    units = ids.groupBy("unit").agg(F.count_if("lead").alias("size"), F.concat(half("negative"), half("synthetic")).alias("label"))
+    placed = placed_rows(manifest, links)
+    records = placed.where("record is not null").groupBy("unit", "record").agg(F.max("negative").alias("negative"), F.max("synthetic").alias("synthetic"))
+    half = lambda c: (F.count_if(F.col(c)) * 2 > F.count(F.lit(1))).cast("int").cast("string")
+    units = records.groupBy("unit").agg(F.count(F.lit(1)).alias("size"), F.concat(half("negative"), half("synthetic")).alias("label"))
     units = units.withColumn("key", F.sha2(F.concat(F.lit(seed), F.col("unit")), 256))
     ranked = global_positions(units, ["size", "label", "key", "unit"], "place")
     bundles = ranked.groupBy("size", "label").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("start")).orderBy("size", "label").collect()
@@ -279,9 +282,31 @@ def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, see
     plan = manifest.sparkSession.createDataFrame(lines, "size long, label string, low long, high long, assigned_split string")
     ranges = F.broadcast(plan)  # one line for each bundle and split
     done = ranked.join(ranges, (ranked["size"] == plan["size"]) & (ranked["label"] == plan["label"]) & (F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))
-    return ids.join(done.select("unit", ranked["size"], "assigned_split"), "unit").select(
-        F.col("id").alias("canonical_id"), F.col("record").alias("record_key"), "unit", F.col("size").alias("unit_records"), "assigned_split", F.col("split").alias("present_split")
-    )
+    return materialize(placed.join(done.select("unit", ranked["size"].alias("unit_records"), "assigned_split"), "unit", "left"), "assigned")
+
+
+def assign_splits(manifest: DataFrame, links: DataFrame, targets: DataFrame, seed: str = "split") -> DataFrame:
+    """Columns ``canonical_id, record_key, unit, unit_records, assigned_split, present_split``, one row for each distinct canonical_id of the included rows.
+
+    Inputs as for ``assignment``. A null or blank id is left out. An id that stands in
+    several splits shows the first of them by name.
+    """
+    rows = assignment(manifest, links, targets, seed).where("record is not null")
+    first = {"record": "record_key", "unit": "unit", "unit_records": "unit_records", "assigned_split": "assigned_split", "split": "present_split"}
+    return rows.groupBy(F.col("id").alias("canonical_id")).agg(*(F.min(c).alias(n) for c, n in first.items()))
+
+
+def split_invariants(assigned: DataFrame, targets: DataFrame) -> DataFrame:
+    """What must hold of ``assignment``, one row a target: ``split_name, target_share, records, torn_units, torn_related``.
+
+    ``records`` of the split, and the units and related sets of all rows that stand in
+    more than one assigned split.
+    """
+    rows = assigned.where("record is not null")
+    several = lambda c, n: rows.where(F.col(c).isNotNull()).groupBy(c).agg(F.count_distinct("assigned_split").alias("k")).agg(F.count_if(F.col("k") > 1).alias(n))
+    records = rows.groupBy("record").agg(F.min("assigned_split").alias("split_name")).groupBy("split_name").agg(F.count(F.lit(1)).alias("records"))
+    out = targets.select("split_name", "target_share").join(records, "split_name", "left").withColumn("records", F.coalesce("records", F.lit(0)))
+    return out.crossJoin(F.broadcast(several("unit", "torn_units"))).crossJoin(F.broadcast(several("related", "torn_related")))  # one row each
 
 
 def split_report(assigned: DataFrame, targets: DataFrame) -> DataFrame:

@@ -74,10 +74,10 @@ def test_found_and_torn(spark):
         ("d", "raw/g2", "d", "x", "Confirmed ", t(1)), ("d", "x", "d", "g3", "confirmed", t(1)), ("d", "g7", "d", "x", "confirmed", t(1)),
         ("d", "g4", "d", "g5", "confirmed", t(1)), ("d", "g5", "d", "g4", "rejected", t(2)), ("d", "g6", "d", "g6", "confirmed", t(1)), ("d", None, "d", "g1", "confirmed", t(1)),
     ], LINKS)
-    assert {r[0] for r in split.torn_records(m, links).collect()} == {"a1", "a2", "b1", "c1", "j1"}
-    torn = {r["unit"]: (r["groups"], r["train_rows"], r["val_rows"], r["test_rows"]) for r in split.torn_relations(m, links).collect()}
+    assert {r[0] for r in split.torn_records(split.placed_rows(m, links)).collect()} == {"a1", "a2", "b1", "c1", "j1"}
+    torn = {r["unit"]: (r["groups"], r["train_rows"], r["val_rows"], r["test_rows"]) for r in split.torn_relations(split.placed_rows(m, links)).collect()}
     assert torn == {"d|g1": (1, 3, 0, 1), "d|g2": (3, 1, 1, 0)}
-    assert split.torn_records(m.where("false"), links.where("false")).count() == 0
+    assert split.torn_records(split.placed_rows(m.where("false"), links.where("false"))).count() == 0
 
 
 def test_assignment_keeps_units_and_shares(spark):
