@@ -117,6 +117,15 @@ pairs AS (SELECT a.id AS x, b.id AS y FROM recs a JOIN recs b ON {_id("a.id")} =
     AND abs(a.aspect - b.aspect) / greatest(a.aspect, b.aspect) <= 0.15)
 SELECT DISTINCT least(x, y) AS canonical_id_a, greatest(x, y) AS canonical_id_b FROM pairs WHERE x <> y"""
 
+# the level is where what the sources can give, each up to level * weight, adds up to what is wanted: it is the largest of the candidates
+_P6_PLAN = f"""WITH t AS (SELECT source, {_word("source")} AS k, target_weight AS w, max_repeats AS m FROM mix_targets),
+d AS (SELECT {_word("source")} AS k, coalesce(length(text), 0) AS n FROM documents), c AS (SELECT k, count(*) AS documents, sum(n)::BIGINT AS tokens FROM d WHERE k IN (SELECT k FROM t) GROUP BY 1),
+r AS (SELECT t.source, w, coalesce(documents, 0) AS documents, coalesce(tokens, 0) AS tokens, coalesce(tokens, 0) * m AS most, w * (SELECT sum(tokens) FROM c) AS wanted FROM t LEFT JOIN c USING (k)),
+fixed AS (SELECT x.source, x.most / x.w AS need, ((SELECT sum(wanted) FROM r) - coalesce(sum(y.most) FILTER (y.most / y.w < x.most / x.w OR (y.most / y.w = x.most / x.w AND y.source < x.source)), 0))
+  / sum(y.w) FILTER (y.most / y.w > x.most / x.w OR (y.most / y.w = x.most / x.w AND y.source >= x.source)) AS factor FROM r x, r y WHERE x.w > 0 AND y.w > 0 GROUP BY x.source, x.most, x.w),
+lev AS (SELECT max(factor) AS level FROM fixed)
+SELECT source, documents, tokens, round(wanted, 3) AS wanted, round(CASE WHEN w > 0 THEN least(most, coalesce(level * w, most)) ELSE 0 END, 3) AS planned, most < wanted AS falls_short FROM r, lev"""
+
 _P7 = r"""WITH t AS (SELECT doc_id, coalesce(nullif(regexp_extract(lower(trim(lang)), '^([a-z]{2})([-_].*)?$', 1), ''), 'und') AS lang_key, coalesce(text, '') AS text FROM documents),
 c AS (SELECT doc_id, lang_key, len(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS words, length(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g')) AS letters,
   length(regexp_replace(text, '[ \t\n\x0B\f\r]+', '', 'g')) AS filled, len(regexp_extract_all(text, '[^ \t\n\x0B\f\r][^\n]*')) AS lines,
@@ -143,6 +152,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": _P3,
         "p3_invariants": _P3_INVARIANTS,
         "p4_found": _P4,
+        "p6_plan_by_length": _P6_PLAN,
         "p7_basic": _P7,
         "p7_basic_scores": _P7_SCORES,
     }

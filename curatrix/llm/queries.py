@@ -94,6 +94,16 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     return leak.leak_report(p5_leaks(spark, folder), table(spark, folder, "heldout_items"))
 
 
+def p6_plan_by_length(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan with characters in place of tokens, which SQL can count as well."""
+    documents, targets = _t(spark, folder, "documents", "mix_targets")
+    listed = targets.select(mix.word_key(F.col("source")).alias("source_key")).distinct()
+    rows = documents.select(mix.word_key(F.col("source")).alias("source_key"), F.length("text").alias("n")).join(F.broadcast(listed), "source_key", "left_semi")
+    totals = rows.groupBy("source_key").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.coalesce("n", F.lit(0))).alias("tokens"))
+    plan = mix.mix_plan(totals, targets)
+    return plan.select("source", "documents", "tokens", F.round("wanted", 3).alias("wanted"), F.round("planned", 3).alias("planned"), "falls_short")
+
+
 def p6_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix(*_t(spark, folder, "documents", "mix_targets"))[0]
 
@@ -130,6 +140,6 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         p1_sample, p1_group_sample, p1_growth, p2_found, p2_torn_relations, p2_assignment, p2_invariants, p2_split_report, p3_sample, p3_report, p3_invariants, p3_found,
-        p4_found, p4_report, p5_leaks, p5_found, p5_report, p6_mixture, p6_report, p6_found, p7_statistics, p7_basic, p7_basic_scores, p7_scores, p7_found,
+        p4_found, p4_report, p5_leaks, p5_found, p5_report, p6_plan_by_length, p6_mixture, p6_report, p6_found, p7_statistics, p7_basic, p7_basic_scores, p7_scores, p7_found,
     ]
     return {f.__name__: f for f in own}

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,12 +16,14 @@ PROSE = {
 def test_pivot_keeps_the_tokens():
     r = random.Random(3)
     for n in (0, 1, 2, 7, 400):
-        mass, part = [r.randint(1, 900) for _ in range(n)], [r.choice([0.0, 1.0, 0.3, 0.3, 0.8]) for _ in range(n)]
-        out = mix.pivot(list(range(n)), mass, part, 1, 0)
+        mass, part = np.array([r.randint(1, 900) for _ in range(n)], dtype=np.int64), np.array([r.choice([0.0, 1.0, 0.3, 0.3, 0.8]) for _ in range(n)])
+        out = mix.pivot(np.arange(n), mass, part, 1, 0)
         assert sum(p not in (0.0, 1.0) for p in out) <= 1
-        assert sum(m * p for m, p in zip(mass, out)) == pytest.approx(sum(m * p for m, p in zip(mass, part)), abs=1e-3)
-    kept = sum(mix.pivot(["a", "b"], [10, 10], [0.3, 0.3], seed, 0)[0] for seed in range(2000)) / 2000
-    assert kept == pytest.approx(0.3, abs=0.03)
+        assert (mass * out).sum() == pytest.approx((mass * part).sum(), abs=1e-3)
+    kept = np.mean([mix.pivot(np.array([4, 9]), np.array([10, 10]), np.array([0.3, 0.3]), seed, 0) for seed in range(2000)], axis=0)
+    assert kept == pytest.approx([0.3, 0.3], abs=0.03)
+    uneven = np.mean([mix.pivot(np.arange(5), np.array([5, 10, 30, 7, 1]), np.array([0.3, 0.6, 0.2, 0.9, 0.5]), seed, 0) for seed in range(3000)], axis=0)
+    assert uneven == pytest.approx([0.3, 0.6, 0.2, 0.9, 0.5], abs=0.04)
 
 
 def test_mixture(spark):
@@ -34,8 +37,10 @@ def test_mixture(spark):
     lines = {p["source"]: p for p in plan.collect()}
     total = sum(p["tokens"] for p in lines.values())
     assert max(x["copies"] for x in rows if x["source"] == "notes") <= 2 and len({x["doc_id"] for x in rows}) == len(rows)
-    got = sum(x["tokens"] * x["copies"] for x in rows if x["source"] == "web_crawl")
-    assert abs(got - 0.3 * total) <= 61
+    for name, line in lines.items():
+        assert abs(sum(x["tokens"] * x["copies"] for x in rows if x["source"] == name) - line["planned"]) <= 61
+    web, notes = lines["web_crawl"], lines["notes"]
+    assert web["planned"] + notes["planned"] == pytest.approx(min(total, web["tokens"] + 2 * notes["tokens"])) and notes["planned"] == 2 * notes["tokens"]
     assert {s for s, p in lines.items() if p["falls_short"]} == {s for s, p in lines.items() if p["tokens"] * p["max_repeats"] < p["wanted"]}
     assert "absent" in {s for s, p in lines.items() if p["falls_short"]}
     again, _ = mix.mix(df.repartition(7), targets, leaf_rows=100, fan=4)
@@ -121,3 +126,12 @@ def test_score_decides_where_the_share_is_in_doubt(spark):
     assert [(x["doc_id"], x["lang_key"], x["score"]) for x in nulls.collect()] == [(1, "und", 0.0)]
     assert [x["doc_id"] for x in quality.not_prose(nulls).collect()] == [1]
     assert quality.not_prose(scored.where("false")).count() == 0
+
+
+def test_plan_shares_what_is_left_open(spark):
+    totals = spark.createDataFrame([("a", 5, 100), ("b", 5, 600), ("c", 5, 300)], "source_key string, documents long, tokens long")
+    targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.5, 2), ("C ", 0.2, 2), (None, 0.4, 1), ("d", 0.0, None)], "source string, target_weight double, max_repeats int")
+    plan = {x["source"]: x for x in mix.mix_plan(totals, targets).collect()}
+    assert [(plan[s]["planned"], plan[s]["falls_short"]) for s in ("a", "b", "C ", "d")] == [(100, True), (pytest.approx(900 * 5 / 7), False), (pytest.approx(900 * 2 / 7), False), (0, False)]
+    short = mix.mix_plan(totals, spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_weight double, max_repeats int"))
+    assert {x["source"]: x["planned"] for x in short.collect()} == {"a": 100, "b": 600}
