@@ -27,8 +27,8 @@ SHINGLE, SEGMENTS, HASHES, AGREE = 5, 5, 48, 2
 BLOCK = 8  # shingles; the smallest window has two blocks
 EDIT_PRICE = 2  # words of reproduced text that one changed, dropped or added word outweighs
 REPRODUCED = 0.3  # of an item's words: leaks reach two fifths before changes, others a quarter at most
-NET = 0.15  # of an item's words: those a stretch's shared shingles cover, less the words of the stretch that they pass over
-MARGIN = 12  # words around the shared shingles that the alignment may use
+NET = 0.1  # of an item's words: those a stretch's shared shingles cover, less the words of the stretch that they pass over
+MARGIN = 0.25  # of an item's words: around the shared shingles the alignment may use so many, as changes in a row leave none
 SLICE_WORDS = 50_000
 
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
@@ -219,7 +219,14 @@ class ItemIndex:
         in_doc = np.arange(len(shingles)) - begin[doc_of]
         blocks = np.flatnonzero(in_doc % BLOCK == 0)
         wanted = self.candidates(shingles, blocks, doc_of[blocks])
-        at, where = self.look.find(shingles)
+        if not len(wanted):
+            return
+        # only documents that MinHash proposes are looked up, and of them only the items it proposes
+        proposed = np.zeros(len(texts), bool)
+        proposed[wanted // len(self.ids)] = True
+        open_at = np.flatnonzero(proposed[doc_of])
+        at, where = self.look.find(shingles[open_at])
+        at = open_at[at]
         which, spot = _expand(self.first[where], self.first[where + 1])
         doc, p = doc_of[at[which]], in_doc[at[which]]
         item, q = self.item[spot], self.place[spot]
@@ -254,10 +261,11 @@ class ItemIndex:
         for key, found in stretches.items():
             doc, item = divmod(key, len(self.ids))
             words, share, most = self.words[item], 0.0, 0
+            margin = int(MARGIN * len(words))
             for net, cover, n, lo, hi in sorted(set(found), reverse=True):
                 if share >= REPRODUCED:
                     break
-                stretch = flat[ends[doc] + max(0, lo - MARGIN) : min(ends[doc + 1], ends[doc] + hi + SHINGLE + MARGIN)]
+                stretch = flat[ends[doc] + max(0, lo - margin) : min(ends[doc + 1], ends[doc] + hi + SHINGLE + margin)]
                 kept = in_order(stretch.tolist(), self.masks[item], len(words))
                 if kept < REPRODUCED * len(words):  # an upper bound of what an alignment can reproduce
                     continue
@@ -366,5 +374,5 @@ def leaks(documents: DataFrame, items: DataFrame, block_items: int = 20_000) ->
 def leak_report(found: DataFrame, items: DataFrame) -> DataFrame:
     """``eval_set, items, leaked_items, documents``: how many items of each set leaked, and into how many documents."""
     sets = items.select("item_id", F.coalesce("eval_set", F.lit("(missing)")).alias("eval_set"))
-    per = found.select("doc_id", "item_id").join(F.broadcast(sets), "item_id").groupBy("eval_set").agg(F.count_distinct("item_id").alias("leaked_items"), F.count_distinct("doc_id").alias("documents"))
+    per = found.select("doc_id", "item_id").join(sets, "item_id").groupBy("eval_set").agg(F.count_distinct("item_id").alias("leaked_items"), F.count_distinct("doc_id").alias("documents"))
     return sets.groupBy("eval_set").agg(F.count(F.lit(1)).alias("items")).join(per, "eval_set", "left").na.fill(0)

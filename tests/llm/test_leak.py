@@ -88,3 +88,32 @@ def test_words():
     assert leak.plain_words("Ünï-code <b>Straße</b> &amp; ﬁn_x") == [b"uni", b"code", b"strasse", b"fin", b"x"]
     assert leak.plain_words("a < b > c") == [b"a", b"b", b"c"]
     assert leak.plain_words(None) == []
+
+
+@pytest.mark.parametrize("even", [True, False])
+def test_recall_at_the_limit(even):
+    """Two fifths of an item with one word in eight changed, evenly spread or anywhere; and just a quarter, which is no leak."""
+    r = random.Random(21)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(r.choices(words, k=r.randint(60, 220)))) for i in range(120)]
+    index = leak.ItemIndex(items)
+    texts, want = [], set()
+    for d in range(800):
+        i = r.randrange(len(items))
+        w = items[i][1].split()
+        n = -(-2 * len(w) // 5) if d % 4 else len(w) // 4
+        a = r.randint(0, len(w) - n)
+        part = w[a : a + n]
+        if d % 4:
+            at = set(range(r.randrange(8), n, 8)) if even else set(r.sample(range(n), n // 8))
+            part = [x for k, v in enumerate(part) for x in (r.choice([[], [v, "zz"], ["yy"]]) if k in at else [v])]
+            want.add((d, i))
+        texts.append(" ".join(r.choices(words, k=r.randint(0, 300)) + part + r.choices(words, k=r.randint(0, 300))))
+    got = {(d, i) for d, i, _, _ in index.search(texts)}
+    assert got <= want
+    assert len(got) >= (1 if even else 0.99) * len(want)
+    hashed = [np.array([leak._HASHES[x] for x in leak.plain_words(t)], np.uint64) for t in texts]
+    for d, i in want:  # MinHash alone loses none
+        s = leak.shingle_hashes(hashed[d])
+        blocks = np.arange(0, len(s), leak.BLOCK)
+        assert i in index.candidates(s, blocks, np.zeros(len(blocks), int))
