@@ -64,12 +64,12 @@ FROM u WHERE unit_key IN (SELECT key FROM chosen) GROUP BY record_key"""
 
 
 _P1_GROWTH = f"""WITH {_P1_ROWS},
-f AS (SELECT record_key AS key, min(coalesce(manifest_version, 1)) AS since FROM rows1 WHERE record_key IS NOT NULL GROUP BY 1),
+f AS (SELECT DISTINCT record_key AS key FROM rows1 WHERE record_key IS NOT NULL),
 {_feistel("f")},
-s AS (SELECT since FROM f JOIN chosen USING (key))
-SELECT v::INTEGER AS manifest_version, (SELECT count(*) FROM s WHERE since <= v) AS selected_records,
-  (SELECT count(*) FROM s WHERE since < v) AS kept_records, 0::BIGINT AS lost_records
-FROM (VALUES (1), (2), (3)) t(v)"""
+drawn AS (SELECT DISTINCT v, record_key FROM rows1, (VALUES (1), (2), (3)) t(v) WHERE coalesce(manifest_version, 1) <= v AND record_key IN (SELECT key FROM chosen)),
+now AS (SELECT v, count(*) AS selected FROM drawn GROUP BY 1),
+old AS (SELECT a.v + 1 AS v, count(b.record_key) AS kept, count(*) - count(b.record_key) AS lost FROM drawn a LEFT JOIN drawn b ON b.v = a.v + 1 AND b.record_key = a.record_key GROUP BY 1)
+SELECT v::INTEGER AS manifest_version, selected AS selected_records, coalesce(kept, 0) AS kept_records, coalesce(lost, 0) AS lost_records FROM now LEFT JOIN old USING (v)"""
 
 _P2 = f"""WITH RECURSIVE sides AS (SELECT {_group("source_dataset_a", "source_group_a")} AS a, {_group("source_dataset_b", "source_group_b")} AS b,
   coalesce(lower({_trim("link_status")}) = 'confirmed', false) AS yes, reviewed_at FROM group_links),
@@ -111,11 +111,16 @@ _P4 = f"""WITH recs AS (SELECT DISTINCT canonical_id AS id, {_split("avax_split"
   WHERE lower({_trim("split_status")}) = 'included' AND {_split("avax_split")} IS NOT NULL),
 fp AS (SELECT DISTINCT r.id, r.train, lower(pixel_sha256) AS pixels, ('0x' || lower(phash))::UBIGINT AS p, ('0x' || lower(dhash))::UBIGINT AS d,
   CASE WHEN width > 0 AND height > 0 THEN width::DOUBLE / height END AS aspect FROM recs r JOIN fingerprints f ON f.canonical_id = r.id),
-pairs AS (SELECT a.id AS x, b.id AS y FROM recs a JOIN recs b ON {_id("a.id")} = {_id("b.id")} WHERE NOT a.train AND b.train
-  UNION SELECT a.id, b.id FROM fp a JOIN fp b ON a.pixels = b.pixels WHERE NOT a.train AND b.train
-  UNION SELECT a.id, b.id FROM fp a JOIN fp b ON NOT a.train AND b.train AND bit_count(xor(a.p, b.p)) <= 8 AND bit_count(xor(a.d, b.d)) <= 10
+pairs AS (SELECT a.id AS x, b.id AS y, 'id' AS kind FROM recs a JOIN recs b ON {_id("a.id")} = {_id("b.id")} WHERE NOT a.train AND b.train
+  UNION SELECT a.id, b.id, 'pixels' FROM fp a JOIN fp b ON a.pixels = b.pixels WHERE NOT a.train AND b.train
+  UNION SELECT a.id, b.id, 'near' FROM fp a JOIN fp b ON NOT a.train AND b.train AND bit_count(xor(a.p, b.p)) <= 8 AND bit_count(xor(a.d, b.d)) <= 10
     AND abs(a.aspect - b.aspect) / greatest(a.aspect, b.aspect) <= 0.15)
-SELECT DISTINCT least(x, y) AS canonical_id_a, greatest(x, y) AS canonical_id_b FROM pairs WHERE x <> y"""
+"""
+
+_P4_REPORT = f"""{_P4}, w AS (SELECT DISTINCT canonical_id AS id, {_split("avax_split")} AS split, coalesce({_word("source_dataset")}, '(missing)') AS source
+  FROM baseline_split_manifest WHERE lower({_trim("split_status")}) = 'included' AND {_split("avax_split")} IS NOT NULL)
+SELECT e.split AS avax_split, e.source AS source_dataset, t.source AS train_source, kind, count(*) AS pairs, count(DISTINCT x) AS eval_records
+FROM pairs JOIN w e ON e.id = x AND e.split <> 'train' JOIN w t ON t.id = y AND t.split = 'train' WHERE x <> y GROUP BY ALL"""
 
 # the level is where what the sources can give, each up to level * weight, adds up to what is wanted: it is the largest of the candidates
 _P6_PLAN = f"""WITH t AS (SELECT source, {_word("source")} AS k, target_weight AS w, max_repeats AS m FROM mix_targets),
@@ -151,7 +156,8 @@ def oracle_sql() -> dict[str, str]:
         "p2_invariants": _P2_INVARIANTS,
         "p3_found": _P3,
         "p3_invariants": _P3_INVARIANTS,
-        "p4_found": _P4,
+        "p4_found": _P4 + "SELECT DISTINCT least(x, y) AS canonical_id_a, greatest(x, y) AS canonical_id_b FROM pairs WHERE x <> y",
+        "p4_report": _P4_REPORT,
         "p6_plan_by_length": _P6_PLAN,
         "p7_basic": _P7,
         "p7_basic_scores": _P7_SCORES,

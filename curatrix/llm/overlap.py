@@ -77,14 +77,19 @@ def overlap_found(pairs: DataFrame) -> DataFrame:
 
 
 def overlap_report(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
-    """``avax_split, source_dataset, kind, pairs, eval_records``: overlaps counted by the evaluation record's split and source.
+    """``avax_split, source_dataset, train_source, kind, pairs, eval_records``: overlaps by the evaluation record's split and source and the train record's source.
 
-    Split and source are in their normal spelling; a source without letters or digits is ``(missing)``.
+    Split and source are in their normal spelling; a source without letters or digits is
+    ``(missing)``. A record whose rows name several splits or sources counts in each.
     """
     rows = manifest.where(is_included(F.col("split_status"))).select(
-        F.col("canonical_id").alias("eval_id"),
+        F.col("canonical_id").alias("id"),
         split_key(F.col("avax_split")).alias("avax_split"),
         F.coalesce(word_key(F.col("source_dataset")), F.lit("(missing)")).alias("source_dataset"),
-    ).where("avax_split in ('val', 'test')").distinct()
-    per = pairs.groupBy("eval_id", "kind").agg(F.count(F.lit(1)).alias("n"))
-    return per.join(rows, "eval_id").groupBy("avax_split", "source_dataset", "kind").agg(F.sum("n").alias("pairs"), F.count_distinct("eval_id").alias("eval_records"))
+    )
+    hit = pairs.select(F.explode(F.array("eval_id", "train_id")).alias("id")).distinct()  # few records overlap
+    rows = materialize(rows.where("avax_split is not null").distinct().join(hit, "id", "left_semi"), "overlapping")
+    ev = rows.where("avax_split <> 'train'").withColumnRenamed("id", "eval_id")
+    tr = rows.where("avax_split = 'train'").select(F.col("id").alias("train_id"), F.col("source_dataset").alias("train_source")).distinct()
+    per = pairs.join(tr, "train_id").groupBy("eval_id", "train_source", "kind").agg(F.count(F.lit(1)).alias("n"))
+    return per.join(ev, "eval_id").groupBy("avax_split", "source_dataset", "train_source", "kind").agg(F.sum("n").alias("pairs"), F.count_distinct("eval_id").alias("eval_records"))

@@ -79,7 +79,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     manifest, prints = _t(spark, folder, "baseline_split_manifest", "fingerprints")
-    return overlap.overlap_report(overlap.overlap_pairs(manifest, prints), manifest)
+    return overlap.overlap_report(materialize(overlap.overlap_pairs(manifest, prints), "pairs"), manifest)
 
 
 def p5_leaks(spark: SparkSession, folder: str) -> DataFrame:
