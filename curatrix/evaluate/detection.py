@@ -103,33 +103,63 @@ def match_counts(predictions: DataFrame, truth: DataFrame, by: list[str] = (), l
     return agg.select(*by, tp, fp, fn, *metrics(tp, fp, fn), "duplicate_detections", "negative_images_with_fp", "negative_fp_detections")
 
 
+def _image_arrays(predictions: DataFrame, truth: DataFrame) -> DataFrame:
+    """``image_id, b, known``: the boxes of each image by falling score, each with the truth it overlaps most as ``best`` (overlap ``o``, ``i`` = -gt_index)."""
+    b = predictions.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "pred_index", *CORNERS))).alias("b"))
+    g = truth.groupBy("image_id").agg(F.collect_list(F.struct("gt_index", *CORNERS)).alias("g"))
+    best = lambda x: F.array_max(F.transform("g", lambda y: F.struct(iou(_box(x), _box(y)).alias("o"), (-y["gt_index"]).cast("int").alias("i"))))
+    rows = b.join(g, "image_id", "left")
+    return rows.select("image_id", F.transform("b", lambda x: F.struct(x["down"].alias("down"), *(x[c].alias(c) for c in CORNERS), best(x).alias("best"))).alias("b"), F.col("g").isNotNull().alias("known"))
+
+
+def _suppressed_outcomes(boxes: str, threshold: float, least: float) -> Column:
+    """Array of ``down, outcome, first`` of the boxes that suppression keeps; ``first`` marks the first false one."""
+    start = F.struct(
+        F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>").alias("kept"),
+        F.array().cast("array<int>").alias("used"),
+        F.array().cast("array<struct<down:double,outcome:string,first:boolean>>").alias("out"),
+        F.lit(False).alias("false"),
+    )
+
+    def turn(acc: Column, x: Column) -> Column:
+        hit = F.coalesce(x["best"]["o"] >= least, F.lit(False))
+        outcome = F.when(~hit, "fp").when(F.array_contains(acc["used"], x["best"]["i"]), "duplicate").otherwise("tp")
+        step = F.struct(
+            F.concat(acc["kept"], F.array(F.struct(*(x[c].alias(c) for c in CORNERS)))).alias("kept"),
+            F.when(hit, F.concat(acc["used"], F.array(x["best"]["i"]))).otherwise(acc["used"]).alias("used"),
+            F.concat(acc["out"], F.array(F.struct(x["down"].alias("down"), outcome.alias("outcome"), ((outcome != "tp") & ~acc["false"]).alias("first")))).alias("out"),
+            (acc["false"] | (outcome != "tp")).alias("false"),
+        )
+        return F.when(F.exists(acc["kept"], lambda k: iou(_box(k), _box(x)) > threshold), acc).otherwise(step)
+
+    return F.aggregate(boxes, start, turn)["out"]
+
+
 def sweep(predictions: DataFrame, truth: DataFrame, confidences: list[float], suppressions: list[float], least: float = IOU_MATCH) -> DataFrame:
     """``match_counts`` for each pair of confidence and suppression threshold.
 
-    A box of a lower score never suppresses one of a higher, so boxes are suppressed
-    once for each suppression threshold at the lowest confidence, matched once, and the
-    confidences only cut the scored outcomes. Best overlaps don't depend on the
-    confidence; whether a box is true or a duplicate doesn't either, as only better
-    boxes come before it. Combinations without a detection have zero counts.
+    A box of a lower score never suppresses one of a higher, so the boxes of an image are
+    gathered once, suppressed and matched in one fold for each suppression threshold at
+    the lowest confidence, and the confidences only cut the scored outcomes. Best overlaps
+    don't depend on the confidence; whether a box is true or a duplicate doesn't either,
+    as only better boxes come before it. Outcomes are counted between one confidence and
+    the next and added up over this small table. Combinations without a detection have
+    zero counts.
     """
-    spark = predictions.sparkSession
-    floor = predictions.where(F.col("score") >= min(confidences))
-    kept = None
-    for t in suppressions:
-        one = suppress(floor, t).withColumn("nms_threshold", F.lit(float(t)))
-        kept = one if kept is None else kept.unionByName(one)
-    rows = outcomes(kept, truth, ["nms_threshold"], least)
-    known = truth.select("image_id").distinct().withColumn("_known", F.lit(True))
-    rows = rows.join(known, "image_id", "left")
-    cuts = F.explode(F.array(*(F.lit(float(c)) for c in confidences))).alias("confidence_threshold")
-    rows = rows.select("*", cuts).where("score >= confidence_threshold")
-    false, negative = F.col("outcome") != "tp", F.col("_known").isNull()
-    agg = rows.groupBy("confidence_threshold", "nms_threshold").agg(
-        F.count_if(~false).alias("tp"), F.count_if(false).alias("fp"), F.count_if(F.col("outcome") == "duplicate").alias("duplicate_detections"),
-        F.count_distinct(F.when(negative & false, F.col("image_id"))).alias("negative_images_with_fp"), F.count_if(negative & false).alias("negative_fp_detections"),
-    )
-    grid = spark.createDataFrame([(float(c), float(t)) for t in suppressions for c in confidences], "confidence_threshold double, nms_threshold double")
-    agg = F.broadcast(grid).join(agg, ["confidence_threshold", "nms_threshold"], "left").na.fill(0)
+    spark, cuts = predictions.sparkSession, sorted(set(map(float, confidences)))
+    images = _image_arrays(predictions.where(F.col("score") >= cuts[0]), truth)
+    folds = F.array(*(F.struct(F.lit(float(t)).alias("nms_threshold"), _suppressed_outcomes("b", float(t), least).alias("out")) for t in suppressions))
+    rows = images.select("known", F.explode(folds).alias("f")).select("known", "f.nms_threshold", F.explode("f.out").alias("o"))
+    false, negative = F.col("o.outcome") != "tp", ~F.col("known")
+    level = sum(((-F.col("o.down") >= c).cast("int") for c in cuts), F.lit(0))  # how many confidences the score reaches
+    counts = {
+        "tp": F.count_if(~false), "fp": F.count_if(false), "duplicate_detections": F.count_if(F.col("o.outcome") == "duplicate"),
+        "negative_images_with_fp": F.count_if(negative & F.col("o.first")), "negative_fp_detections": F.count_if(negative & false),
+    }
+    per = rows.groupBy("nms_threshold", level.alias("level")).agg(*(c.alias(n) for n, c in counts.items()))  # a row for each pair at most
+    grid = spark.createDataFrame([(float(c), float(t), cuts.index(float(c)) + 1) for t in suppressions for c in confidences], "confidence_threshold double, nms_threshold double, at int")
+    agg = F.broadcast(grid).join(per, (grid["nms_threshold"] == per["nms_threshold"]) & (per["level"] >= grid["at"]), "left").groupBy("confidence_threshold", grid["nms_threshold"])
+    agg = agg.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts))
     agg = agg.crossJoin(F.broadcast(truth.agg(F.count(F.lit(1)).alias("truths")))).withColumn("fn", F.col("truths") - F.col("tp"))
     tp, fp, fn = map(F.col, ("tp", "fp", "fn"))
     return agg.select(
@@ -138,6 +168,23 @@ def sweep(predictions: DataFrame, truth: DataFrame, confidences: list[float], su
     )
 
 
+def check_point(rows: DataFrame, predictions: DataFrame, truth: DataFrame, confidence: float, suppression: float, least: float = IOU_MATCH) -> DataFrame:
+    """One row of a sweep computed again from the boxes, by a join and a window instead of the fold; a difference raises.
+
+    Returns ``confidence_threshold, nms_threshold, measure, swept, recomputed``.
+    """
+    from curatrix.contracts import ContractError
+
+    names = ["tp", "fp", "fn", "duplicate_detections", "negative_images_with_fp", "negative_fp_detections"]
+    again = match_counts(suppress(predictions.where(F.col("score") >= confidence), suppression), truth, least=least)
+    pair = rows.where((F.col("confidence_threshold") == confidence) & (F.col("nms_threshold") == suppression))
+    lines = lambda df, n: df.select(F.explode(F.create_map(*(x for m in names for x in (F.lit(m), F.col(m).cast("long"))))).alias("measure", n))
+    out = lines(pair, "swept").join(lines(again, "recomputed"), "measure", "full_outer")
+    if bad := out.where(~F.col("swept").eqNullSafe(F.col("recomputed"))).limit(10).collect():
+        raise ContractError(f"sweep (measure, swept, recomputed): {[tuple(b) for b in bad]}")
+    return out.select(F.lit(float(confidence)).alias("confidence_threshold"), F.lit(float(suppression)).alias("nms_threshold"), "measure", "swept", "recomputed")
+
+
 def best_point(rows: DataFrame) -> DataFrame:
     """The row of the best F1; of equal ones the smallest suppression threshold, then the smallest confidence."""
     return rows.orderBy(F.desc("f1"), "nms_threshold", "confidence_threshold").limit(1)
@@ -149,25 +196,37 @@ def image_outcomes(predictions: DataFrame, truth: DataFrame, images: DataFrame,
 
 
 def collect_outcomes(rows: DataFrame, truth: DataFrame, images: DataFrame) -> DataFrame:
-    """``image_outcomes`` of rows with their outcome.
+    """``image_outcomes`` of rows with their outcome."""
+    points = outcome_points(rows, truth, images, {"x": float("-inf")})
+    return points.select("image_id", "truths", *(F.col(f"x_{c}").alias(c) for c in ("matched", "false_pred", "missed")))
+
+
+def outcome_points(rows: DataFrame, truth: DataFrame, images: DataFrame, confidences: dict[str, float]) -> DataFrame:
+    """For every image ``truths`` and, for each named confidence, ``<name>_matched``, ``<name>_false_pred`` and ``<name>_missed``.
 
     Only better boxes of an image decide whether a box is true or a duplicate, so the
-    outcomes at a higher confidence are those at a lower one, cut by score.
+    outcomes at a higher confidence are those at a lower one, cut by score: all points
+    come from one aggregation.
     """
-    hits = rows.groupBy("image_id").agg(
-        F.array_sort(F.collect_set(F.when(F.col("outcome") == "tp", F.col("gt_index")))).alias("matched"),
-        F.array_sort(F.collect_set(F.when(F.col("outcome") != "tp", F.col("pred_index")))).alias("false_pred"),
-    )
+    cut = lambda c, when: F.array_sort(F.collect_set(F.when((F.col("score") >= c) & when[0], F.col(when[1]))))
+    tp, fp = (F.col("outcome") == "tp", "gt_index"), (F.col("outcome") != "tp", "pred_index")
+    hits = rows.groupBy("image_id").agg(*(cut(c, k).alias(f"{n}_{name}") for n, c in confidences.items() for k, name in ((tp, "matched"), (fp, "false_pred"))))
     gts = truth.groupBy("image_id").agg(F.array_sort(F.collect_set("gt_index")).alias("truths"))
     out = images.select("image_id").distinct().join(gts, "image_id", "left").join(hits, "image_id", "left")
     none = F.array().cast("array<int>")
     fill = lambda c: F.coalesce(F.col(c).cast("array<int>"), none).alias(c)
-    out = out.select("image_id", fill("truths"), fill("matched"), fill("false_pred"))
-    return out.withColumn("missed", F.array_except("truths", "matched"))
+    out = out.select("image_id", fill("truths"), *(fill(f"{n}_{c}") for n in confidences for c in ("matched", "false_pred")))
+    return out.withColumns({f"{n}_missed": F.array_except("truths", f"{n}_matched") for n in confidences})
 
 
 def error_categories(recall: DataFrame, balanced: DataFrame, f1: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
-    """``image_id, categories, recovered``: images with an error at three operating points (each an ``image_outcomes``).
+    """``categorize`` of three ``image_outcomes``, joined by image."""
+    a, b, c = (d.select("image_id", *(F.col(x).alias(f"{p}_{x}") for x in ("truths", "matched", "missed", "false_pred"))) for p, d in (("r", recall), ("b", balanced), ("f", f1)))
+    return categorize(a.join(b, "image_id").join(c, "image_id").withColumn("truths", F.col("r_truths")), names)
+
+
+def categorize(rows: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
+    """``image_id, categories, recovered``: images with an error at three operating points, of ``outcome_points`` named r, b and f.
 
     Categories: found at the recall point but not at the F1 point; found at the balanced
     but not at the F1 point; missed even at the recall point; more false detections at
@@ -176,8 +235,6 @@ def error_categories(recall: DataFrame, balanced: DataFrame, f1: DataFrame, name
     category are left out.
     """
     names = names or ("recovered_recall", "recovered_balanced", "persistent_fn", "extra_fp_balanced", "negative_fp", "multi_plate_error")
-    a, b, c = (d.select("image_id", *(F.col(x).alias(f"{p}_{x}") for x in ("truths", "matched", "missed", "false_pred"))) for p, d in (("r", recall), ("b", balanced), ("f", f1)))
-    rows = a.join(b, "image_id").join(c, "image_id")
     n = lambda x: F.size(x)
     any_error = sum((n(f"{p}_{x}") for p in "rbf" for x in ("missed", "false_pred")), F.lit(0)) > 0
     recovered = F.array_except("r_matched", "f_matched")
@@ -185,9 +242,9 @@ def error_categories(recall: DataFrame, balanced: DataFrame, f1: DataFrame, name
         n(recovered) > 0,
         n(F.array_except("b_matched", "f_matched")) > 0,
         n("r_missed") > 0,
-        (n("r_truths") > 0) & (n("b_false_pred") > n("f_false_pred")),
-        (n("r_truths") == 0) & (n("r_false_pred") > 0),
-        (n("r_truths") >= 2) & any_error,
+        (n("truths") > 0) & (n("b_false_pred") > n("f_false_pred")),
+        (n("truths") == 0) & (n("r_false_pred") > 0),
+        (n("truths") >= 2) & any_error,
     ]
     tags = F.array_compact(F.array(*(F.when(r, F.lit(x)) for r, x in zip(rules, names))))
     return rows.select("image_id", tags.alias("categories"), F.array_sort(recovered).alias("recovered")).where(F.size("categories") > 0)
@@ -222,16 +279,15 @@ def average_precision(predictions: DataFrame, truth: DataFrame, levels: list[flo
         best = F.array_max(F.filter(p["c"], lambda x: (x["o"] >= F.col("level")) & ~F.array_contains(acc["used"], x["i"])))
         return F.when(best.isNull(), acc).otherwise(F.struct(F.concat(acc["used"], F.array(best["i"])).alias("used"), F.concat(acc["hits"], F.array(p["down"])).alias("hits")))
 
-    hits = images.select("level", F.explode(F.aggregate("b", start, turn)["hits"]).alias("down")).groupBy("level", "down").agg(F.count(F.lit(1)).alias("t"))
-    every = F.explode(F.array(*(F.lit(float(x)) for x in levels))).alias("level")
-    sizes = top.groupBy((-F.col("score")).alias("down")).agg(F.count(F.lit(1)).alias("n")).select("*", every)
-    steps = sizes.join(hits, ["level", "down"], "left").select("level", "down", "n", F.coalesce("t", F.lit(0)).alias("t"))
-    ranked = global_positions(global_positions(steps, ["level", "down"], "p0", "n"), ["level", "down"], "t0", "t")
-    first = ranked.groupBy("level").agg(F.min("p0").alias("pf"), F.min("t0").alias("tf"))
+    hits = images.select("level", F.explode(F.aggregate("b", start, turn)["hits"]).alias("down")).groupBy("down").agg(*(F.count_if(F.col("level") == float(x)).alias(f"t{k}") for k, x in enumerate(levels)))
+    sizes = top.groupBy((-F.col("score")).alias("down")).agg(F.count(F.lit(1)).alias("n"))
+    steps = sizes.join(hits, "down", "left").na.fill(0)  # one row a score, a counter for each level
+    sums = {"p": "n"} | {f"c{k}": f"t{k}" for k in range(len(levels))}
+    ranked = global_positions(steps, ["down"], weight=sums)
     total = truth.agg(F.count(F.lit(1)).alias("truths"))
-    curve = ranked.join(F.broadcast(first), "level").crossJoin(F.broadcast(total)).select(
-        "level", ((F.col("t0") - F.col("tf") + F.col("t")) / (F.col("p0") - F.col("pf") + F.col("n"))).alias("precision"), F.try_divide(F.col("t0") - F.col("tf") + F.col("t"), F.col("truths")).alias("recall")
-    )
+    seen = F.col("p") + F.col("n")
+    lines = F.explode(F.array(*(F.struct(F.lit(float(x)).alias("level"), (F.col(f"c{k}") + F.col(f"t{k}")).alias("hits")) for k, x in enumerate(levels)))).alias("l")
+    curve = ranked.select(seen.alias("seen"), lines).crossJoin(F.broadcast(total)).select("l.level", (F.col("l.hits") / F.col("seen")).alias("precision"), F.try_divide("l.hits", "truths").alias("recall"))
     # precision at recall point i / 100 is the best precision at that recall or beyond
     point = F.floor(F.col("recall") * 100 + 1e-9).cast("int")
     peaks = curve.where("recall is not null").groupBy("level", point.alias("point")).agg(F.max("precision").alias("precision"))  # 101 rows a level
