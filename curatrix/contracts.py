@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,14 +67,17 @@ def integral(value: Column) -> Column:
     return F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")) & (x == F.floor(x)), F.lit(False))
 
 
-def policy_violations(df: DataFrame, split: str = "split", group: str = "source_group", digest: str = "pixel_sha256", synthetic_share: float = 0.25) -> DataFrame:
+def policy_violations(df: DataFrame, split: str = "split", group: str = "source_group", digest: str = "pixel_sha256", synthetic_share: float = 0.25, near_pairs: DataFrame | None = None, key: str = "canonical_id", status: str = "status") -> DataFrame:
     """``rule, violations`` for the split rules; a table that keeps them has 0 everywhere.
 
     ``synthetic_in_eval``: rows of val or test that aren't REAL. ``train_only_in_eval``:
     TRAIN_ONLY rows outside train. ``synthetic_share``: 1 if synthetic rows are a larger
     share of train than allowed. ``group_in_several`` and ``pixels_in_several``: groups
-    and digests that stand in more than one split. Needs ``real_synthetic`` and
-    ``allowed_split`` besides the named columns; rows without a split are ignored.
+    and digests that stand in more than one split. With ``near_pairs`` (two columns of
+    keys and a status) ``unresolved_near_pairs``: pairs without a decision (blank, null or
+    "unsure") whose two records have different splits; a missing table of pairs is an
+    empty one. Needs ``real_synthetic`` and ``allowed_split`` besides the named columns;
+    rows without a split are ignored.
     """
     rows = df.where(F.col(split).isin("train", "val", "test"))
     out = F.col(split) != "train"
@@ -84,9 +89,44 @@ def policy_violations(df: DataFrame, split: str = "split", group: str = "source_
     for name, key in (("group_in_several", group), ("pixels_in_several", digest)):
         spans = rows.where(F.col(key).isNotNull()).groupBy(key, split).count().groupBy(key).count().where("count > 1")
         flat = flat.unionByName(spans.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("violations")))
+    if near_pairs is not None:
+        a, b = [c for c in near_pairs.columns if c != status][:2]
+        open_pairs = near_pairs.where(F.coalesce(F.lower(F.trim(status)), F.lit("")).isin("", "unsure")).select(F.col(a).alias("_a"), F.col(b).alias("_b"))
+        own = rows.select(F.col(key).alias("_k"), F.col(split).alias("_s"))
+        both = open_pairs.join(own.toDF("_a", "_sa"), "_a").join(own.toDF("_b", "_sb"), "_b").where("_sa <> _sb")
+        flat = flat.unionByName(both.agg(F.lit("unresolved_near_pairs").alias("rule"), F.count(F.lit(1)).alias("violations")))
     return flat
 
 
+def physical_problems(expected: DataFrame, files: DataFrame, key: str, digest: str, root: str, suffixes: list[str]) -> DataFrame:
+    """All that is wrong between a manifest and the files of ``root``, collected: ``key, problem``.
+
+    ``expected(key, digest)`` and ``files(path, sha256)``, a recursive listing with
+    digests. Problems: those of ``identity_differences`` by the file's stem, ``nested``
+    (a file in a folder below the root), ``extension`` (none of the suffixes) and
+    ``repeated`` (two files of one stem).
+    """
+    from curatrix.functions.text import stem, suffix
+
+    inside = F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), f"^{re.escape(re.sub('^file:/+', '/', root).rstrip('/'))}/", "")
+    rows = files.select(stem(F.col("path")).alias(key), suffix(F.col("path")).alias("_x"), F.contains(inside, F.lit("/")).alias("_n"), F.lower("sha256").alias(digest))
+    per_file = rows.select(key, F.explode(F.array_compact(F.array(F.when(F.col("_n"), "nested"), F.when(~F.col("_x").isin(suffixes), "extension")))).alias("problem"))
+    repeated = rows.groupBy(key).count().where("count > 1").select(key, F.lit("repeated").alias("problem"))
+    one = rows.groupBy(key).agg(F.min(digest).alias(digest))
+    wanted = expected.select(F.col(key).cast("string").alias(key), F.lower(digest).alias(digest))
+    return per_file.unionByName(repeated).unionByName(identity_differences(wanted, one, key, digest)).distinct()
+
+
+def require_unchanged(df: DataFrame, columns: list[str], pinned: tuple[int, str]) -> DataFrame:
+    """A table that must not change (a cache): its rows and ``table_digest`` must be the pinned ones."""
+    from curatrix.functions.hashing import table_digest
+
+    found = df.agg(*table_digest(*columns)).first()
+    if tuple(found) != tuple(pinned):
+        raise ContractError(f"table changed (found, pinned): {tuple(found)}, {tuple(pinned)}")
+    return df
+
+
 def require_policy(df: DataFrame, **columns) -> DataFrame:
     _fail_if(policy_violations(df, **columns).where("violations > 0"), "split policy")
     return df

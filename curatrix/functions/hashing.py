@@ -43,6 +43,12 @@ def row_digest(*cols: str | Column) -> Column:
     return F.sha2(F.to_json(F.struct(*cols)), 256)
 
 
+def table_digest(*cols: str | Column) -> list[Column]:
+    """Aggregate: ``row_count`` and ``digest``, the sum over the first 60 bits of the row digests; the order of rows makes no difference."""
+    part = F.conv(F.substring(row_digest(*cols), 1, 15), 16, 10).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("digest")]
+
+
 def file_sha256(content: Column, upper: bool = False) -> Column:
     """SHA-256 of a binary column in hex digits."""
     digest = F.sha2(content, 256)

@@ -65,15 +65,14 @@ def pinned_split(df: DataFrame, when: Column, split: str = "train", name: str =
 def keep_first(df: DataFrame, key: str, cap: int, seed: str = "") -> DataFrame:
     """Add ``kept``: whether the row is among the first ``cap`` in hash order.
 
-    The cap is a hash threshold: the ``cap``-th smallest hash is found by a top-k, so
-    the rows aren't sorted as a whole. Repeated keys share a hash; equal hashes at the
-    threshold are all kept only if the key is repeated.
+    The cap may be a share of all rows, so positions come from the distributed sort and
+    not from a top-k. Exactly ``cap`` rows are kept if there are as many, also where keys
+    repeat.
     """
     rows = df.withColumn("__h", hash_order(F.col(key), seed=seed))
     if cap <= 0:
         return rows.drop("__h").withColumn("kept", F.lit(False))
-    last = rows.select("__h").orderBy("__h").limit(cap).agg(F.max("__h").alias("__last"))
-    return rows.crossJoin(F.broadcast(last)).withColumn("kept", F.col("__h") <= F.col("__last")).drop("__h", "__last")  # one row
+    return global_positions(rows, ["__h", key], "__at").withColumn("kept", F.col("__at") < cap).drop("__h", "__at")
 
 
 def synthetic_cap(df: DataFrame, key: str, synthetic: Column, in_train: Column, ratio: int = 3, seed: str = "", reason: str = "baseline_synthetic_cap") -> DataFrame:

@@ -160,14 +160,14 @@ def _samples(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return images, boxes.join(images.select("canonical_id"), "canonical_id", "left_semi")
 
 
-@BOOK.query(f"SELECT row_number() OVER (ORDER BY o_orderkey)::INTEGER AS id, o_orderkey || '.jpg' AS file_name, {W} AS width, {H} AS height FROM orders")
+@BOOK.query(f"SELECT row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey || '.jpg' AS file_name, {W} AS width, {H} AS height FROM orders")
 def coco_images(spark: SparkSession, folder: str) -> DataFrame:
     return coco_tables(*_samples(spark, folder))[0]
 
 
 @BOOK.query(f"""
-WITH o AS (SELECT o_orderkey AS image, row_number() OVER (ORDER BY o_orderkey)::INTEGER AS image_id FROM orders), b AS (SELECT * FROM ({_INDEXED}) JOIN o USING (image))
-SELECT row_number() OVER (ORDER BY image_id, box_index)::INTEGER AS id, image_id, round(((x0 + w / 2) / iw - w / iw / 2) * iw, 4) AS bx, round(w / iw * iw * (h / ih * ih), 4) AS area FROM b
+WITH o AS (SELECT o_orderkey AS image, row_number() OVER (ORDER BY o_orderkey) AS image_id FROM orders), b AS (SELECT * FROM ({_INDEXED}) JOIN o USING (image))
+SELECT row_number() OVER (ORDER BY image_id, box_index) AS id, image_id, round(((x0 + w / 2) / iw - w / iw / 2) * iw, 4) AS bx, round(w / iw * iw * (h / ih * ih), 4) AS area FROM b
 """)
 def coco_annotations(spark: SparkSession, folder: str) -> DataFrame:
     rows = coco_tables(*_samples(spark, folder))[1]

@@ -57,11 +57,14 @@ def _delete(spark: SparkSession, path: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made,
-    set in the session and removed when Python ends.
+    Only where that is unset on a local master (tests on one machine) a temporary folder
+    is made, set in the session and removed when Python ends; on a cluster it raises, as
+    no folder of one machine serves all executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         local = tempfile.mkdtemp(prefix="curatrix-")
         _OWN.append(local)
         folder = f"file://{os.path.abspath(local)}"

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import shutil
-import tempfile
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyarrow.fs import FileSelector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.contracts import ContractError
 from curatrix.functions.geometry import centre_to_pixels
 from curatrix.operators.ranks import global_positions
+from curatrix.sources.storage import put, put_files, remove_files, store
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -29,12 +31,12 @@ def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_report(df: DataFrame, path: str) -> dict:
-    """A table of one row as an indented JSON file beside the data; returns it."""
+    """A table of one row as an indented JSON file at a path or URI; returns it."""
     rows = df.limit(2).collect()
     if len(rows) != 1:
         raise ContractError("a report has one row")
     report = rows[0].asDict(recursive=True)
-    write_text_atomic(path, json.dumps(report, indent=2, ensure_ascii=False, default=str) + "\n")
+    put(path, (json.dumps(report, indent=2, ensure_ascii=False, default=str) + "\n").encode())
     return report
 
 
@@ -55,15 +57,18 @@ def yolo_labels(images: DataFrame, boxes: DataFrame, key: str) -> DataFrame:
     return images.select(key).distinct().join(per, key, "left").select(key, F.coalesce(text, F.lit("")).alias("text"))
 
 
-def write_yolo(labels: DataFrame, key: str, folder: str) -> None:
-    """One file a row, written by the executors to a folder that all of them reach."""
+def write_texts(rows: DataFrame, folder: str, extension: str) -> None:
+    """One file for each row of ``name, text``, in UTF-8, written by the executors through the folder's file system."""
+    put_files(rows.select(F.concat(F.col("name").cast("string"), F.lit(extension)).alias("name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data")), folder)
+
 
-    def put(rows) -> None:
-        os.makedirs(folder, exist_ok=True)
-        for r in rows:
-            write_text_atomic(os.path.join(folder, f"{r[0]}.txt"), r[1])
+def write_yolo(labels: DataFrame, key: str, folder: str) -> None:
+    """One label file a row; label files of an earlier run that no row names are removed afterwards."""
+    from curatrix.sources.files import list_files
 
-    labels.select(key, "text").foreachPartition(put)
+    write_texts(labels.select(F.col(key).alias("name"), "text"), folder, ".txt")
+    now = labels.select(F.col(key).cast("string").alias("stem")).distinct()
+    remove_files(list_files(labels.sparkSession, folder, [".txt"]).join(now, "stem", "left_anti"))
 
 
 def copy_plan(samples: DataFrame, key: str, source: str, folder: str) -> DataFrame:
@@ -74,16 +79,19 @@ def copy_plan(samples: DataFrame, key: str, source: str, folder: str) -> DataFra
 
 
 def run_copies(plan: DataFrame) -> None:
-    """Copy by the executors; a target appears only when it is whole, so a task may run twice."""
+    """Copy by the executors, through the file systems of source and target; a target appears only when it is whole, so a task may run twice."""
 
-    def put(rows) -> None:
-        for source, target in rows:
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with tempfile.NamedTemporaryFile(dir=os.path.dirname(target), delete=False) as part, open(source, "rb") as data:
-                shutil.copyfileobj(data, part)
-            os.replace(part.name, target)
+    def scan(batches):
+        import pyarrow as pa
 
-    plan.select("source", "target").foreachPartition(put)
+        for b in batches:
+            for source, target in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                system, path, _ = store(source)
+                with system.open_input_stream(path) as data:
+                    put(target, data.read())
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    plan.select("source", "target").mapInArrow(scan, "n bigint").agg(F.sum("n")).collect()
 
 
 def coco_tables(samples: DataFrame, boxes: DataFrame, key: str = "canonical_id") -> tuple[DataFrame, DataFrame]:
@@ -92,12 +100,12 @@ def coco_tables(samples: DataFrame, boxes: DataFrame, key: str = "canonical_id")
     ``samples(key, file_name, width, height)`` and normalised ``boxes(key, box_index,
     x_center, y_center, width, height)``. Numbered by the distributed sort.
     """
-    images = global_positions(samples.select(key, "file_name", "width", "height"), [key], "id").withColumn("id", (F.col("id") + 1).cast("int"))
+    images = global_positions(samples.select(key, "file_name", "width", "height"), [key], "id").withColumn("id", F.col("id") + 1)
     size = images.select(key, F.col("id").alias("image_id"), F.col("width").alias("_w"), F.col("height").alias("_h"))
     px = centre_to_pixels(*(F.col(c) for c in ("x_center", "y_center", "width", "height")), F.col("_w"), F.col("_h"))
     rows = boxes.join(size, key).select("image_id", "box_index", F.array(*px).alias("bbox"), (px[2] * px[3]).alias("area"))
     rows = global_positions(rows, ["image_id", "box_index"], "id")
-    rows = rows.select((F.col("id") + 1).cast("int").alias("id"), "image_id", F.lit(1).alias("category_id"), "bbox", "area", F.lit(0).alias("iscrowd"), F.array().cast("array<array<double>>").alias("segmentation"))
+    rows = rows.select((F.col("id") + 1).alias("id"), "image_id", F.lit(1).alias("category_id"), "bbox", "area", F.lit(0).alias("iscrowd"), F.array().cast("array<array<double>>").alias("segmentation"))
     return images.select("id", "file_name", "width", "height"), rows
 
 
@@ -190,6 +198,28 @@ def with_constants(df: DataFrame, **values: object) -> DataFrame:
     return df.withColumns({k: F.lit(v) for k, v in values.items()})
 
 
+def _versions(folder: str) -> list[int]:
+    system, path, _ = store(folder)
+    found = system.get_file_info(FileSelector(path, recursive=False, allow_not_found=True))
+    whole = (x for x in found if re.fullmatch(r"version=\d+", x.base_name) and system.get_file_info(f"{x.path}/_SUCCESS").is_file)
+    return sorted(int(x.base_name.split("=")[1]) for x in whole)
+
+
+def write_version(df: DataFrame, folder: str) -> int:
+    """Write the table as the next version of ``folder``; earlier versions stay, so ``df`` may read one. Returns its number."""
+    number = max(_versions(folder), default=0) + 1
+    df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/version={number}")
+    return number
+
+
+def read_version(spark: SparkSession, folder: str, number: int | None = None) -> DataFrame:
+    """A version of the table, the latest whole one if no number is given."""
+    known = _versions(folder)
+    if not known or (number is not None and number not in known):
+        raise ContractError(f"{folder} has versions {known}")
+    return spark.read.parquet(f"{folder.rstrip('/')}/version={number or known[-1]}")
+
+
 def sheet_layout(df: DataFrame, order: list[str], columns: int, per_sheet: int) -> DataFrame:
     """Place of each row on contact sheets: ``sheet, row, column`` from 0, in the given order (drawing is left to others)."""
     rows = global_positions(df, order, "_at")

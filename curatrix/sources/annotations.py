@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from curatrix.contracts import ContractError
 from curatrix.functions.geometry import box_errors
 from curatrix.functions.text import stem
+from curatrix.sources.files import list_files
 
 VOC_SCHEMA = """filename STRING, size STRUCT<width: INT, height: INT>,
 object ARRAY<STRUCT<name: STRING, bndbox: STRUCT<xmin: DOUBLE, ymin: DOUBLE, xmax: DOUBLE, ymax: DOUBLE>>>"""
 COCO_SCHEMA = """info STRUCT<description: STRING, version: STRING>, licenses ARRAY<STRING>,
-images ARRAY<STRUCT<id: INT, file_name: STRING, width: INT, height: INT>>,
-annotations ARRAY<STRUCT<id: INT, image_id: INT, category_id: INT, bbox: ARRAY<DOUBLE>, area: DOUBLE, iscrowd: INT, segmentation: ARRAY<ARRAY<DOUBLE>>>>,
+images ARRAY<STRUCT<id: BIGINT, file_name: STRING, width: INT, height: INT>>,
+annotations ARRAY<STRUCT<id: BIGINT, image_id: BIGINT, category_id: INT, bbox: ARRAY<DOUBLE>, area: DOUBLE, iscrowd: INT, segmentation: ARRAY<ARRAY<DOUBLE>>>>,
 categories ARRAY<STRUCT<id: INT, name: STRING, supercategory: STRING>>"""
 YOLO_FIELDS = ("class_id", "x_center", "y_center", "width", "height")
 
@@ -24,9 +25,9 @@ def read_voc(spark: SparkSession, path: str, mode: str = "collect") -> DataFrame
     ``box_index`` is 1-based; an image without objects has one row with null box
     columns. ``errors`` lists broken rules (missing size or corner, inverted, outside
     the image). ``mode`` "collect" keeps such boxes, "skip" drops them, "raise" fails.
-    A file that isn't XML has one row with ``errors`` = [unreadable].
+    A file that isn't XML, or has no bytes, has one row with ``errors`` = [unreadable].
     """
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").load(path)
+    raw = list_files(spark, path, [".xml"], recursive=True, content=True)
     text = F.decode("content", "UTF-8")
     rows = raw.select("path", stem(F.col("path")).alias("stem"), F.from_xml(text, VOC_SCHEMA, {"mode": "PERMISSIVE"}).alias("a"))
     rows = rows.select("path", "stem", "a.filename", "a.size.width", "a.size.height", F.col("a").isNull().alias("_bad"), F.posexplode_outer("a.object").alias("_i", "o"))
@@ -78,11 +79,7 @@ def read_yolo(spark: SparkSession, path: str, mode: str = "collect", slack: floa
     line number. ``errors``: ``tokens`` (not five), ``not_a_number``, and the rules of a
     normalised box. Modes as for ``read_voc``.
     """
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=True)
-    # a scan passes over files of no bytes; they are known to its file index only
-    every = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
-    same = lambda c: F.regexp_replace(c, "^file:/+", "/").alias("path")
-    files = every.select(same("path")).join(files.select(same("_metadata.file_path"), "value"), "path", "left").na.fill("", ["value"])
+    files = list_files(spark, path, [".txt"], recursive=True, content=True).select("path", F.decode("content", "UTF-8").alias("value"))
     lines = files.select("path", F.posexplode_outer(F.filter(F.transform(F.split("value", r"\r?\n"), lambda v, i: F.struct((i + 1).alias("n"), F.trim(v).alias("v"))), lambda x: x["v"] != "")).alias("_i", "l"))
     parts = F.split(F.col("l.v"), r"\s+")
     rows = lines.select("path", stem(F.col("path")).alias("stem"), F.col("l.n").alias("line_number"), parts.alias("p"))

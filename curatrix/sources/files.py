@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from curatrix.contracts import ContractError, require_unique
 from curatrix.functions.text import is_hex_id, stem, suffix
+from curatrix.sources.storage import tree
 
 IMAGE_SUFFIXES = [".bmp", ".jpeg", ".jpg", ".png", ".webp"]
 
@@ -18,16 +19,33 @@ IMAGE_SUFFIXES = [".bmp", ".jpeg", ".jpg", ".png", ".webp"]
 def list_files(spark: SparkSession, folder: str, suffixes: list[str] | None = None, recursive: bool = False, content: bool = False) -> DataFrame:
     """``path, stem, suffix, length, modificationTime`` (and ``content``) of the files of a folder.
 
-    Without ``content`` the bytes are not read. Suffixes are compared in lower case.
-    Files of no bytes are not listed (Spark's scans pass over them). A folder without
-    files gives an empty table.
+    Listed by the executors (``storage.tree``), files of no bytes included. Without
+    ``content`` the bytes are not read. Suffixes are compared in lower case. A folder
+    without files gives an empty table.
     """
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    files = reader.load(folder)
-    files = files.select("path", stem(F.col("path")).alias("stem"), suffix(F.col("path")).alias("suffix"), "length", "modificationTime", *(["content"] if content else []))
-    return files.where(F.col("suffix").isin(suffixes)) if suffixes else files
+    files = tree(spark, folder, recursive)
+    files = files.select("path", stem(F.col("path")).alias("stem"), suffix(F.col("path")).alias("suffix"), "length", "modificationTime")
+    files = files.where(F.col("suffix").isin(suffixes)) if suffixes else files
+    if not content:
+        return files
+    if files.where("length > 0").isEmpty():
+        return files.withColumn("content", F.lit(b""))
+    bytes_ = _scan(spark, "binaryFile", suffixes, recursive).load(folder).select(_same(F.col("path")).alias("__p"), "content")
+    joined = files.withColumn("__p", _same(F.col("path"))).join(bytes_, "__p", "left").drop("__p")
+    return joined.withColumn("content", F.coalesce("content", F.lit(b"")))
+
+
+def _same(path):
+    """One spelling of a local path, however many slashes its scheme has."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _scan(spark: SparkSession, form: str, suffixes: list[str] | None, recursive: bool):
+    reader = spark.read.format(form)
+    if suffixes:
+        either = lambda s: "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in s)
+        reader = reader.option("pathGlobFilter", f"*{{{','.join(map(either, suffixes))}}}")
+    return reader.option("recursiveFileLookup", "true") if recursive else reader
 
 
 def by_stem(files: DataFrame) -> DataFrame:
@@ -42,18 +60,23 @@ def digests(spark: SparkSession, folder: str, suffixes: list[str] | None = None,
     return files.select("path", "stem", (F.upper(value) if upper else value).alias("sha256"))
 
 
-def images(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+def images(spark: SparkSession, folder: str, recursive: bool = False, suffixes: list[str] = IMAGE_SUFFIXES) -> DataFrame:
     """``path, width, height, channels, mode, data, corrupt``: decoded images, bytes in the order blue, green, red.
 
-    A file that can't be decoded has ``corrupt`` true and no data.
+    Only files with an image's suffix count. A file that can't be decoded, or has no
+    bytes, has ``corrupt`` true and no data.
     """
-    reader = spark.read.format("image").option("dropInvalid", "false")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    rows = reader.load(folder).select("image.*")
+    listed = list_files(spark, folder, suffixes, recursive)
+    empty = listed.where("length = 0").select("path")
+    cols = "path string, width int, height int, channels int, mode int, data binary, corrupt boolean"
+    none = empty.select("path", *(F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in cols.split(", ")[1:-1])), F.lit(True).alias("corrupt"))
+    if listed.where("length > 0").isEmpty():
+        return none
+    rows = _scan(spark, "image", suffixes, recursive).option("dropInvalid", "false").load(folder).select("image.*")
     bad = (F.col("height") < 1) | F.col("height").isNull()
     number = lambda c: F.when(~bad, F.col(c)).alias(c)
-    return rows.select(F.col("origin").alias("path"), number("width"), number("height"), number("nChannels").alias("channels"), "mode", F.when(~bad, F.col("data")).alias("data"), bad.alias("corrupt"))
+    rows = rows.select(F.concat(F.lit("file:"), _same(F.col("origin"))).alias("path") if "://" not in folder else F.col("origin").alias("path"), number("width"), number("height"), number("nChannels").alias("channels"), number("mode"), F.when(~bad, F.col("data")).alias("data"), bad.alias("corrupt"))
+    return rows.unionByName(none)
 
 
 def resolve(names: DataFrame, files: DataFrame, folders: list[str], suffixes: list[str], key: str = "stem") -> DataFrame:

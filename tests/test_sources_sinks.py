@@ -115,8 +115,10 @@ def test_coco_round_trip(spark, tmp_path):
 
 def test_csv(spark, tmp_path):
     (tmp_path / "r.csv").write_text('﻿ImageID,text,n\n00e1,"two\nlines ""q""",1\n0123,,x\n')
-    rows = tb.read_csv(spark, str(tmp_path / "r.csv"), "n int, ImageID string, text string").collect()
+    rows = tb.read_csv(spark, str(tmp_path / "r.csv"), "n int, ImageID string, text string", multi_line=True, tolerant=True).collect()
     assert [tuple(r) for r in rows] == [(1, "00e1", 'two\nlines "q"'), (None, "0123", None)]
+    with pytest.raises(Exception, match="n is not int: x"):
+        tb.read_csv(spark, str(tmp_path / "r.csv"), "n int, ImageID string, text string", multi_line=True).collect()
     assert tb.read_csv(spark, str(tmp_path / "r.csv")).dtypes == [("ImageID", "string"), ("text", "string"), ("n", "string")]
     assert tb.read_csv(spark, str(tmp_path / "no.csv"), "a int", missing_ok=True).count() == 0
     (tmp_path / "head.csv").write_text("ImageID,License\n")
