@@ -86,6 +86,12 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_folder(path: str) -> str:
+    """Have a folder removed when the driver's Python ends; returns it."""
+    _WRITTEN.append(path)
+    return path
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files behind a materialized table once nothing reads it any more."""
     files = df.inputFiles()
