@@ -86,8 +86,8 @@ def policy_violations(df: DataFrame, split: str = "split", group: str = "source_
         F.count_if(out & (F.col("allowed_split") == "TRAIN_ONLY")).alias("b"),
         F.coalesce((F.try_divide(F.count_if(~out & (F.col("real_synthetic") == "SYNTHETIC")), F.count_if(~out)) > synthetic_share).cast("long"), F.lit(0)).alias("c"),
     ).select(F.expr("stack(3, 'synthetic_in_eval', a, 'train_only_in_eval', b, 'synthetic_share', c) as (rule, violations)"))
-    for name, key in (("group_in_several", group), ("pixels_in_several", digest)):
-        spans = rows.where(F.col(key).isNotNull()).groupBy(key, split).count().groupBy(key).count().where("count > 1")
+    for name, shared in (("group_in_several", group), ("pixels_in_several", digest)):
+        spans = rows.where(F.col(shared).isNotNull()).groupBy(shared, split).count().groupBy(shared).count().where("count > 1")
         flat = flat.unionByName(spans.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("violations")))
     if near_pairs is not None:
         a, b = [c for c in near_pairs.columns if c != status][:2]

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.plans import audits, boxes, detections, duplicates, files, joins, selections, texts
+from curatrix.plans import audits, boxes, checks, detections, duplicates, files, joins, selections, texts
 
-MODULES = [duplicates, audits, joins, texts, selections, boxes, detections, files]
+MODULES = [duplicates, audits, joins, texts, selections, boxes, detections, files, checks]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from curatrix import contracts
 from curatrix.operators import audit
+from curatrix.plans.duplicates import NEAR_SQL, near_pairs
 from curatrix.plans.registry import Book
-from curatrix.session import table
+from curatrix.session import materialize, table
 
 BOOK = Book()
 
@@ -150,7 +151,7 @@ def evenly_spaced_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @BOOK.query("""
-WITH m AS (SELECT canonical_id, any_value(lower(trim(avax_split))) AS split, min(source_group) AS source_group, min(real_synthetic) AS rs, min(allowed_split) AS al
+WITH m AS (SELECT canonical_id, min(lower(trim(avax_split))) AS split, min(source_group) AS source_group, min(real_synthetic) AS rs, min(allowed_split) AS al
   FROM baseline_split_manifest WHERE lower(trim(avax_split)) IN ('train', 'val', 'test') AND canonical_id IS NOT NULL GROUP BY canonical_id),
 p AS (SELECT canonical_id, min(lower(pixel_sha256)) AS px FROM fingerprints GROUP BY 1), j AS (SELECT m.*, p.px FROM m LEFT JOIN p USING (canonical_id))
 SELECT 'synthetic_in_eval' AS rule, count(*) FILTER (split <> 'train' AND rs <> 'REAL') AS violations FROM j
@@ -158,12 +159,15 @@ UNION ALL SELECT 'train_only_in_eval', count(*) FILTER (split <> 'train' AND al
 UNION ALL SELECT 'synthetic_share', CASE WHEN count(*) FILTER (split = 'train' AND rs = 'SYNTHETIC') > 0.25 * count(*) FILTER (split = 'train') THEN 1 ELSE 0 END FROM j
 UNION ALL SELECT 'group_in_several', count(*) FROM (SELECT source_group FROM j WHERE source_group IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)
 UNION ALL SELECT 'pixels_in_several', count(*) FROM (SELECT px FROM j WHERE px IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)
-""")
+UNION ALL SELECT 'unresolved_near_pairs', count(*) FROM ({near}) n JOIN j a ON a.canonical_id = n.canonical_id_a JOIN j b ON b.canonical_id = n.canonical_id_b WHERE a.split <> b.split AND n.phash_distance % 3 <> 0
+""".replace("{near}", NEAR_SQL))
 def split_policy_violations(spark: SparkSession, folder: str) -> DataFrame:
     m = table(spark, folder, "baseline_split_manifest").withColumn("split", F.lower(F.trim("avax_split"))).where("split in ('train', 'val', 'test') and canonical_id is not null")
     m = m.groupBy("canonical_id").agg(F.min("split").alias("split"), *(F.min(c).alias(c) for c in ("source_group", "real_synthetic", "allowed_split")))
     p = table(spark, folder, "fingerprints").groupBy("canonical_id").agg(F.min(F.lower("pixel_sha256")).alias("pixel_sha256"))
-    return contracts.policy_violations(m.join(p, "canonical_id", "left"))
+    status = F.when(F.col("phash_distance") % 3 == 0, "resolved").when(F.col("phash_distance") % 3 == 1, " Unsure ")
+    pairs = near_pairs(spark, folder).select("canonical_id_a", "canonical_id_b", status.alias("status"))
+    return contracts.policy_violations(materialize(m.join(p, "canonical_id", "left"), "policy"), near_pairs=pairs)
 
 
 @BOOK.query("""

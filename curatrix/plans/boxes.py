@@ -120,31 +120,25 @@ def letterbox(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @BOOK.query(f"""
-WITH c AS (SELECT *, round_even(w * 0.08::DOUBLE, 0) AS mx, round_even(h * 0.08::DOUBLE, 0) AS my FROM ({_BOXES}))
-SELECT image, p, s, greatest(0, x0 - mx)::INTEGER AS left_edge, greatest(0, y0 - my)::INTEGER AS top_edge, least(iw, x0 + w + mx)::INTEGER AS right_edge, least(ih, y0 + h + my)::INTEGER AS bottom_edge FROM c
+WITH c AS (SELECT *, x0 + w AS x1, y0 + h AS y1, round_even((x0 + w - x0) * 0.08::DOUBLE, 0) AS mx, round_even((y0 + h - y0) * 0.08::DOUBLE, 0) AS my FROM ({_BOXES}))
+SELECT image, p, s, greatest(0, x0 - mx)::INTEGER AS left_edge, greatest(0, y0 - my)::INTEGER AS top_edge, least(iw, x1 + mx)::INTEGER AS right_edge, least(ih, y1 + my)::INTEGER AS bottom_edge FROM c
 """)
 def padded_crops(spark: SparkSession, folder: str) -> DataFrame:
     b = _boxes(spark, folder)
-    # the margin is a share of the given side, so sides are passed as they are
-    crop = geo.padded_crop(F.lit(0.0), F.lit(0.0), F.col("w"), F.col("h"), F.lit(1e9), F.lit(1e9))
-    mx, my = crop[2] - F.col("w"), crop[3] - F.col("h")
-    edges = (F.greatest(F.lit(0), F.col("x0") - mx), F.greatest(F.lit(0), F.col("y0") - my), F.least("iw", F.col("x0") + F.col("w") + mx), F.least("ih", F.col("y0") + F.col("h") + my))
-    return b.select("image", "p", "s", *(e.cast("int").alias(n) for e, n in zip(edges, ("left_edge", "top_edge", "right_edge", "bottom_edge"))))
+    edges = geo.padded_crop(F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h"), F.col("iw"), F.col("ih"))
+    return b.select("image", "p", "s", *(e.alias(n) for e, n in zip(edges, ("left_edge", "top_edge", "right_edge", "bottom_edge"))))
 
 
 @BOOK.query(f"""
 WITH g AS (SELECT image, list_sort(list([round_even(x0 / 3, 3), round_even(y0 / 3, 3)])) AS sig FROM ({_BOXES}) GROUP BY 1)
-SELECT array_to_string(sig[1], ';') AS signature, count(*) AS images FROM g GROUP BY 1
+SELECT array_to_string(list_transform(sig, lambda r: r[1] || ';' || r[2]), '|') AS signature, count(*) AS images FROM g GROUP BY 1
 """)
 def box_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """Images of equal boxes: the whole signature of each image, all of its boxes."""
     b = _boxes(spark, folder).select("image", (F.col("x0") / 3).alias("a"), (F.col("y0") / 3).alias("b"))
     sig = b.groupBy("image").agg(geo.box_signature(["a", "b"], 3).alias("sig"))
-    first = F.concat_ws(";", *(_trim_number(F.col("sig")[0][c]) for c in "ab"))
-    return sig.select(first.alias("signature")).groupBy("signature").agg(F.count(F.lit(1)).alias("images"))
-
-
-def _trim_number(x):
-    return x.cast("string")
+    text = F.array_join(F.transform("sig", lambda r: F.concat_ws(";", r["a"].cast("string"), r["b"].cast("string"))), "|")
+    return sig.select(text.alias("signature")).groupBy("signature").agg(F.count(F.lit(1)).alias("images"))
 
 
 _INDEXED = f"""SELECT *, row_number() OVER (PARTITION BY image ORDER BY p, s, w, h) AS box_index FROM ({_BOXES} JOIN orders ON o_orderkey = l_orderkey)"""

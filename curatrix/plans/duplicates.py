@@ -62,7 +62,7 @@ def phash_pack(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select("vec_id", unsigned.alias("phash"))
 
 
-_NEAR = """
+NEAR_SQL = """
 WITH f AS (SELECT DISTINCT canonical_id AS id, lower(pixel_sha256) AS px, ('0x' || lower(phash))::UBIGINT AS p, ('0x' || lower(dhash))::UBIGINT AS d,
   leakage_source_group AS g, allowed_split AS s, CASE WHEN width > 0 AND height > 0 THEN width::DOUBLE / height END AS a
   FROM fingerprints WHERE phash IS NOT NULL AND dhash IS NOT NULL)
@@ -72,7 +72,7 @@ FROM f x JOIN f y ON x.id < y.id AND bit_count(xor(x.p, y.p)) <= 8 AND bit_count
 """
 
 
-@BOOK.query(_NEAR)
+@BOOK.query(NEAR_SQL)
 def near_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Near duplicates of other groups: Hamming radius 8 and 10, aspect within 0.15, not both TRAIN_ONLY, not the same pixels."""
     rows = table(spark, folder, "fingerprints").select(

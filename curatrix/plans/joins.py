@@ -45,9 +45,10 @@ def excluded_anti(spark: SparkSession, folder: str) -> DataFrame:
     return joins.anti(table(spark, folder, "baseline_split_manifest"), "canonical_id", table(spark, folder, "fingerprints"), a).select("canonical_id", "source_dataset")
 
 
-@BOOK.query("SELECT DISTINCT canonical_id FROM fingerprints WHERE canonical_id NOT IN (SELECT canonical_id FROM baseline_split_manifest WHERE canonical_id IS NOT NULL)")
+@BOOK.query("SELECT DISTINCT canonical_id FROM baseline_split_manifest WHERE canonical_id NOT IN (SELECT canonical_id FROM fingerprints WHERE canonical_id IS NOT NULL)")
 def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return sets.key_sets(table(spark, folder, "fingerprints"), table(spark, folder, "baseline_split_manifest"), "canonical_id")["difference"]
+    """Records without fingerprints."""
+    return sets.key_sets(table(spark, folder, "baseline_split_manifest"), table(spark, folder, "fingerprints"), "canonical_id")["difference"]
 
 
 @BOOK.query("""

@@ -87,19 +87,24 @@ def text_to_bool(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(tx.to_bool(word).alias("flag")).groupBy("flag").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    return ocr.with_distance(table(spark, folder, "accepted_negatives_batch2_metadata"), "ImageID", "OriginalMD5")
+def _readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of parts and what a recognizer might have read: letters mistaken, dropped, or nothing."""
+    k, name = F.col("p_partkey") % 5, F.concat("p_name", F.lit("-"), F.col("p_partkey").cast("string"))
+    read = F.when(k == 0, name).when(k == 1, F.translate(name, "1e", "IE")).when(k == 2, F.substring(name, 2, 100)).when(k == 3, F.translate(F.lower(name), "rg0", "R6o")).otherwise("")
+    return ocr.with_distance(table(spark, folder, "part").select("p_type", name.alias("truth"), read.alias("read")), "truth", "read")
 
 
-_OCR = """WITH t AS (SELECT *, upper(regexp_replace(coalesce(OriginalMD5, ''), '[^A-Za-z0-9]+', '', 'g')) AS n, upper(regexp_replace(coalesce(ImageID, ''), '[^A-Za-z0-9]+', '', 'g')) AS g FROM accepted_negatives_batch2_metadata),
+_OCR = """WITH r AS (SELECT p_type, p_partkey % 5 AS k, p_name || '-' || p_partkey AS truth FROM part),
+q AS (SELECT *, CASE k WHEN 0 THEN truth WHEN 1 THEN translate(truth, '1e', 'IE') WHEN 2 THEN substr(truth, 2) WHEN 3 THEN translate(lower(truth), 'rg0', 'R6o') ELSE '' END AS read FROM r),
+t AS (SELECT *, upper(regexp_replace(read, '[^A-Za-z0-9]+', '', 'g')) AS n, upper(regexp_replace(truth, '[^A-Za-z0-9]+', '', 'g')) AS g FROM q),
 s AS (SELECT *, levenshtein(n, g) AS d, n = g AS hit FROM t)
 """
 
 
-@BOOK.query(_OCR + """SELECT Subset, count(*) AS row_count, count(*) FILTER (hit) AS exact_count, round(count(*) FILTER (hit) / count(*), 4) AS exact_rate, sum(d)::BIGINT AS edit_distance, sum(length(g))::BIGINT AS characters,
+@BOOK.query(_OCR + """SELECT p_type, count(*) AS row_count, count(*) FILTER (hit) AS exact_count, round(count(*) FILTER (hit) / count(*), 4) AS exact_rate, sum(d)::BIGINT AS edit_distance, sum(length(g))::BIGINT AS characters,
   round(sum(d) / sum(length(g)), 4) AS cer, round(1 - sum(d) / sum(length(g)), 4) AS char_accuracy, count(*) FILTER (n = '') AS empty_count FROM s GROUP BY 1""")
 def edit_distance_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return ocr.summary(_scored(spark, folder), "Subset")
+    return ocr.summary(_readings(spark, folder), "p_type")
 
 
 @BOOK.query("""WITH t AS (SELECT canonical_id, upper(regexp_replace(coalesce(source_group, ''), '[^A-Za-z0-9]+', '', 'g')) = upper(regexp_replace(coalesce(provenance_id, ''), '[^A-Za-z0-9]+', '', 'g')) AS hit,

@@ -49,3 +49,17 @@ def test_identity_and_integral(spark):
     assert {tuple(r) for r in c.identity_differences(a, b, "k", "d").collect()} == {("y", "changed"), ("z", "missing"), ("w", "unexpected")}
     df = spark.createDataFrame([(1.0,), (1.5,), (float("nan"),), (None,)], "x double")
     assert [r[0] for r in df.select(c.integral(F.col("x"))).collect()] == [True, False, False, False]
+
+
+def test_unresolved_near_pairs_and_changes(spark, rows):
+    pairs = spark.createDataFrame([("a", "b", None), ("b", "a", " Unsure"), ("a", "b", "same"), ("a", "zz", ""), ("a", "a", "")], "x string, y string, status string")
+    found = {r["rule"]: r["violations"] for r in c.policy_violations(rows, near_pairs=pairs, key="id").collect()}
+    assert found["unresolved_near_pairs"] == 2 and sum(found.values()) == 2
+    assert {r["rule"]: r["violations"] for r in c.policy_violations(rows, near_pairs=pairs.where("false"), key="id").collect()}["unresolved_near_pairs"] == 0
+    from curatrix.functions.hashing import table_digest
+
+    pin = tuple(rows.agg(*table_digest("id", "n")).first())
+    c.require_unchanged(rows.repartition(5), ["id", "n"], pin)
+    with pytest.raises(c.ContractError):
+        c.require_unchanged(rows.union(rows), ["id", "n"], pin)
+    assert tuple(rows.where("false").agg(*table_digest("id")).first()) == (0, "0")

@@ -230,3 +230,63 @@ def test_swap(tmp_path):
     with pytest.raises(ContractError):
         out.swap_folder(build("bad"), target, check)
     assert open(os.path.join(target, "f")).read() == "two" and os.listdir(tmp_path) == ["pool"]
+
+
+def test_files_of_no_bytes_are_listed_and_corrupt(spark, tmp_path):
+    (tmp_path / "empty.png").write_bytes(b"")
+    (tmp_path / "table.csv").write_text("a,b\n")
+    (tmp_path / "good.png").write_bytes(png(np.zeros((4, 4, 3), np.uint8)))
+    assert {(r["stem"], r["length"] > 0) for r in fs.list_files(spark, str(tmp_path)).collect()} == {("empty", False), ("table", True), ("good", True)}
+    assert {os.path.basename(r["path"]): r["corrupt"] for r in fs.images(spark, str(tmp_path)).collect()} == {"empty.png": True, "good.png": False}
+    assert {r["stem"]: bytes(r["content"]) for r in fs.list_files(spark, str(tmp_path), [".csv", ".png"], content=True).collect()}["empty"] == b""
+    assert fs.list_files(spark, str(tmp_path / "none"), recursive=True).count() == 0
+    (tmp_path / "only").mkdir()
+    (tmp_path / "only" / "e.xml").write_text("")
+    assert [(r["stem"], r["errors"]) for r in ann.read_voc(spark, str(tmp_path / "only")).collect()] == [("e", ["unreadable"])]
+    assert fs.images(spark, str(tmp_path / "only")).count() == 0
+
+
+def test_versions_and_stale_labels(spark, tmp_path):
+    place = str(tmp_path / "t")
+    with pytest.raises(ContractError):
+        out.read_version(spark, place)
+    assert out.write_version(spark.range(3), place) == 1
+    assert out.write_version(out.read_version(spark, place).where("id > 0"), place) == 2
+    os.remove(f"{place}/version=2/_SUCCESS")  # not whole
+    assert out.read_version(spark, place).count() == 3
+    assert out.write_version(spark.range(9), place) == 2 and out.read_version(spark, place).count() == 9
+    labels = spark.createDataFrame([("a", "1\n"), ("b", None)], "k string, text string")
+    out.write_yolo(labels, "k", str(tmp_path / "l"))
+    out.write_yolo(labels.where("k = 'b'"), "k", str(tmp_path / "l"))
+    assert os.listdir(tmp_path / "l") == ["b.txt"]
+
+
+def test_fetch_tries_again(spark):
+    class Flaky:
+        seen: dict = {}
+
+        def __call__(self, url):
+            self.seen[url] = self.seen.get(url, 0) + 1
+            if self.seen[url] < 3:
+                raise OSError("down")
+            return b"x"
+
+    rows = spark.createDataFrame([("a", "u")], "key string, url string").coalesce(1)
+    assert tb.fetch_rows(rows, "key", "url", Flaky(), tries=3, pause=0.0).first()["bytes"] == b"x"
+    assert tb.fetch_rows(rows, "key", "url", Flaky(), tries=2, pause=0.0).first()["error"] == "OSError: down"
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster():
+    from curatrix import session
+
+    class Fake:
+        class conf:
+            @staticmethod
+            def get(*_):
+                return None
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Fake)
