@@ -222,7 +222,8 @@ def _per_batch(cells: DataFrame, asks: DataFrame, solve: Callable) -> DataFrame:
     """
     rows = cells.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("profile", *(c for c in cells.columns if c not in ("batch", "profile"))))).alias("cells"))
     goals = asks.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct(F.concat_ws("=", "field", "value").alias("tag"), "share", "floor", "ask"))).alias("asks"))
-    rows = rows.join(goals, "batch").repartition(2 * cells.sparkSession.sparkContext.defaultParallelism, "batch")
+    # by a hash of the batch, as a repartition by the key of the aggregation itself may be planned away
+    rows = rows.join(goals, "batch").repartition(2 * cells.sparkSession.sparkContext.defaultParallelism, F.xxhash64("batch"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
