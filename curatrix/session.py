@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +88,18 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[None]:
+    """Stage tables and folders written inside are removed at the end, for a long session that is done with its results."""
+    before = set(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in [p for p in _WRITTEN if p not in before]:
+            _delete(spark, path)
+            _WRITTEN.remove(path)
+
+
 def forget_folder(path: str) -> str:
     """Have a folder removed when the driver's Python ends; returns it."""
     _WRITTEN.append(path)

@@ -147,3 +147,15 @@ def test_audits_on_empty_tables(spark):
     for df in (audit.distribution(empty, "k"), audit.spanning_keys(empty, "k", "v"), audit.count_of_counts(empty, "k"), audit.agreement(empty, "k", "v"), audit.evenly_spaced(empty, "k", 3)):
         assert df.count() == 0
     assert [r["id"] for r in audit.evenly_spaced(spark.range(101), "id", 5).orderBy("id").collect()] == [0, 25, 50, 75, 100]
+
+
+def test_stage_tables_are_removed(spark):
+    import os
+
+    from curatrix import session
+
+    with session.stage_tables(spark):
+        df = session.materialize(spark.range(3), "scoped")
+        place = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+        assert df.count() == 3 and os.path.isdir(place)
+    assert not os.path.exists(place)
