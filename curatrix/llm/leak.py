@@ -68,13 +68,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    """Hash of each ``SHINGLE`` words in a row; one less than ``SHINGLE`` fewer than the words."""
-    n = len(words) - SHINGLE + 1
+def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Hash of each ``size`` words in a row; one less than ``size`` fewer than the words."""
+    n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
+    for k in range(size):
         out *= np.uint64(0xBF58476D1CE4E5B9)
         out += words[k : k + n]
     return _mix(out)
@@ -121,6 +121,15 @@ class ItemIndex:
     def __init__(self, items: list[tuple[object, str]]) -> None:
         hashes = _WordHashes()
         kept = [(i, np.array([hashes[w] for w in plain_words(t)], np.uint64)) for i, t in items]
+        self.short: dict[int, tuple[np.ndarray, list[list[object]]]] = {}  # items of fewer words than a shingle, by length: sorted hashes and their items
+        for n in range(1, SHINGLE):
+            found: dict[int, list[object]] = {}
+            for i, w in kept:
+                if len(w) == n:
+                    found.setdefault(int(shingle_hashes(w, n)[0]), []).append(i)
+            if found:
+                keys = sorted(found)
+                self.short[n] = np.array(keys, np.uint64), [found[x] for x in keys]
         kept = [(i, w) for i, w in kept if len(w) >= SHINGLE]
         self.ids = [i for i, _ in kept]
         self.words = [w for _, w in kept]
@@ -195,6 +204,15 @@ class ItemIndex:
                 out.append(docs[keys >> 32] * len(self.ids) + self.classes[size][0][keys & 0xFFFFFFFF])
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
 
+    def search_short(self, texts: list[str | None]) -> Iterator[tuple[int, object]]:
+        """(number of the text, item) where all words of an item that is shorter than a shingle stand in a row."""
+        for d, t in enumerate(texts if self.short else ()):
+            words = np.array([_HASHES[w] for w in plain_words(t)], np.uint64)
+            for n, (keys, items) in self.short.items():
+                here = np.unique(shingle_hashes(words, n))
+                for k in np.flatnonzero(np.isin(keys, here)):
+                    yield from ((d, i) for i in items[k])
+
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, float]]:
         """(number of the text, number of the item, shared shingles, reproduced share) of each leak."""
         if not self.ids:
@@ -334,8 +352,8 @@ def leaks(documents: DataFrame, items: DataFrame, block_items: int = 20_000) ->
     """Columns ``doc_id, item_id, shared_shingles, reproduced_share``: each document with each item it leaks.
 
     ``documents(doc_id, text)`` and ``items(item_id, text)``; other columns are ignored.
-    Null and blank texts, and items of fewer than five words, leak nothing. Equal items
-    under two ids are two cases, and so are documents repeated under one id. Texts are
+    Null and blank texts leak nothing; an item of fewer than five words leaks where all of
+    them stand in a row. Equal items under two ids are two cases, and so are documents repeated under one id. Texts are
     read whole, whatever their length.
 
     The items are the stated query set: they are indexed and sent to the executors in
@@ -354,15 +372,17 @@ def leaks(documents: DataFrame, items: DataFrame, block_items: int = 20_000) ->
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             found = index.value
-            item_type, doc_type = pa.array(found.ids[:1]).type if found.ids else pa.int64(), None
+            some = found.ids[:1] or [x for _, items in found.short.values() for x in items[0]][:1]
+            item_type, doc_type = pa.array(some).type if some else pa.int64(), None
             for batch in batches:
                 doc_type = batch.schema.field(0).type
                 texts = batch.column(1).to_pylist()
-                hits = [(a + d, i, n, s) for a, b in _slices(texts) for d, i, n, s in found.search(texts[a:b])]
+                hits = [(a + d, found.ids[i], n, s) for a, b in _slices(texts) for d, i, n, s in found.search(texts[a:b])]
+                hits += [(d, i, 0, 1.0) for d, i in found.search_short(texts)]
                 if hits:
                     d, i, n, s = zip(*hits)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(d)).cast(doc_type), pa.array([found.ids[x] for x in i], item_type), pa.array(n, pa.int32()), pa.array(s, pa.float64())],
+                        [batch.column(0).take(pa.array(d)).cast(doc_type), pa.array(i, item_type), pa.array(n, pa.int32()), pa.array(s, pa.float64())],
                         ["doc_id", "item_id", "shared_shingles", "reproduced_share"],
                     )
 

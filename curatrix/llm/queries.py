@@ -64,6 +64,10 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
     return quota.sample_report(materialize(quota.target_sample(images, targets, cells=cells), "sample"), images, targets, carried, cells)
 
 
+def p3_supply(spark: SparkSession, folder: str) -> DataFrame:
+    return quota.supply_report(*_t(spark, folder, "accepted_negatives_batch2_metadata", "negative_targets"))
+
+
 def p3_invariants(spark: SparkSession, folder: str) -> DataFrame:
     images, targets = _t(spark, folder, "accepted_negatives_batch2_metadata", "negative_targets")
     return quota.sample_invariants(materialize(quota.target_sample(images, targets), "sample"), images, targets)
@@ -139,7 +143,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_sample, p1_group_sample, p1_growth, p2_found, p2_torn_relations, p2_assignment, p2_invariants, p2_split_report, p3_sample, p3_report, p3_invariants, p3_found,
+        p1_sample, p1_group_sample, p1_growth, p2_found, p2_torn_relations, p2_assignment, p2_invariants, p2_split_report, p3_sample, p3_report, p3_supply, p3_invariants, p3_found,
         p4_found, p4_report, p5_leaks, p5_found, p5_report, p6_plan_by_length, p6_mixture, p6_report, p6_found, p7_statistics, p7_basic, p7_basic_scores, p7_scores, p7_found,
     ]
     return {f.__name__: f for f in own}

@@ -117,3 +117,10 @@ def test_recall_at_the_limit(even):
         s = leak.shingle_hashes(hashed[d])
         blocks = np.arange(0, len(s), leak.BLOCK)
         assert i in index.candidates(s, blocks, np.zeros(len(blocks), int))
+
+
+def test_items_shorter_than_a_shingle(spark):
+    items = spark.createDataFrame([("a", "Red gate!"), ("b", "red"), ("c", "gate red"), ("d", ""), ("e", None), ("f", "RED, gate")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "the red\n gate of the yard"), (2, "a gate, red"), (3, None), (4, "nothing")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in leak.leaks(docs, items).collect()} == {(1, "a"), (1, "b"), (1, "f"), (2, "b"), (2, "c")}
+    assert leak.leaks(docs.where("false"), items).count() == 0 and leak.leaks(docs, items.where("false")).count() == 0

@@ -58,6 +58,23 @@ def test_spellings_of_groups(spark):
     assert got[3:] == [None] * 6
 
 
+@pytest.mark.parametrize("tweak", [0, 1, 2, 255, (1 << 28) - 1])
+def test_sequential_numbers_are_spread_evenly(tweak):
+    """Numbers in a row fill all sixteenths of the domain alike, and the draws of neighbouring tweaks and seeds are independent."""
+    n, rate = 8000, 0.1
+    got = [sample.feistel_int(k, tweak, 7) for k in range(n)]
+    assert len(set(got)) == n
+    cells = [0] * 16
+    for x in got:
+        cells[x >> 60] += 1
+    assert sum((c - n / 16) ** 2 / (n / 16) for c in cells) < 37.7  # chi-square, 15 degrees, 0.001
+    limit = int(rate * 2**64)
+    drawn = {k for k, x in enumerate(got) if x < limit}
+    assert abs(len(drawn) - n * rate) < 4 * (n * rate * (1 - rate)) ** 0.5
+    for other in ({k for k in range(n) if sample.feistel_int(k, tweak ^ 1, 7) < limit}, {k for k in range(n) if sample.feistel_int(k, tweak, 8) < limit}):
+        assert abs(len(drawn & other) - n * rate**2) < 4 * (n * rate**2) ** 0.5
+
+
 def test_found_and_torn(spark):
     import datetime as dt
 
