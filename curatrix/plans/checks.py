@@ -179,7 +179,7 @@ def review_order(spark: SparkSession, folder: str) -> DataFrame:
     n = table(spark, folder, "nation").select("n_nationkey", "n_name")
     r = table(spark, folder, "nation").where("n_regionkey <> 2").select("n_nationkey", ((F.col("n_nationkey") * 7) % 25).alias("position"))
     rows = joins.in_order_of(n, r, "n_nationkey", "position").select("n_nationkey", "n_name").collect()  # 25 rows
-    return spark.createDataFrame([(*x, i + 1) for i, x in enumerate(rows)], "n_nationkey long, n_name string, place long")
+    return spark.createDataFrame([(*x, i + 1) for i, x in enumerate(rows)], "n_nationkey int, n_name string, place long")
 
 
 @BOOK.query("SELECT o_custkey AS user_id, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ';') AS members FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) >= 3")

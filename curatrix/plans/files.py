@@ -65,7 +65,7 @@ def voc_read_back(spark: SparkSession, folder: str) -> DataFrame:
     place = _place(spark, "voc")
     writers.write_texts(_voc_texts(_images(spark, folder)), place, ".xml")
     rows = annotations.read_voc(spark, place)
-    return rows.select(F.col("stem").cast("long").alias("image"), "box_index", "name", "xmin", "ymax", F.array_join("errors", ";").alias("errors"))
+    return rows.select(F.col("stem").cast("long").alias("image"), F.col("box_index").cast("long").alias("box_index"), "name", "xmin", "ymax", F.array_join("errors", ";").alias("errors"))
 
 
 def _yolo(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -86,7 +86,7 @@ def yolo_read_back(spark: SparkSession, folder: str) -> DataFrame:
     place = _place(spark, "yolo")
     writers.write_yolo(writers.yolo_labels(*_yolo(spark, folder), "k"), "k", place)
     rows = annotations.read_yolo(spark, place)
-    return rows.select(F.col("stem").cast("long").alias("image"), "line_number", "class_id", "x_center", "height", F.array_join("errors", ";").alias("errors"))
+    return rows.select(F.col("stem").cast("long").alias("image"), F.col("line_number").cast("long").alias("line_number"), "class_id", "x_center", "height", F.array_join("errors", ";").alias("errors"))
 
 
 @BOOK.query(f"WITH {_KEYS} SELECT k AS image, CASE WHEN k % 3 = 0 THEN 'empty' ELSE 'filled' END AS state FROM s WHERE k % 2 = 0")
@@ -298,7 +298,7 @@ def _bitmap_folder(spark: SparkSession, folder: str) -> str:
 def image_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Sizes of decoded images; broken files and files of no bytes are corrupt, and other files are no images."""
     rows = files.images(spark, _bitmap_folder(spark, folder))
-    return rows.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), "corrupt", "width", "height")
+    return rows.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), "corrupt", *(F.col(c).cast("long").alias(c) for c in ("width", "height")))
 
 
 @BOOK.query(f"""
@@ -309,7 +309,7 @@ SELECT k AS image, sha256(unhex(printf('%02x000000%02x000000', any_value(w), any
 def pixel_prints(spark: SparkSession, folder: str) -> DataFrame:
     """Digest and statistics of the pixels of decoded images."""
     prints = files.pixel_flags(files.fingerprints(files.images(spark, _bitmap_folder(spark, folder))))
-    return prints.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), "pixel_sha256", "pixel_min", "pixel_max", F.round("pixel_mean", 6).alias("pixel_mean"), F.round("pixel_std", 6).alias("pixel_std"), "near_uniform")
+    return prints.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), "pixel_sha256", *(F.col(c).cast("long").alias(c) for c in ("pixel_min", "pixel_max")), F.round("pixel_mean", 6).alias("pixel_mean"), F.round("pixel_std", 6).alias("pixel_std"), "near_uniform")
 
 
 @BOOK.query(f"WITH {_LABELS} SELECT 'img_' || k || '.txt' AS name, sha256(text) AS sha256 FROM t")
