@@ -4,8 +4,8 @@ Statistics of each document are ranked within its language by a range-partitione
 with partition offsets (exact, without a window over a language); the ranks give
 empirical tail probabilities, and the sum of their negative logarithms is the outlier
 score. What is not prose is defined by an absolute share of running sentences, which
-ranks cannot express; so documents whose measured share is clear of the bounds of the
-definition follow it, and where the measure is in doubt the outlier score decides.
+ranks cannot express: below a third is not prose, prose has more than a half. Where the
+cut lies between these bounds is decided by the outlier score of the document.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from curatrix.session import materialize
 STATISTICS = {"words": "both", "mean_word_length": "both", "symbol_ratio": "high", "ended_lines": "low", "common_share": "low", "sentence_share": "low"}
 BASIC = ("words", "mean_word_length", "symbol_ratio", "ended_lines")
 JUNK, PROSE = 1 / 3, 1 / 2  # shares of running sentences: junk stays below the one, prose exceeds the other
-DOUBT = (PROSE - JUNK) / 2  # a measured share this near the bounds, or between them, does not tell
 MOST_WORDS = 1_000_000  # of the vocabulary of common words
 
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
@@ -229,21 +228,22 @@ def tail_scores(statistics: DataFrame, names: tuple[str, ...] | list[str] | None
 
 
 def not_prose(scores: DataFrame) -> DataFrame:
-    """Documents that are not natural prose, of ``tail_scores`` of all six statistics.
-
-    A share of running sentences below ``JUNK`` less ``DOUBT`` is not prose, one above
-    ``PROSE`` plus ``DOUBT`` is. Between them the outlier score decides: the document is
-    not prose if its score is nearer to the mean score of the clear cases of its language
-    that are not prose than to that of those that are. Where a language lacks clear cases
-    of one kind, those of all languages are taken, and without any the middle of the bounds.
+    """Documents that are not natural prose, of ``tail_scores`` of all six statistics: their share of running sentences is below their cut.
+
+    The cut of a document lies between ``JUNK`` and ``PROSE``, the bounds of the definition,
+    where its score lies between the mean scores of the documents of its language that are
+    prose (a share above ``PROSE``) and that are not (below ``JUNK``): a document as usual as
+    prose needs a third in sentences, an outlier like junk a half. Where a language lacks
+    documents of one kind, those of all languages are taken; if there are none, or their
+    scores are no higher than those of prose, the cut is the middle of the bounds.
     """
     share = F.col("sentence_share")
-    kind = F.when(share < JUNK - DOUBT, "junk").when(share > PROSE + DOUBT, "prose").otherwise("doubt")
-    rows = materialize(scores.withColumn("__kind", kind), "scores")
-    mean = lambda k: F.avg(F.when(F.col("__kind") == k, F.col("score")))
+    kind = F.when(share < JUNK, "junk").when(share > PROSE, "prose")
+    mean = lambda k: F.avg(F.when(kind == k, F.col("score")))
+    rows = materialize(scores, "scores")
     by = rows.groupBy("lang_key").agg(mean("junk").alias("__junk"), mean("prose").alias("__prose"))  # one row a language
     every = rows.agg(mean("junk").alias("__all_junk"), mean("prose").alias("__all_prose"))  # one row
-    doubt = rows.where("__kind = 'doubt'").join(F.broadcast(by), "lang_key").crossJoin(F.broadcast(every))
-    limit = (F.coalesce("__junk", "__all_junk") + F.coalesce("__prose", "__all_prose")) / 2
-    decided = doubt.where(F.coalesce(F.col("score") >= limit, share < (JUNK + PROSE) / 2))
-    return rows.where("__kind = 'junk'").select(*scores.columns).unionByName(decided.select(*scores.columns))
+    known = rows.join(F.broadcast(by), "lang_key").crossJoin(F.broadcast(every))
+    high, low = F.coalesce("__junk", "__all_junk"), F.coalesce("__prose", "__all_prose")
+    place = F.when(high > low, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("score") - low) / (high - low)))).otherwise(0.5)
+    return known.where(share < JUNK + (PROSE - JUNK) * place).select(*scores.columns)
