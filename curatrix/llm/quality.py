@@ -29,6 +29,8 @@ MOST_WORDS = 1_000_000  # of the vocabulary of common words
 
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 _MARK = re.compile(r"(?:^|(?<=\s))(?:[-*•·–+]+|\[[ xX]?\]|\(?\d{1,3}[.)])(?=\s)", re.M)
+_LEAD = re.compile(r"^[ \t]*(?:[-*•·–+>]+|\[[ xX]?\]|\(?\d{1,3}[.)])[ \t]+", re.M)
+_BLANK = re.compile(r"\n\s*\n")
 _STRIP = " \t.,;:!?\"'()[]{}<>*_`~|-–—„“”‚‘’…/\\#=+&"
 _INNER_END = re.compile(r"[.!?…,;:]\s+\S")
 GAP, LEAST_COMMON, LEAST_KINDS, LEAST_TOKENS = 8, 3, 3, 7
@@ -56,16 +58,23 @@ def _units(text: str, common: _Common) -> Iterator[tuple[list[str], bool]]:
 
     A list marker begins a unit. Lines in a row are one unit if they look like wrapped
     prose: some line breaks off behind a common word, or ends within a sentence while
-    another sentence ends inside a line. Otherwise each line is a unit of its own.
+    another sentence ends inside a line. Otherwise each line is a unit of its own. Lines
+    that begin with markers but break off behind common words are wrapped prose as well,
+    in the dress of a list.
     """
-    for n, piece in enumerate(_MARK.split(text)):
-        item = n > 0
-        for block in re.split(r"\n\s*\n", piece):
-            lines = [x for x in block.split("\n") if x and not x.isspace()]
+    for block in _BLANK.split(text):
+        dressed = [x for x in block.split("\n") if x and not x.isspace()]
+        bare = [_LEAD.sub("", x).split() for x in dressed] if len(dressed) > 1 and _LEAD.search(block) else []
+        if bare and sum(1 for t in bare[:-1] if t and common[t[-1]]) * 8 >= len(bare):
+            yield [x for t in bare for x in t], False
+            continue
+        for n, piece in enumerate(_MARK.split(block)):
+            item = n > 0
+            lines = [x for x in piece.split("\n") if x and not x.isspace()]
             if len(lines) > 1:
                 tokens = [x.split() for x in lines]
                 broken = sum(1 for t in tokens[:-1] if common[t[-1]])
-                if broken * 8 >= len(lines) or (broken and _INNER_END.search(block)):
+                if broken * 8 >= len(lines) or (broken and _INNER_END.search(piece)):
                     yield [x for t in tokens for x in t], item
                 else:
                     for t in tokens:
@@ -73,8 +82,17 @@ def _units(text: str, common: _Common) -> Iterator[tuple[list[str], bool]]:
                         item = False
             elif lines:
                 yield lines[0].split(), item
-            if lines:
-                item = False
+
+
+def _clauses(units: Iterator[tuple[list[str], bool]]) -> Iterator[tuple[list[str], bool]]:
+    """The units cut behind each semicolon, which parts clauses in prose and entries in a list."""
+    for tokens, item in units:
+        a = 0
+        for b, token in enumerate(tokens, 1):
+            if token[-1] == ";" and b < len(tokens):
+                yield tokens[a:b], item
+                a = b
+        yield tokens[a:] if a else tokens, item
 
 
 def _sentences(tokens: list[str], words: list[str]) -> Iterator[tuple[int, int]]:
@@ -105,7 +123,7 @@ def prose_shares(text: str | None, common: _Common) -> tuple[float, float]:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
     total = seen = hits = inside = 0
-    for tokens, item in _units(text.lower(), common):
+    for tokens, item in _clauses(_units(text.lower(), common)):
         words = list(map(common.__getitem__, tokens))
         at = [i for i, w in enumerate(words) if w]
         total += sum(map(len, tokens))

@@ -126,3 +126,16 @@ def test_score_places_the_cut_between_the_bounds(spark):
     assert [(x["doc_id"], x["lang_key"], x["score"]) for x in nulls.collect()] == [(1, "und", 0.0)]
     assert [x["doc_id"] for x in quality.not_prose(nulls).collect()] == [1]
     assert quality.not_prose(scored.where("false")).count() == 0
+
+
+def test_lists_by_semicolons_and_prose_in_the_dress_of_a_list():
+    common = quality._Common(frozenset("the a of and was that in at by had this not so he before they went an on only whenever die der das hinter dem an mit aus auf".split()))
+    entries = "das Lager hinter dem Tor x1; die doppelte Aufnahme; die Kamera an der Schranke x2; das Licht der Scheinwerfer; das Fahrzeug auf der Waage; " * 4
+    assert quality.prose_shares(entries, common)[1] < 0.2
+    clauses = "The guard at the gate had seen that the truck was not on the list; he asked the driver for a paper and wrote it down in the book before they went on."
+    assert quality.prose_shares(clauses, common)[1] > 0.8
+    dressed = "- The ordinary label file doubled the\n- street sign, whenever an overexposed\n- driver on a muddy road turned at the\n- mounting screw. As soon as that was\n- known, he asked the guard in the\n- yard for a paper and went on."
+    assert quality.prose_shares(dressed, common)[1] > 0.8
+    assert quality.prose_shares(dressed.replace("- ", "> "), common)[1] > 0.8
+    items = "- label file of the review note\n- queue of the shutter\n- plate\n- list of the night run\n- crop of the source folder\n- hyphen"
+    assert quality.prose_shares(items, common)[1] < 0.2
