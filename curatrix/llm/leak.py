@@ -61,6 +61,9 @@ class _WordHashes(dict):
         return value
 
 
+_HASHES = _WordHashes()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(31)
     x *= np.uint64(0x9E3779B97F4A7C15)
@@ -115,6 +118,28 @@ def _expand(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return which, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts, n)
 
 
+class Texts:
+    """Some texts as hashes of their words and shingles, made once and searched by any number of indexes."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        words, ends, total = [], [0], 0
+        for t in texts:
+            w = plain_words(t)
+            words += map(_HASHES.__getitem__, w)
+            total += len(w)
+            ends.append(total)
+        self.number = len(texts)
+        self.ends = np.array(ends)
+        self.words = np.fromiter(words, np.uint64, total)
+        counts = np.maximum(np.diff(self.ends) - SHINGLE + 1, 0)
+        _, places = _expand(self.ends[:-1], self.ends[:-1] + counts)
+        self.shingles = shingle_hashes(self.words)[places]
+        self.doc_of = np.repeat(np.arange(self.number), counts)
+        begin = np.cumsum(counts) - counts  # first shingle of each text
+        self.in_doc = np.arange(len(self.shingles)) - begin[self.doc_of]
+        self.blocks = np.flatnonzero(self.in_doc % BLOCK == 0)
+
+
 class ItemIndex:
     """MinHash signatures of the items' segments by size class, and the postings of their shingles."""
 
@@ -204,43 +229,25 @@ class ItemIndex:
                 out.append(docs[keys >> 32] * len(self.ids) + self.classes[size][0][keys & 0xFFFFFFFF])
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
 
-    def search_short(self, texts: list[str | None]) -> Iterator[tuple[int, object]]:
+    def search_short(self, texts: Texts) -> Iterator[tuple[int, object]]:
         """(number of the text, item) where all words of an item that is shorter than a shingle stand in a row."""
-        for d, t in enumerate(texts if self.short else ()):
-            words = np.array([_HASHES[w] for w in plain_words(t)], np.uint64)
+        for d in range(texts.number if self.short else 0):
+            words = texts.words[texts.ends[d] : texts.ends[d + 1]]
             for n, (keys, items) in self.short.items():
                 here = np.unique(shingle_hashes(words, n))
                 for k in np.flatnonzero(np.isin(keys, here)):
                     yield from ((d, i) for i in items[k])
 
-    def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, float]]:
+    def search(self, texts: Texts) -> Iterator[tuple[int, int, int, float]]:
         """(number of the text, number of the item, shared shingles, reproduced share) of each leak."""
-        if not self.ids:
+        if not self.ids or not len(texts.shingles):
             return
-        hashes = _HASHES
-        words, ends, total = [], [0], 0
-        for t in texts:
-            w = plain_words(t)
-            words += map(hashes.__getitem__, w)
-            total += len(w)
-            ends.append(total)
-        ends = np.array(ends)
-        flat = np.fromiter(words, np.uint64, total)
-        del words
-        counts = np.maximum(np.diff(ends) - SHINGLE + 1, 0)
-        if not counts.sum():
-            return
-        _, places = _expand(ends[:-1], ends[:-1] + counts)
-        shingles = shingle_hashes(flat)[places]
-        doc_of = np.repeat(np.arange(len(texts)), counts)
-        begin = np.cumsum(counts) - counts  # first shingle of each text
-        in_doc = np.arange(len(shingles)) - begin[doc_of]
-        blocks = np.flatnonzero(in_doc % BLOCK == 0)
+        flat, ends, shingles, doc_of, in_doc, blocks = texts.words, texts.ends, texts.shingles, texts.doc_of, texts.in_doc, texts.blocks
         wanted = self.candidates(shingles, blocks, doc_of[blocks])
         if not len(wanted):
             return
         # only documents that MinHash proposes are looked up, and of them only the items it proposes
-        proposed = np.zeros(len(texts), bool)
+        proposed = np.zeros(texts.number, bool)
         proposed[wanted // len(self.ids)] = True
         open_at = np.flatnonzero(proposed[doc_of])
         at, where = self.look.find(shingles[open_at])
@@ -294,9 +301,6 @@ class ItemIndex:
                 yield doc, item, most, share
 
 
-_HASHES = _WordHashes()
-
-
 def word_masks(words: np.ndarray) -> dict[int, int]:
     """For each word of an item the set of its places, as bits."""
     out: dict[int, int] = {}
@@ -348,17 +352,19 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
-def leaks(documents: DataFrame, items: DataFrame, block_items: int = 20_000) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, block_items: int = 20_000, blocks_a_pass: int = 8) -> DataFrame:
     """Columns ``doc_id, item_id, shared_shingles, reproduced_share``: each document with each item it leaks.
 
     ``documents(doc_id, text)`` and ``items(item_id, text)``; other columns are ignored.
     Null and blank texts leak nothing; an item of fewer than five words leaks where all of
-    them stand in a row. Equal items under two ids are two cases, and so are documents repeated under one id. Texts are
-    read whole, whatever their length.
+    them stand in a row. Equal items under two ids are two cases, and so are documents
+    repeated under one id. Texts are read whole, whatever their length.
 
     The items are the stated query set: they are indexed and sent to the executors in
-    blocks of at most ``block_items`` (about 40 MB each), one pass over the documents
-    for each block. The documents are read once a pass and are not shuffled.
+    blocks of at most about ``block_items`` (some 40 MB each). A pass over the documents
+    serves ``blocks_a_pass`` of them, hashing the texts once for all; the documents are not
+    shuffled, and exploding their windows for a join with the items would move far more
+    than a further pass reads.
     """
     spark = documents.sparkSession
     rows = items.select("item_id", "text").where("item_id is not null and text is not null")
@@ -366,23 +372,27 @@ def leaks(documents: DataFrame, items: DataFrame, block_items: int = 20_000) ->
     kind = dict(rows.dtypes)["item_id"]
     doc_kind = dict(documents.dtypes)["doc_id"]
     out = None
-    for k in range(blocks):
-        part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        index = spark.sparkContext.broadcast(ItemIndex(sorted((r[0], r[1]) for r in part.collect())))
-
-        def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            found = index.value
-            some = found.ids[:1] or [x for _, items in found.short.values() for x in items[0]][:1]
-            item_type, doc_type = pa.array(some).type if some else pa.int64(), None
+    for first in range(0, blocks, blocks_a_pass):
+        held = []
+        for k in range(first, min(blocks, first + blocks_a_pass)):
+            part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+            held.append(spark.sparkContext.broadcast(ItemIndex(sorted((r[0], r[1]) for r in part.collect()))))
+
+        def scan(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            indexes = [b.value for b in held]
+            some = [i for x in indexes for i in (x.ids[:1] or [y for _, items in x.short.values() for y in items[0]][:1])][:1]
+            item_type = pa.array(some).type if some else pa.int64()
             for batch in batches:
-                doc_type = batch.schema.field(0).type
-                texts = batch.column(1).to_pylist()
-                hits = [(a + d, found.ids[i], n, s) for a, b in _slices(texts) for d, i, n, s in found.search(texts[a:b])]
-                hits += [(d, i, 0, 1.0) for d, i in found.search_short(texts)]
+                texts, hits = batch.column(1).to_pylist(), []
+                for a, b in _slices(texts):
+                    own = Texts(texts[a:b])
+                    for index in indexes:
+                        hits += [(a + d, index.ids[i], n, s) for d, i, n, s in index.search(own)]
+                        hits += [(a + d, i, 0, 1.0) for d, i in index.search_short(own)]
                 if hits:
                     d, i, n, s = zip(*hits)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(d)).cast(doc_type), pa.array(i, item_type), pa.array(n, pa.int32()), pa.array(s, pa.float64())],
+                        [batch.column(0).take(pa.array(d)), pa.array(i, item_type), pa.array(n, pa.int32()), pa.array(s, pa.float64())],
                         ["doc_id", "item_id", "shared_shingles", "reproduced_share"],
                     )
 

@@ -51,7 +51,7 @@ def test_finds_all_and_nothing_else(spark, data):
     d = d.withColumnRenamed("text", "t").selectExpr("doc_id", "t as text", "'clash' as item_id", "1 as reproduced_share")
     got = {(r["doc_id"], r["item_id"]) for r in leak.leaks(d, i).collect()}
     assert got == want
-    assert {(r["doc_id"], r["item_id"]) for r in leak.leaks(d, i, block_items=20).collect()} == want
+    assert {(r["doc_id"], r["item_id"]) for r in leak.leaks(d, i, block_items=20, blocks_a_pass=2).collect()} == want
 
 
 def test_spelling_makes_no_difference(spark, data):
@@ -109,7 +109,7 @@ def test_recall_at_the_limit(even):
             part = [x for k, v in enumerate(part) for x in (r.choice([[], [v, "zz"], ["yy"]]) if k in at else [v])]
             want.add((d, i))
         texts.append(" ".join(r.choices(words, k=r.randint(0, 300)) + part + r.choices(words, k=r.randint(0, 300))))
-    got = {(d, i) for d, i, _, _ in index.search(texts)}
+    got = {(d, i) for d, i, _, _ in index.search(leak.Texts(texts))}
     assert got <= want
     assert len(got) >= (1 if even else 0.99) * len(want)
     hashed = [np.array([leak._HASHES[x] for x in leak.plain_words(t)], np.uint64) for t in texts]
