@@ -266,8 +266,8 @@ def replica_presence(spark: SparkSession, folder: str) -> DataFrame:
     return replica_check(images.select(F.col("k").alias("stem")), have, "stem", "folder", ["a", "b", "c"])
 
 
-def _bitmaps(rows: DataFrame) -> DataFrame:
-    """``name, data``: small bitmap files of computed pixels, some broken, some of no bytes."""
+def _bitmaps(rows: DataFrame, size: tuple[int, int] | None = None) -> DataFrame:
+    """``name, data``: small bitmap files of computed pixels, of one ``size`` or of several with some broken and some of no bytes."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -275,13 +275,13 @@ def _bitmaps(rows: DataFrame) -> DataFrame:
         for b in batches:
             names, data = [], []
             for k in b.column(0).to_pylist():
-                w, h = 8 + k % 5, 6 + k % 3
+                w, h = size or (8 + k % 5, 6 + k % 3)
                 rgb = ((k * 7 + np.arange(w * h * 3)) * 13 % 256).astype(np.uint8).reshape(h, w, 3)
                 lines = b"".join(x[:, ::-1].tobytes() + bytes(-3 * w % 4) for x in rgb[::-1])
                 head = b"BM" + (54 + len(lines)).to_bytes(4, "little") + bytes(4) + (54).to_bytes(4, "little")
                 info = (40).to_bytes(4, "little") + w.to_bytes(4, "little") + h.to_bytes(4, "little") + (1).to_bytes(2, "little") + (24).to_bytes(2, "little") + bytes(24)
                 names.append(f"{k}.bmp")
-                data.append(b"no picture" if k % 8 == 0 else b"" if k % 9 == 0 else head + info + lines)
+                data.append(b"no picture" if k % 8 == 0 and not size else b"" if k % 9 == 0 and not size else head + info + lines)
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(data, pa.binary())], ["name", "data"])
 
     return rows.select("k").mapInArrow(scan, "name string, data binary")
@@ -312,6 +312,19 @@ def pixel_prints(spark: SparkSession, folder: str) -> DataFrame:
     return prints.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), "pixel_sha256", *(F.col(c).cast("long").alias(c) for c in ("pixel_min", "pixel_max")), F.round("pixel_mean", 6).alias("pixel_mean"), F.round("pixel_std", 6).alias("pixel_std"), "near_uniform")
 
 
+@BOOK.query(f"""
+WITH {_KEYS}, v AS (SELECT k, i, (k * 7 + i) * 13 % 256 AS v FROM s, range(216) t(i)), p AS (SELECT k, i // 3 AS at, round_even(sum(v * CASE i % 3 WHEN 0 THEN 0.299::DOUBLE WHEN 1 THEN 0.587 ELSE 0.114 END), 0) AS grey FROM v GROUP BY 1, 2),
+b AS (SELECT a.k, a.at // 9 * 8 + a.at % 9 AS bit, b.grey > a.grey AS up FROM p a JOIN p b ON b.k = a.k AND b.at = a.at + 1 WHERE a.at % 9 < 8)
+SELECT k AS image, sum(CASE WHEN up THEN 1::HUGEINT << (63 - bit)::INTEGER ELSE 0 END)::UBIGINT::VARCHAR AS dhash FROM b GROUP BY k
+""")
+def difference_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """The hash of brightness steps, of images that have the size it is taken at."""
+    place = _place(spark, "bitmaps")
+    put_files(_bitmaps(_images(spark, folder), (9, 8)), place)
+    prints = files.fingerprints(files.images(spark, place))
+    return prints.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), F.conv(F.hex("dhash"), 16, 10).alias("dhash"))
+
+
 @BOOK.query(f"WITH {_LABELS} SELECT 'img_' || k || '.txt' AS name, sha256(text) AS sha256 FROM t")
 def copied_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files copied under their canonical names, extensions in lower case."""
