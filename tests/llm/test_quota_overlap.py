@@ -152,3 +152,12 @@ def test_overlap_against_brute_force(spark, crowded):
     report = overlap.overlap_report(pairs, m).collect()
     assert {r["source_dataset"] for r in report} == {"d1"} and sum(r["pairs"] for r in report) == pairs.count()
     assert overlap.overlap_pairs(m.where("false"), f.where("false")).count() == 0
+
+
+def test_invariants_of_empty_tables(spark):
+    images, targets = spark.createDataFrame([], IMAGES), spark.createDataFrame([(1, "CandidateCategory", "a", 0.5, 2, 10)], TARGETS)
+    sample = quota.target_sample(images, targets)
+    assert quota.sample_invariants(sample, images, targets).count() == 0
+    rows = spark.createDataFrame([("a1", 1, "a", "", "accepted_negative", "q", "q")], IMAGES)
+    got = [tuple(x) for x in quota.sample_invariants(quota.target_sample(rows, targets), rows, targets).collect()]
+    assert got == [(1, 1, 1, 0, 0)]

@@ -159,3 +159,15 @@ def test_quotas_are_whole(bundles):
         for k, x in shares.items():
             got = sum(s * g[k] for (s, _, _), g in zip(bundles, out))
             assert abs(got - x * total) <= 7
+
+
+def test_invariants_of_an_assignment(spark):
+    targets = spark.createDataFrame([("train", 0.5), ("val", 0.5)], "split_name string, target_share double")
+    m = manifest(spark, [("a", "d", "g1", "train", "included", 1), ("b", "d", "g1", "val", "included", 1), ("c", "d", "g2", None, "included", 1), ("  ", "d", "g3", "train", "included", 1)])
+    none = spark.createDataFrame([], LINKS)
+    out = split.assignment(m, none, targets)
+    assert {(x["records"], x["torn_units"], x["torn_related"]) for x in split.split_invariants(out, targets).collect()} == {(2, 0, 0), (1, 0, 0)}
+    torn = out.withColumn("assigned_split", F.when(F.col("id") == "a", "train").otherwise("val"))
+    assert {(x["torn_units"], x["torn_related"]) for x in split.split_invariants(torn, targets).collect()} == {(1, 1)}
+    empty = split.assignment(m.where("false"), none, targets)
+    assert {(x["records"], x["torn_units"]) for x in split.split_invariants(empty, targets).collect()} == {(0, 0)}
