@@ -266,8 +266,8 @@ def replica_presence(spark: SparkSession, folder: str) -> DataFrame:
     return replica_check(images.select(F.col("k").alias("stem")), have, "stem", "folder", ["a", "b", "c"])
 
 
-def _bitmaps(rows: DataFrame, size: tuple[int, int] | None = None) -> DataFrame:
-    """``name, data``: small bitmap files of computed pixels, of one ``size`` or of several with some broken and some of no bytes."""
+def _bitmaps(rows: DataFrame, size: tuple[int, int] | None = None, rough: bool = False) -> DataFrame:
+    """``name, data``: small bitmap files of computed pixels, of one ``size`` or of several with some broken and some of no bytes; ``rough`` ones have no period."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -276,7 +276,8 @@ def _bitmaps(rows: DataFrame, size: tuple[int, int] | None = None) -> DataFrame:
             names, data = [], []
             for k in b.column(0).to_pylist():
                 w, h = size or (8 + k % 5, 6 + k % 3)
-                rgb = ((k * 7 + np.arange(w * h * 3)) * 13 % 256).astype(np.uint8).reshape(h, w, 3)
+                i = np.arange(w * h * 3)
+                rgb = ((k * 7 + i) * (i * 17 + k + 1) % 251 if rough else (k * 7 + i) * 13 % 256).astype(np.uint8).reshape(h, w, 3)
                 lines = b"".join(x[:, ::-1].tobytes() + bytes(-3 * w % 4) for x in rgb[::-1])
                 head = b"BM" + (54 + len(lines)).to_bytes(4, "little") + bytes(4) + (54).to_bytes(4, "little")
                 info = (40).to_bytes(4, "little") + w.to_bytes(4, "little") + h.to_bytes(4, "little") + (1).to_bytes(2, "little") + (24).to_bytes(2, "little") + bytes(24)
@@ -325,6 +326,21 @@ def difference_hashes(spark: SparkSession, folder: str) -> DataFrame:
     return prints.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), F.conv(F.hex("dhash"), 16, 10).alias("dhash"))
 
 
+@BOOK.query(f"""
+WITH {_KEYS}, v AS (SELECT k, i, (k * 7 + i) * (i * 17 + k + 1) % 251 AS v FROM s, range(3072) t(i)), p AS (SELECT k, i // 96 AS y, i // 3 % 32 AS x, round_even(sum(v * CASE i % 3 WHEN 0 THEN 0.299::DOUBLE WHEN 1 THEN 0.587 ELSE 0.114 END), 0) AS grey FROM v GROUP BY ALL),
+c AS (SELECT u, n, cos(pi() * (2 * n + 1) * u / 64) * sqrt(2.0::DOUBLE / 32) / CASE WHEN u = 0 THEN sqrt(2.0::DOUBLE) ELSE 1 END AS w FROM range(8) a(u), range(32) b(n)),
+r AS (SELECT k, u, x, sum(grey * w) AS f FROM p JOIN c ON n = y GROUP BY ALL), q AS (SELECT k, r.u * 8 + c.u AS bit, sum(f * w) AS f FROM r JOIN c ON n = x GROUP BY ALL),
+m AS (SELECT k, list_sort(list(f) FILTER (bit > 0))[32] AS middle FROM q GROUP BY k)
+SELECT k AS image, sum(CASE WHEN f > middle THEN 1::HUGEINT << (63 - bit)::INTEGER ELSE 0 END)::UBIGINT::VARCHAR AS phash FROM q JOIN m USING (k) GROUP BY k
+""")
+def cosine_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """The hash of the lowest cosine coefficients, of images that have the size it is taken at."""
+    place = _place(spark, "bitmaps")
+    put_files(_bitmaps(_images(spark, folder), (32, 32), rough=True), place)
+    prints = files.fingerprints(files.images(spark, place))
+    return prints.select(F.regexp_extract("path", r"(\d+)\.bmp$", 1).cast("long").alias("image"), F.conv(F.hex("phash"), 16, 10).alias("phash"))
+
+
 @BOOK.query(f"WITH {_LABELS} SELECT 'img_' || k || '.txt' AS name, sha256(text) AS sha256 FROM t")
 def copied_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files copied under their canonical names, extensions in lower case."""
