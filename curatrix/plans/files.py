@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.contracts import physical_problems
+from curatrix.contracts import ContractError, physical_problems
 from curatrix.functions.hashing import table_digest
 from curatrix.operators.review import replica_check
 from curatrix.plans.registry import Book
@@ -407,3 +407,40 @@ def fetched_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     got = tables.fetch_rows(images.withColumn("url", F.concat(F.lit(f"{place}/"), "k", F.lit(".bin"))), "k", "url", fetch, tries=2, pause=0.0)
     return got.select(F.col("k").alias("image"), F.length("bytes").cast("long").alias("bytes"), F.col("error").isNotNull().alias("failed"))
+
+
+@BOOK.query("SELECT 'second' AS version, count(*) AS row_count FROM nation")
+def swapped_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder replaced as a whole: a build that fails its check leaves the one before."""
+    place = _place(spark, "swap")
+    build = lambda n, name: lambda path: table(spark, folder, "nation").limit(n).withColumn("version", F.lit(name)).write.parquet(path)
+
+    def whole(path: str) -> None:
+        if spark.read.parquet(path).count() < 25:
+            raise ContractError("not all nations")
+
+    writers.swap_folder(build(25, "first"), f"{place}/pool", whole)
+    writers.swap_folder(build(25, "second"), f"{place}/pool", whole)
+    try:
+        writers.swap_folder(build(3, "third"), f"{place}/pool", whole)
+    except ContractError:
+        pass
+    return spark.read.parquet(f"{place}/pool").groupBy("version").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@BOOK.query("SELECT s AS name, CASE WHEN s = 'test_2' THEN 'old' ELSE 'new' END || (SELECT count(*) FROM region)::VARCHAR AS text FROM (VALUES ('train'), ('test'), ('test_2')) t(s)")
+def committed_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Several files replaced all or none, and a copy of one with a time in its name made before."""
+    import datetime
+
+    place, n = _place(spark, "commit"), table(spark, folder, "region").count()
+    put_files(spark.createDataFrame([(f"{x}.txt", f"old{n}".encode()) for x in ("train", "test")], "name string, data binary"), place)
+    kept = writers.backup(f"{place}/test.txt", datetime.datetime(2024, 1, 2))
+    writers.commit_texts({f"{place}/{x}.txt": f"new{n}" for x in ("train", "test")})
+    try:
+        writers.commit_texts({f"{place}/train.txt": "lost", f"{place}/none/x.txt": "lost"})
+    except OSError:
+        pass
+    assert kept.endswith("test_20240102_000000.txt")
+    rows = files.list_files(spark, place, [".txt"], content=True)
+    return rows.select(F.regexp_replace("stem", "_2024.*$", "_2").alias("name"), F.decode("content", "UTF-8").alias("text"))

@@ -5,18 +5,17 @@ from __future__ import annotations
 import json
 import os
 import re
-import shutil
 from collections.abc import Callable
 from datetime import datetime
 
-from pyarrow.fs import FileSelector
+from pyarrow.fs import FileSelector, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.contracts import ContractError
 from curatrix.functions.geometry import centre_to_pixels
 from curatrix.operators.ranks import global_positions
-from curatrix.sources.storage import put, put_files, remove_files, store
+from curatrix.sources.storage import copy, exists, move, put, put_files, remove, remove_files, store
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -122,13 +121,17 @@ def coco_document(images: DataFrame, annotations: DataFrame, category: str = "li
 
 
 def write_text_atomic(path: str, text: str) -> None:
-    """Write beside the target, sync, then replace it: readers see the old or the new file."""
-    part = f"{path}.tmp.{os.getpid()}"
+    """Write beside the target, then replace it: readers see the old or the new file. On a local file system the data are synced first."""
+    system, local, _ = store(path)
+    if not isinstance(system, LocalFileSystem):
+        put(path, text.encode())
+        return
+    part = f"{local}.tmp.{os.getpid()}"
     with open(part, "w", encoding="utf-8", newline="") as out:
         out.write(text)
         out.flush()
         os.fsync(out.fileno())
-    os.replace(part, path)
+    os.replace(part, local)
 
 
 def commit_texts(files: dict[str, str]) -> None:
@@ -139,58 +142,60 @@ def commit_texts(files: dict[str, str]) -> None:
         for p, text in files.items():
             write_text_atomic(parts[p], text)
         for p in files:
-            if os.path.exists(p):
-                os.replace(p, f"{p}.bak")
+            if exists(p):
+                move(p, f"{p}.bak")
             done.append(p)
-            os.replace(parts[p], p)
+            move(parts[p], p)
     except OSError:
         for p in done:
-            if os.path.exists(f"{p}.bak"):
-                os.replace(f"{p}.bak", p)
-            elif os.path.exists(p):
-                os.remove(p)
+            if exists(f"{p}.bak"):
+                move(f"{p}.bak", p)
+            else:
+                remove(p)
         raise
     finally:
         for p in files:
             for q in (parts[p], f"{p}.bak"):
-                if os.path.exists(q):
-                    os.remove(q)
+                remove(q)
 
 
 def swap_folder(build: Callable[[str], None], target: str, check: Callable[[str], None] | None = None) -> None:
-    """Build a folder beside the target, check it, swap it in, check again; the old folder comes back if that fails."""
+    """Build a folder beside the target, check it, swap it in, check again; the old folder comes back if that fails.
+
+    For file systems that rename folders.
+    """
     stage, old = f"{target}.stage", f"{target}.old"
-    if os.path.exists(stage) or os.path.exists(old):
+    if exists(stage) or exists(old):
         raise ContractError(f"left over from an earlier run: {stage} or {old}")
     try:
         build(stage)
         if check:
             check(stage)
     except BaseException:
-        shutil.rmtree(stage, ignore_errors=True)
+        remove(stage)
         raise
-    if os.path.exists(target):
-        os.rename(target, old)
+    if exists(target):
+        move(target, old)
     try:
-        os.rename(stage, target)
+        move(stage, target)
         if check:
             check(target)
     except BaseException:
-        shutil.rmtree(target, ignore_errors=True)
-        if os.path.exists(old):
-            os.rename(old, target)
+        remove(target)
+        if exists(old):
+            move(old, target)
         raise
-    shutil.rmtree(old, ignore_errors=True)
+    remove(old)
 
 
 def backup(path: str, now: datetime | None = None) -> str | None:
     """Copy a file to a name with the time before it is edited; None if there is none."""
-    if not os.path.exists(path):
+    if not exists(path):
         return None
     root, ext = os.path.splitext(path)
-    copy = f"{root}_{(now or datetime.now()):%Y%m%d_%H%M%S}{ext}"
-    shutil.copy2(path, copy)
-    return copy
+    name = f"{root}_{(now or datetime.now()):%Y%m%d_%H%M%S}{ext}"
+    copy(path, name)
+    return name
 
 
 def with_constants(df: DataFrame, **values: object) -> DataFrame:

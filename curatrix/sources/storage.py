@@ -99,3 +99,29 @@ def remove_files(paths: DataFrame) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
 
     paths.select("path").mapInArrow(scan, "n bigint").agg(F.sum("n")).collect()
+
+
+def exists(uri: str) -> bool:
+    system, path, _ = store(uri)
+    return system.get_file_info(path).type != fs.FileType.NotFound
+
+
+def move(source: str, target: str) -> None:
+    """Rename a file or folder within one file system; a file in the way is replaced."""
+    system, path, _ = store(source)
+    system.move(path, store(target)[1])
+
+
+def copy(source: str, target: str) -> None:
+    system, path, _ = store(source)
+    system.copy_file(path, store(target)[1])
+
+
+def remove(uri: str) -> None:
+    """Delete a file or a folder with all that is in it; nothing happens if it isn't there."""
+    system, path, _ = store(uri)
+    kind = system.get_file_info(path).type
+    if kind == fs.FileType.Directory:
+        system.delete_dir(path)
+    elif kind != fs.FileType.NotFound:
+        system.delete_file(path)
