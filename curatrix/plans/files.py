@@ -444,3 +444,23 @@ def committed_texts(spark: SparkSession, folder: str) -> DataFrame:
     assert kept.endswith("test_20240102_000000.txt")
     rows = files.list_files(spark, place, [".txt"], content=True)
     return rows.select(F.regexp_replace("stem", "_2024.*$", "_2").alias("name"), F.decode("content", "UTF-8").alias("text"))
+
+
+@BOOK.query("SELECT 3 AS attempts, string_agg(r_name, ';' ORDER BY r_name) AS text FROM region")
+def cached_download(spark: SparkSession, folder: str) -> DataFrame:
+    """A file fetched after two failures, and not again once it is there; no partial file stays."""
+    place, calls = _place(spark, "download"), []
+    names = table(spark, folder, "region").agg(F.array_join(F.array_sort(F.collect_set("r_name")), ";").alias("text"))
+    writers.write_texts(names.select(F.lit("index").alias("name"), "text"), f"{place}/far", ".txt")
+
+    def opener(url: str, timeout: float):
+        calls.append(url)
+        if len(calls) < 3:
+            raise OSError("down")
+        system, path, _ = store(url)
+        return system.open_input_stream(path)
+
+    for _ in range(2):
+        tables.download(f"{place}/far/index.txt", f"{place}/index.txt", opener=opener, wait=lambda _: None)
+    rows = files.list_files(spark, place, content=True)
+    return rows.select(F.lit(len(calls)).alias("attempts"), F.decode("content", "UTF-8").alias("text"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import time
 import urllib.request
 
@@ -12,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from curatrix.contracts import ContractError, require_columns, require_complete, require_unique
 from curatrix.functions.text import folded
+from curatrix.sources.storage import remove, store
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -86,20 +86,20 @@ def download(url: str, path: str, tries: int = 4, timeout: float = 60.0, opener=
 
     A driver-side helper for a handful of index files, not for rows of a table.
     """
-    if os.path.exists(path) and os.path.getsize(path):
+    system, place, _ = store(path)
+    if system.get_file_info(place).size:
         return path
     last: Exception | None = None
     for k in range(tries):
         try:
-            with opener(url, timeout=timeout) as response, open(f"{path}.part", "wb") as out:
+            with opener(url, timeout=timeout) as response, system.open_output_stream(f"{place}.part") as out:
                 while chunk := response.read(1 << 20):
                     out.write(chunk)
-            os.replace(f"{path}.part", path)
+            system.move(f"{place}.part", place)
             return path
         except OSError as e:
             last = e
-            if os.path.exists(f"{path}.part"):
-                os.remove(f"{path}.part")
+            remove(f"{path}.part")
             if k + 1 < tries:
                 wait(2**k)
     raise ContractError(f"{url}: {last}")
