@@ -159,3 +159,16 @@ def test_stage_tables_are_removed(spark):
         place = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
         assert df.count() == 3 and os.path.isdir(place)
     assert not os.path.exists(place)
+
+
+@pytest.mark.parametrize("crowded", [4_000_000, 4])
+def test_hamming_join_of_one_hash_with_itself(spark, crowded):
+    r = random.Random(12)
+    base = [r.getrandbits(62) for _ in range(60)] + [r.getrandbits(8) for _ in range(40)]  # forty that share most bits
+    rows = base + [x ^ (1 << r.randrange(62)) ^ (1 << r.randrange(62)) for x in base]
+    df = spark.createDataFrame([(x,) for x in rows + rows[:9]] + [(None,)], "h long")
+    got = [tuple(x) for x in hamming_join(df, df, "h", 3, crowded=crowded, bands=4, halve=True).collect()]
+    values = sorted(set(rows))
+    want = {(a, b) for a in values for b in values if a <= b and (a ^ b).bit_count() <= 3}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert hamming_join(df.where("false"), df, "h", 3).count() == 0
