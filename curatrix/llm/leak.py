@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 SHINGLE, SEGMENTS, HASHES, AGREE = 5, 5, 48, 2
 BLOCK = 8  # shingles; the smallest window has two blocks
 EDIT_PRICE = 2  # words of reproduced text that one changed, dropped or added word outweighs
+ALTERED, STRICT_PRICE = 0.2, 6  # a stretch of which more is changed counts only with the part that a strict price leaves
 REPRODUCED = 0.3  # of an item's words: leaks reach two fifths before changes, others a quarter at most
 NET = 0.1  # of an item's words: those a stretch's shared shingles cover, less the words of the stretch that they pass over
 MARGIN = 0.25  # of an item's words: around the shared shingles the alignment may use so many, as changes in a row leave none
@@ -296,7 +297,7 @@ class ItemIndex:
                     continue
                 # shared shingles alone may show enough, with few words passed over; else align
                 shown = cover >= 1.3 * REPRODUCED * len(words) and cover - net <= cover / 4
-                share, most = max(share, (kept if shown else reproduced(stretch, words)) / len(words)), max(most, n)
+                share, most = max(share, (kept if shown else faithful(stretch, words)) / len(words)), max(most, n)
             if share >= REPRODUCED:
                 yield doc, item, most, share
 
@@ -319,13 +320,20 @@ def in_order(stretch: list[int], masks: dict[int, int], n: int) -> int:
     return n - row.bit_count()
 
 
-def reproduced(stretch: np.ndarray, item: np.ndarray) -> int:
-    """Words of ``item`` that the best local alignment with ``stretch`` reproduces in order.
+def faithful(stretch: np.ndarray, item: np.ndarray) -> int:
+    """Words of ``item`` that a stretch reproduces in order with few words changed: at most ``ALTERED`` of it, else what ``STRICT_PRICE`` leaves."""
+    words, changes = reproduced(stretch, item)
+    return words if changes <= ALTERED * (words + changes) else reproduced(stretch, item, STRICT_PRICE)[0]
 
-    A reproduced word counts 1, each changed, dropped or added word costs ``EDIT_PRICE``.
+
+def reproduced(stretch: np.ndarray, item: np.ndarray, price: int = EDIT_PRICE) -> tuple[int, int]:
+    """(words of ``item`` that the best local alignment with ``stretch`` reproduces in order, words changed in it).
+
+    A reproduced word counts 1, each changed, dropped or added word costs ``price``.
     Score and words are carried in one number, the score in the high part.
     """
-    unit, price = 1 << 20, EDIT_PRICE << 20
+    unit, cost = 1 << 20, price
+    price = price << 20
     ramp = np.arange(len(stretch) + 1, dtype=np.int64) * price
     row = np.zeros(len(stretch) + 1, np.int64)
     best = 0
@@ -337,7 +345,8 @@ def reproduced(stretch: np.ndarray, item: np.ndarray) -> int:
         new[new < unit] = 0
         row = new
         best = max(best, int(row.max()))
-    return best & (unit - 1)
+    words = best & (unit - 1)
+    return words, (words - (best >> 20)) // cost
 
 
 def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:

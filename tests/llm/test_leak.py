@@ -78,10 +78,10 @@ def test_alignment_and_subsequence():
                 table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
         item = np.array(b, np.uint64)
         assert leak.in_order(a, leak.word_masks(item), len(b)) == table[-1, -1]
-        assert leak.reproduced(np.array(a, np.uint64), item) <= table[-1, -1]
+        assert leak.reproduced(np.array(a, np.uint64), item)[0] <= table[-1, -1]
     same = np.arange(50, dtype=np.uint64)
-    assert leak.reproduced(same, same) == 50
-    assert leak.reproduced(np.delete(same, [7, 20, 33]), same) == 47
+    assert leak.reproduced(same, same) == (50, 0)
+    assert leak.reproduced(np.delete(same, [7, 20, 33]), same) == (47, 3)
 
 
 def test_words():
@@ -124,3 +124,23 @@ def test_items_shorter_than_a_shingle(spark):
     docs = spark.createDataFrame([(1, "the red\n gate of the yard"), (2, "a gate, red"), (3, None), (4, "nothing")], "doc_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in leak.leaks(docs, items).collect()} == {(1, "a"), (1, "b"), (1, "f"), (2, "b"), (2, "c")}
     assert leak.leaks(docs.where("false"), items).count() == 0 and leak.leaks(docs, items.where("false")).count() == 0
+
+
+def test_text_with_a_quarter_of_its_words_changed_is_no_leak():
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(r.choices(words, k=r.randint(60, 220)))) for i in range(40)]
+    index, texts, true = leak.ItemIndex(items), [], []
+    for d in range(400):
+        i = r.randrange(len(items))
+        w = items[i][1].split()
+        every = 3 if d % 2 else 9
+        texts.append(" ".join("zz" if k % every == every - 1 else x for k, x in enumerate(w)))
+        true += [(d, i)] * (every == 9)
+    assert {(d, i) for d, i, _, _ in index.search(leak.Texts(texts))} == set(true)
+    w = np.arange(10, 40, dtype=np.uint64)
+    assert leak.reproduced(w, w) == (30, 0)
+    assert leak.reproduced(np.delete(w, 15), w) == (29, 1)
+    changed = w.copy()
+    changed[2::3] = 1
+    assert leak.faithful(changed, w) <= 4
