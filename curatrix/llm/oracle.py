@@ -155,6 +155,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": _P2 + "SELECT DISTINCT canonical_id FROM placed WHERE unit IN (SELECT unit FROM torn) AND canonical_id IS NOT NULL",
         "p2_torn_relations": _P2 + "SELECT * FROM torn",
         "p2_invariants": _P2_INVARIANTS,
+        "p2_split_report": f"SELECT split_name, target_share, records, round(records / (SELECT n FROM (SELECT sum(records) AS n FROM ({_P2_INVARIANTS}))), 6) AS share FROM ({_P2_INVARIANTS})",
         "p3_found": _P3 + "SELECT negative_batch, target_field, target_value FROM supply WHERE supply < ask",
         "p3_supply": _P3 + "SELECT * FROM supply",
         "p3_invariants": _P3_INVARIANTS,
