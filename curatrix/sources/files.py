@@ -28,11 +28,14 @@ def list_files(spark: SparkSession, folder: str, suffixes: list[str] | None = No
     files = files.where(F.col("suffix").isin(suffixes)) if suffixes else files
     if not content:
         return files
+    empty = files.where("length = 0").withColumn("content", F.lit(b""))
     if files.where("length > 0").isEmpty():
-        return files.withColumn("content", F.lit(b""))
-    bytes_ = _scan(spark, "binaryFile", suffixes, recursive).load(folder).select(_same(F.col("path")).alias("__p"), "content")
-    joined = files.withColumn("__p", _same(F.col("path"))).join(bytes_, "__p", "left").drop("__p")
-    return joined.withColumn("content", F.coalesce("content", F.lit(b"")))
+        return empty
+    # a scan passes over files of no bytes only, so nothing has to be joined
+    full = _scan(spark, "binaryFile", suffixes, recursive).load(folder)
+    full = full.select("path", stem(F.col("path")).alias("stem"), suffix(F.col("path")).alias("suffix"), "length", "modificationTime", "content")
+    full = full.where(F.col("suffix").isin(suffixes)) if suffixes else full
+    return full.where("length > 0").unionByName(empty)
 
 
 def _same(path):
