@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,19 +32,53 @@ def rank_in_group(df: DataFrame, group: str, order: list[str], name: str = "rank
     largest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
     if largest <= most:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long"))
-    placed = global_positions(df, [group, *order], "__at")
-    first = placed.groupBy(group).agg(F.min("__at").alias("__first"))
-    joined = placed.withColumn("__g", F.col(group)).join(first.withColumnRenamed(group, "__h"), F.col("__g").eqNullSafe(F.col("__h")))
-    return joined.withColumn(name, F.col("__at") - F.col("__first") + 1).drop("__at", "__first", "__g", "__h")
+    placed = global_positions(df, [group, *order], "__rank_at")
+    first = placed.groupBy(F.col(group).alias("__rank_group")).agg(F.min("__rank_at").alias("__rank_first"))
+    joined = placed.join(first, F.col(group).eqNullSafe(F.col("__rank_group")))
+    return joined.withColumn(name, F.col("__rank_at") - F.col("__rank_first") + 1).drop("__rank_at", "__rank_first", "__rank_group")
+
 
+def rank_class(df: DataFrame, group: str, order: list[str], cuts: list[Column], name: str = "class", most: int = 1_000_000) -> DataFrame:
+    """Number of ``cuts`` that a row's rank within its group passes, for groups of any size, without a sort of all rows.
 
-def hash_split(df: DataFrame, key: str, group: str, share: float = 0.1, seed: str = "", name: str = "split") -> DataFrame:
+    ``order`` begins with a string of evenly spread hex digits (a hash); the cuts are
+    ascending counts, of the group's size ``__n``. Rows are counted by group and the first
+    four digits; the counts tell the class of all but the rows whose digits a cut falls
+    into, and only those are ranked, so no more than counts is shuffled.
+    """
+    spark, n = df.sparkSession, len(cuts)
+    digits = F.substring(order[0], 1, 4)
+    bins = df.groupBy(F.col(group).alias("__group"), digits.alias("__bin")).agg(F.count(F.lit(1)).alias("__rows"))
+    whole = Window.partitionBy("__group")  # at most 65,536 bins
+    last = F.sum("__rows").over(whole.orderBy("__bin"))
+    bins = bins.select("__group", "__bin", "__rows", last.alias("__last"), F.sum("__rows").over(whole).alias("__n"))
+    at = [F.min(F.when(F.col("__last") > c, F.struct("__bin", (F.col("__last") - F.col("__rows")).alias("before"), c.alias("cut")))).alias(f"__cut{i}") for i, c in enumerate(cuts)]
+    cut = materialize(bins.groupBy("__group").agg(*at), "cuts")  # a cut falls into the first bin that ends after it
+    few = cut.count() <= 100_000
+    rows = df.withColumn("__bin", digits).join(F.broadcast(cut) if few else cut, F.col(group).eqNullSafe(F.col("__group")))
+    inside = reduce(or_, (F.coalesce(F.col("__bin") == F.col(f"__cut{i}.__bin"), F.lit(False)) for i in range(n)))
+    passed = lambda one: sum((F.coalesce(one(i), F.lit(False)).cast("int") for i in range(n)), F.lit(0))
+    plain = rows.where(~inside).withColumn(name, passed(lambda i: F.col("__bin") > F.col(f"__cut{i}.__bin")))
+    torn = materialize(rows.where(inside).withColumn("__torn", F.struct(group, "__bin")), "torn")
+    ranked = rank_in_group(torn, "__torn", order, "__rank", most)
+    torn = ranked.withColumn(name, passed(lambda i: (F.col("__bin") > F.col(f"__cut{i}.__bin")) | ((F.col("__bin") == F.col(f"__cut{i}.__bin")) & (F.col("__rank") + F.col(f"__cut{i}.before") > F.col(f"__cut{i}.cut")))))
+    torn = materialize(torn.select(*plain.columns), "torn")
+    return plain.unionByName(torn).drop("__bin", "__group", *(f"__cut{i}" for i in range(n)))
+
+
+def hash_split(df: DataFrame, key: str, group: str, share: float = 0.1, seed: str = "", name: str = "split", most: int = 100_000) -> DataFrame:
     """Within each group, in hash order: the first ``round(share * n)`` rows are val, as many more test, the rest train.
 
     Needs one row for each unit that must stay together. Rounding is half to even. The
-    columns of the input are kept; ``name`` is replaced.
+    columns of the input are kept; ``name`` is replaced. Groups of at most ``most`` rows
+    (checked) are ranked; if one is larger, only the rows near the cuts are.
     """
-    ranked = rank_in_group(df.drop(name).withColumn("__h", hash_order(F.col(key), seed=seed)), group, ["__h", key], "__rank")
+    rows = df.drop(name).withColumn("__h", hash_order(F.col(key), seed=seed))
+    if (rows.groupBy(group).count().agg(F.max("count")).first()[0] or 0) > most:
+        cut = half_even(F.col("__n"), share)
+        placed = rank_class(rows, group, ["__h", key], [cut, 2 * cut], "__class")
+        return placed.withColumn(name, F.element_at(F.array(*map(F.lit, ("val", "test", "train"))), F.col("__class") + 1)).drop("__h", "__class")
+    ranked = rank_in_group(rows, group, ["__h", key], "__rank")
     sizes = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).withColumnRenamed(group, "__group")
     cut = half_even(F.col("__n"), share)
     split = F.when(F.col("__rank") <= cut, "val").when(F.col("__rank") <= 2 * cut, "test").otherwise("train")

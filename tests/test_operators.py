@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -103,6 +104,29 @@ def test_split_sizes(spark, n, val):
         assert sorted(r["rank"] for r in ranked.collect()) == sorted([*range(1, 26)] * 2)
 
 
+@pytest.mark.parametrize("most", [100_000, 9])
+def test_split_of_large_groups(spark, most):
+    rows = [(i, str(i), g) for g, n in (("a", 4001), ("b", 127), ("c", 3), (None, 65)) for i in range(n)]
+    df = spark.createDataFrame(rows, "i int, k string, g string").repartition(5)
+    want = {}
+    for group in ("a", "b", "c", None):
+        order = sorted((k for _, k, g in rows if g == group), key=lambda k: hashlib.sha256(f"{k}|".encode()).hexdigest())
+        n = round(len(order) * 0.1)
+        want |= {(k, group): "val" if at < n else "test" if at < 2 * n else "train" for at, k in enumerate(order)}
+    out = selection.hash_split(df, "k", "g", most=most)
+    assert sorted(out.columns) == ["g", "i", "k", "split"]
+    got = [((r["k"], r["g"]), r["split"]) for r in out.collect()]
+    assert len(got) == len(rows) and dict(got) == want
+
+
+@pytest.mark.parametrize("most", [1_000_000, 9])
+def test_ranks_beside_a_hash_column(spark, most):
+    df = spark.range(40).select("id", (F.col("id") % 3).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("__h"))
+    ranks = {r["id"]: r["rank"] for r in selection.rank_in_group(df, "g", ["__h"], most=most).collect()}
+    order = sorted(range(40), key=lambda i: (i % 3, hashlib.sha256(str(i).encode()).hexdigest()))
+    assert [ranks[i] for i in order] == [*range(1, 15), *range(1, 14), *range(1, 14)]
+
+
 def test_cap_and_quota(spark):
     df = spark.range(8003).select(F.col("id").cast("string").alias("k"), (F.col("id") >= 5717).alias("s"))
     out = selection.synthetic_cap(df, "k", F.col("s"), F.lit(True))
