@@ -102,19 +102,21 @@ def pinned_split(df: DataFrame, when: Column, split: str = "train", name: str =
 def keep_first(df: DataFrame, key: str, cap: int, seed: str = "") -> DataFrame:
     """Add ``kept``: whether the row is among the first ``cap`` in hash order.
 
-    The cap may be a share of all rows, so positions come from the distributed sort and
-    not from a top-k. Exactly ``cap`` rows are kept if there are as many, also where keys
-    repeat.
+    The cap may be a share of all rows, so rows are counted by the first digits of the
+    hash and only those near the cap are ranked. Exactly ``cap`` rows are kept if there
+    are as many, also where keys repeat.
     """
-    rows = df.withColumn("__h", hash_order(F.col(key), seed=seed))
     if cap <= 0:
-        return rows.drop("__h").withColumn("kept", F.lit(False))
-    return global_positions(rows, ["__h", key], "__at").withColumn("kept", F.col("__at") < cap).drop("__h", "__at")
+        return df.withColumn("kept", F.lit(False))
+    rows = df.withColumns({"__h": hash_order(F.col(key), seed=seed), "__all": F.lit(0)})
+    placed = rank_class(rows, "__all", ["__h", key], [F.lit(cap).cast("long")], "__class")
+    return placed.withColumn("kept", F.col("__class") == 0).drop("__h", "__all", "__class")
 
 
 def synthetic_cap(df: DataFrame, key: str, synthetic: Column, in_train: Column, ratio: int = 3, seed: str = "", reason: str = "baseline_synthetic_cap") -> DataFrame:
     """Keep at most one synthetic row of train for each ``ratio`` real ones, in hash order; the others get ``exclusion_reason``."""
     rows = df.withColumns({"__s": F.coalesce(synthetic & in_train, F.lit(False)), "__r": F.coalesce(~synthetic & in_train, F.lit(False))})
+    rows = materialize(rows, "cap")
     cap = int(rows.agg(F.floor(F.count_if("__r") / ratio)).first()[0] or 0)
     kept = keep_first(rows.where("__s"), key, cap, seed).withColumn("exclusion_reason", F.when(~F.col("kept"), F.lit(reason)))
     return rows.where("not __s").withColumn("exclusion_reason", F.lit(None).cast("string")).unionByName(kept.drop("kept")).drop("__s", "__r")

@@ -127,6 +127,17 @@ def test_ranks_beside_a_hash_column(spark, most):
     assert [ranks[i] for i in order] == [*range(1, 15), *range(1, 14), *range(1, 14)]
 
 
+@pytest.mark.parametrize("most", [1_000_000, 3])
+def test_first_of_repeated_keys(spark, most):
+    df = spark.range(900).select((F.col("id") % 7).cast("string").alias("k"), F.sha2((F.col("id") % 7).cast("string"), 256).alias("h"), F.lit("x").alias("g"))
+    for cap in (0, 1, 200, 899, 900, 5000):
+        assert selection.keep_first(df, "k", cap).where("kept").count() == min(cap, 900)
+        kept = selection.rank_class(df, "g", ["h", "k"], [F.lit(cap)], most=most).where("class = 0")
+        assert kept.count() == min(cap, 900)
+    order = sorted(range(7), key=lambda i: hashlib.sha256(f"{i}|s".encode()).hexdigest())
+    assert {int(r["k"]) for r in selection.keep_first(df, "k", 250, "s").where("kept").collect()} == set(order[:2])
+
+
 def test_cap_and_quota(spark):
     df = spark.range(8003).select(F.col("id").cast("string").alias("k"), (F.col("id") >= 5717).alias("s"))
     out = selection.synthetic_cap(df, "k", F.col("s"), F.lit(True))
