@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from curatrix.functions.geometry import aspect_difference
 from curatrix.functions.hashing import hex64, median_without_first, pack_bits, row_digest, stable_id
 from curatrix.operators import dedup, review
-from curatrix.operators.near import hamming_join
+from curatrix.operators.near import near_within
 from curatrix.plans.registry import Book
 from curatrix.session import materialize, table
 
@@ -78,9 +78,12 @@ def near_pairs(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "fingerprints").select(
         F.col("canonical_id").alias("id"), F.lower("pixel_sha256").alias("px"), hex64(F.col("phash")).alias("phash"), hex64(F.col("dhash")).alias("dhash"),
         F.col("leakage_source_group").alias("g"), F.col("allowed_split").alias("s"), F.when((F.col("width") > 0) & (F.col("height") > 0), F.col("width") / F.col("height")).alias("a"),
-    ).where("phash is not null and dhash is not null").distinct()
-    rows = materialize(rows, "prints")
-    pairs = hamming_join(rows, rows, "phash", 8, "dhash", 10, halve=True)
+    ).where("phash is not null and dhash is not null")
+    equal = rows.groupBy("phash", "dhash").count().where("count > 1").select(*(F.col(c).alias(f"{c}_{k}") for k in "lr" for c in ("phash", "dhash")))
+    pairs = materialize(near_within(rows, "phash", 8, "dhash", 10).unionByName(equal), "pairs")
+    met = materialize(pairs.select("phash_l", "dhash_l").union(pairs.select("phash_r", "dhash_r")).toDF("phash", "dhash").distinct(), "met")
+    few = met.count() <= 500_000  # two numbers each
+    rows = materialize(rows.join(F.broadcast(met) if few else met, ["phash", "dhash"], "left_semi").distinct(), "prints")
     x, y = (rows.toDF(*(f"{c}_{k}" for c in rows.columns)) for k in "lr")
     both = pairs.join(x, ["phash_l", "dhash_l"]).join(y, ["phash_r", "dhash_r"]).where("id_l <> id_r")
     good = (aspect_difference(F.col("a_l"), F.col("a_r")) <= 0.15) & ~F.col("g_l").eqNullSafe(F.col("g_r")) & ~F.col("px_l").eqNullSafe(F.col("px_r"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from curatrix.operators import audit, dedup, joins, review, selection, sets
 from curatrix.operators.components import connected_components
-from curatrix.operators.near import band_masks, hamming_join
+from curatrix.operators.near import band_masks, hamming_join, near_within
 from curatrix.operators.ranks import global_positions
 
 
@@ -207,3 +207,30 @@ def test_hamming_join_of_one_hash_with_itself(spark, crowded):
     want = {(a, b) for a in values for b in values if a <= b and (a ^ b).bit_count() <= 3}
     assert len(got) == len(set(got)) and set(got) == want
     assert hamming_join(df.where("false"), df, "h", 3).count() == 0
+
+
+@pytest.mark.parametrize("bands,crowded,most", [(None, 4_000_000, 1_000_000), (9, 30, 40), (10, 4_000_000, 40), (11, 30, 1_000_000)])
+def test_near_within_against_brute_force(spark, bands, crowded, most):
+    r = random.Random(17)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    flip = lambda x, n: x ^ sum(1 << b for b in r.sample(range(64), n))
+    base = [(r.getrandbits(64), r.getrandbits(64)) for _ in range(60)]
+    base += [(p, r.getrandbits(64)) for p in (0, 1 << 63) for _ in range(25)]  # two near values that many rows share
+    rows = base + [(flip(p, r.randint(0, 10)), flip(d, r.randint(0, 12))) for p, d in base for _ in range(3)] + [(p, flip(d, r.randint(1, 12))) for p, d in base]
+    df = spark.createDataFrame([(signed(p), signed(d)) for p, d in rows + rows[:9]] + [(None, 1), (1, None)], "p long, d long")
+    got = [tuple(x) for x in near_within(df, "p", 8, "d", 10, crowded, bands, most).collect()]
+    values = sorted({(signed(p), signed(d)) for p, d in rows})
+    bits = lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count()
+    want = {x + y for x in values for y in values if x < y and bits(x[0], y[0]) <= 8 and bits(x[1], y[1]) <= 10}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    assert near_within(df.where("false"), "p", 8, "d", 10).count() == 0
+
+
+def test_near_values_are_copied_little(spark):
+    from curatrix.operators import near
+
+    for rows in (10**4, 10**6, 3 * 10**6, 10**8):
+        assert 9 <= near._equal_bands(8, rows) <= 13
+    values = spark.range(50).select(F.xxhash64("id").alias("v"))
+    plan = near._near_values(values, 8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("shiftrightunsigned") == 9  # nine copies of a value; probes of every change were 696 at three million
