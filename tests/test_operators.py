@@ -234,3 +234,14 @@ def test_near_values_are_copied_little(spark):
     values = spark.range(50).select(F.xxhash64("id").alias("v"))
     plan = near._near_values(values, 8)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("shiftrightunsigned") == 9  # nine copies of a value; probes of every change were 696 at three million
+
+
+def test_policy_makes_no_probes_of_rare_values(spark, monkeypatch):
+    from curatrix.operators import near
+    from curatrix.plans import queries
+
+    def none(*_):
+        raise AssertionError("probes of every change")
+
+    monkeypatch.setattr(near, "_spread", none)
+    assert queries()["split_policy_violations"](spark, "/root/testdata/sf0.001").count() == 6
