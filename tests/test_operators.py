@@ -119,6 +119,17 @@ def test_split_of_large_groups(spark, most):
     assert len(got) == len(rows) and dict(got) == want
 
 
+def test_composition_of_a_split_of_large_groups(spark, tmp_path):
+    from curatrix.plans import queries
+
+    n = {"A": 1_100_005, "B": 25, "C": 4}  # a group above a million rows, rounding half to even, no rows for val
+    ends = [n["A"], n["A"] + n["B"]]
+    name = F.when(F.col("id") < ends[0], "A").when(F.col("id") < ends[1], "B").otherwise("C")
+    spark.range(sum(n.values())).select(F.col("id").alias("o_orderkey"), name.alias("o_orderpriority"), F.lit("O").alias("o_orderstatus")).write.parquet(f"{tmp_path}/orders.parquet")
+    got = {(r["o_orderpriority"], r["split"]): r["row_count"] for r in queries()["split_composition"](spark, str(tmp_path)).collect()}
+    assert got == {("A", "val"): 110_000, ("A", "test"): 110_000, ("A", "train"): 880_005, ("B", "val"): 2, ("B", "test"): 2, ("B", "train"): 21, ("C", "train"): 4}
+
+
 @pytest.mark.parametrize("most", [1_000_000, 9])
 def test_ranks_beside_a_hash_column(spark, most):
     df = spark.range(40).select("id", (F.col("id") % 3).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("__h"))
