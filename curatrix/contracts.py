@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.session import materialize
+
 
 class ContractError(ValueError):
     """The data break a stated rule."""
@@ -67,7 +69,7 @@ def integral(value: Column) -> Column:
     return F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")) & (x == F.floor(x)), F.lit(False))
 
 
-def policy_violations(df: DataFrame, split: str = "split", group: str = "source_group", digest: str = "pixel_sha256", synthetic_share: float = 0.25, near_pairs: DataFrame | None = None, key: str = "canonical_id", status: str = "status") -> DataFrame:
+def policy_violations(df: DataFrame, split: str = "split", group: str = "source_group", digest: str = "pixel_sha256", synthetic_share: float = 0.25, near_pairs: DataFrame | None = None, key: str = "canonical_id", status: str = "status", few: int = 200_000) -> DataFrame:
     """``rule, violations`` for the split rules; a table that keeps them has 0 everywhere.
 
     ``synthetic_in_eval``: rows of val or test that aren't REAL. ``train_only_in_eval``:
@@ -77,7 +79,8 @@ def policy_violations(df: DataFrame, split: str = "split", group: str = "source_
     keys and a status) ``unresolved_near_pairs``: pairs without a decision (blank, null or
     "unsure") whose two records have different splits; a missing table of pairs is an
     empty one. Needs ``real_synthetic`` and ``allowed_split`` besides the named columns;
-    rows without a split are ignored.
+    rows without a split are ignored. The keys that open pairs name are broadcast if there
+    are at most ``few``.
     """
     rows = df.where(F.col(split).isin("train", "val", "test"))
     out = F.col(split) != "train"
@@ -86,13 +89,18 @@ def policy_violations(df: DataFrame, split: str = "split", group: str = "source_
         F.count_if(out & (F.col("allowed_split") == "TRAIN_ONLY")).alias("b"),
         F.coalesce((F.try_divide(F.count_if(~out & (F.col("real_synthetic") == "SYNTHETIC")), F.count_if(~out)) > synthetic_share).cast("long"), F.lit(0)).alias("c"),
     ).select(F.expr("stack(3, 'synthetic_in_eval', a, 'train_only_in_eval', b, 'synthetic_share', c) as (rule, violations)"))
+    bit = F.when(~out, 1).when(F.col(split) == "val", 2).otherwise(4)
     for name, shared in (("group_in_several", group), ("pixels_in_several", digest)):
-        spans = rows.where(F.col(shared).isNotNull()).groupBy(shared, split).count().groupBy(shared).count().where("count > 1")
+        spans = rows.where(F.col(shared).isNotNull()).groupBy(shared).agg(F.bit_count(F.bit_or(bit)).alias("splits")).where("splits > 1")
         flat = flat.unionByName(spans.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("violations")))
     if near_pairs is not None:
         a, b = [c for c in near_pairs.columns if c != status][:2]
         open_pairs = near_pairs.where(F.coalesce(F.lower(F.trim(status)), F.lit("")).isin("", "unsure")).select(F.col(a).alias("_a"), F.col(b).alias("_b"))
-        own = rows.select(F.col(key).alias("_k"), F.col(split).alias("_s"))
+        open_pairs = materialize(open_pairs, "open")
+        own, named = rows.select(F.col(key).alias("_k"), F.col(split).alias("_s")), open_pairs.select(F.explode(F.array("_a", "_b")).alias("_k")).distinct()
+        named = materialize(named, "named")
+        if named.count() <= few:  # only rows that a pair names are shuffled
+            own = own.join(F.broadcast(named), "_k", "left_semi")
         both = open_pairs.join(own.toDF("_a", "_sa"), "_a").join(own.toDF("_b", "_sb"), "_b").where("_sa <> _sb")
         flat = flat.unionByName(both.agg(F.lit("unresolved_near_pairs").alias("rule"), F.count(F.lit(1)).alias("violations")))
     return flat

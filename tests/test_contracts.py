@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +46,30 @@ def test_contracts_fail(rows, check):
         check(rows)
 
 
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_policy_against_brute_force_and_its_shuffles(spark, few):
+    r = random.Random(8)
+    pick = lambda *x: r.choice(x)
+    rows = [(f"i{i}", pick("train", "train", "val", "test", "Val", None), pick(None, *map(str, range(60))), pick("REAL", "SYNTHETIC", None), pick("ANY", "TRAIN_ONLY", None), pick(None, *map(str, range(80)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "canonical_id string, split string, source_group string, real_synthetic string, allowed_split string, pixel_sha256 string").repartition(3)
+    links = [(f"i{r.randrange(320)}", pick(None, f"i{r.randrange(320)}"), pick("", None, "unsure ", "same")) for _ in range(400)]
+    pairs = spark.createDataFrame(links, "x string, y string, status string").repartition(3)
+    own = [x for x in rows if x[1] in ("train", "val", "test")]
+    at = {x[0]: x[1] for x in own}
+    several = lambda k: sum(len({x[1] for x in own if x[k] == v}) > 1 for v in {x[k] for x in own} - {None})
+    want = {
+        "synthetic_in_eval": sum(x[1] != "train" and x[3] == "SYNTHETIC" for x in own), "train_only_in_eval": sum(x[1] != "train" and x[4] == "TRAIN_ONLY" for x in own),
+        "synthetic_share": 1, "group_in_several": several(2), "pixels_in_several": several(5),
+        "unresolved_near_pairs": sum(a in at and b in at and at[a] != at[b] and (s or "").strip() in ("", "unsure") for a, b, s in links),
+    }
+    out = c.policy_violations(df, near_pairs=pairs, few=few)
+    assert {x["rule"]: x["violations"] for x in out.collect()} == want and 0 not in want.values()
+    plan = out._jdf.queryExecution().sparkPlan().toString() + out._jdf.queryExecution().executedPlan().toString()
+    for shared in ("source_group", "pixel_sha256"):  # each row is shuffled once
+        assert len(re.findall(rf"hashpartitioning\({shared}#\d+(?:, split#\d+)?, \d+\)", plan.split("== Initial Plan ==")[-1])) == 1
+    assert ("LeftSemi" in plan) == (few > 0)
+
+
 def test_identity_and_integral(spark):
     a = spark.createDataFrame([("x", "1"), ("y", "1"), ("z", "1")], "k string, d string")
     b = spark.createDataFrame([("x", "1"), ("y", "2"), ("w", "1")], "k string, d string")
